@@ -12,7 +12,7 @@ from flowlens.operators.joins import drop_listed, latest_records
 def known_assets(register: DataFrame, found: DataFrame) -> DataFrame:
     """Registered addresses (status other than 2) and addresses found before (flag other than 1)."""
     return (
-        register.where(F.col("status") != 2).select("ip").unionByName(found.where(F.col("flg") != 1).select("ip")).distinct()
+        register.where(F.col("status") != 2).select("ip").unionByName(found.where(F.col("flg") != 1).select("ip"))
     )
 
 

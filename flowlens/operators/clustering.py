@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -12,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.operators.scaling import min_max_scale, with_table_stats
-from flowlens.operators.skew import salted_lookup
+from flowlens.operators.skew import label_lookup, salted_lookup
 from flowlens.session import cut_lineage
 
 SEED = 42
+AT_ONCE = 4  # models fitted side by side while k is searched
 
 
 def guarded_k(n: int, k: int) -> int:
@@ -45,7 +48,7 @@ def assign(model: KMeansModel, vectors: DataFrame, vector: str = "vector") -> Da
     """Label and distance to the assigned center."""
     centers = centers_frame(vectors.sparkSession, model)
     labelled = model.transform(vectors).withColumn("__v", vector_to_array(vector))
-    joined = labelled.join(F.broadcast(centers), "label")  # k rows
+    joined = label_lookup(labelled, centers, how="inner")
     return joined.withColumn("distance", array_distance(F.col("__v"), F.col("center"))).drop("__v")
 
 
@@ -61,14 +64,23 @@ def vector_centers(points: DataFrame, vector: str = "v", label: str = "label") -
 
 
 def elbow_k(vectors: DataFrame, vector: str = "vector", largest: int = 20, seed: int = SEED) -> int:
-    """First k from 2 upward whose successor raises the cost; 2 when the cost falls all the way."""
-    before = 0.0
-    for k in range(2, largest + 1):
+    """First k from 2 upward whose successor raises the cost; 2 when the cost falls all the way.
+
+    A few values of k are fitted side by side, because one fit on cached rows leaves most of a cluster idle.
+    """
+
+    def cost(k: int) -> float:
         model = KMeans(k=k, featuresCol=vector, predictionCol="label", seed=seed, maxIter=10).fit(vectors)
-        cost = model.summary.trainingCost
-        if k > 2 and cost > before:
-            return k - 1
-        before = cost
+        return model.summary.trainingCost
+
+    before = None
+    with ThreadPool(AT_ONCE) as pool:
+        for start in range(2, largest + 1, AT_ONCE):
+            ks = range(start, min(start + AT_ONCE, largest + 1))
+            for k, now in zip(ks, pool.map(cost, ks)):
+                if before is not None and now > before:
+                    return k - 1
+                before = now
     return 2
 
 
@@ -85,10 +97,10 @@ def silhouette_by_k(vectors: DataFrame, ks: list[int], vector: str = "vector", s
 def mark_small_clusters(
     points: DataFrame, smaller_than: int = 2, outlier: str = "other", drop_distance: bool = False
 ) -> DataFrame:
-    """Members of clusters below a size get the outlier label, and distance -1 if asked. Labels are a few dozen."""
+    """Members of clusters below a size get the outlier label, and distance -1 if asked."""
     sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
     small = sizes.where(F.col("cluster_size") < smaller_than).select("label", F.lit(True).alias("__small"))
-    joined = points.join(small, "label", "left")
+    joined = label_lookup(points, small)
     lone = F.col("__small").isNotNull()
     out = joined.withColumn("label", F.when(lone, outlier).otherwise(F.col("label").cast("string")))
     if drop_distance:
@@ -106,7 +118,7 @@ def outlier_score(points: DataFrame, tag: str = "") -> DataFrame:
         F.count(F.lit(1)).alias("__n"), F.min("distance").alias("__d0"), F.max("distance").alias("__d1")
     )
     per = with_table_stats(per, "__e", k=F.count(F.lit(1)), lo=F.min("__n"), hi=F.max("__n"))
-    joined = points.join(per, "label")  # one row per label
+    joined = label_lookup(points, per, how="inner")
     low = F.when(F.col("__e.k") == 1, F.col("__d0")).otherwise(F.lit(0.0))
     d = F.when(F.col("__d1") == low, F.lit(0.5)).otherwise((F.col("distance") - low) / (F.col("__d1") - low))
     lo, hi = F.col("__e.lo"), F.col("__e.hi")

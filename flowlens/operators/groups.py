@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.flows import pack_features, truncated
 from flowlens.operators.scaling import with_table_stats
+from flowlens.operators.skew import label_lookup
 
 # Labels.
 OUTLIER_LABELS = ("other_high_proto", "other_high_flow")
@@ -43,7 +44,8 @@ def center_distances(labelled: DataFrame, features: tuple[str, ...], suffix: str
     """
     normal = labelled.where(~F.col("label").isin(*OUTLIER_LABELS))
     means = normal.groupBy("label").agg(*[F.avg(f).alias(f"{f}_mean") for f in features])
-    joined = with_table_stats(labelled, "__top", **{f: F.max(f) for f in features}).join(means, "label", "left")
+    joined = with_table_stats(labelled, "__top", **{f: F.max(f) for f in features})
+    joined = label_lookup(joined, means)
     scaled_center = [
         F.when(F.col(f"__top.{f}") == 0, F.lit(0.0)).otherwise(F.col(f"{f}_mean") / F.col(f"__top.{f}")) for f in features
     ]
@@ -83,7 +85,7 @@ def high_low_labels(
         word(score(proto), F.col("__m.proto")), F.lit("#"), word(score(flow), F.col("__m.flow"))
     )
     per_label = centers.where(F.col("label") != "other").select("label", added.alias("add_label"))
-    return points.join(per_label, "label", "left").withColumn("add_label", F.coalesce("add_label", "label"))
+    return label_lookup(points, per_label).withColumn("add_label", F.coalesce("add_label", "label"))
 
 
 def under_upper_labels(points: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.skew import group_pairs, salted_lookup
 from flowlens.session import cut_lineage
 
 HOURS = 24
@@ -26,7 +27,7 @@ def basket_masks(visits: DataFrame, min_support: float = MIN_SUPPORT) -> DataFra
     # the hours of an address: one bit mask again, so the pass is pre-aggregated
     hours = masks.groupBy("ip").agg(F.bit_or("mask").alias("all"))
     need = hours.select("ip", F.ceil(F.bit_count("all") * F.lit(min_support)).cast("int").alias("need"))
-    return masks.join(need, "ip").where(F.bit_count("mask") >= F.col("need"))
+    return salted_lookup(masks, need, ["ip"], "inner").where(F.bit_count("mask") >= F.col("need"))
 
 
 def _leading_bits(mask: Column, need: Column) -> Column:
@@ -49,19 +50,24 @@ def frequent_pairs(masks: DataFrame) -> DataFrame:
     """
     kinds = masks.select("ip", "mask", "need").distinct()
     keyed = kinds.withColumn("h", F.explode(_leading_bits(F.col("mask"), F.col("need"))))
-    other = keyed.select("ip", "h", F.col("mask").alias("mask2"))
-    both = F.bit_count(F.col("mask").bitwiseAND(F.col("mask2")))
-    kind_pairs = (
-        keyed.join(other, ["ip", "h"]).where((F.col("mask") <= F.col("mask2")) & (both >= F.col("need")))
-        .select("ip", "mask", "mask2", "need").distinct()
+    met = group_pairs(
+        keyed.select(F.struct("ip", "h").alias("k"), "mask", "need"), "k", "mask", "need",
+        F.bit_count(F.col("mask_l").bitwiseAND(F.col("mask_r"))) >= F.col("need_l"),
     )
+    kind_pairs = met.select(
+        F.col("k.ip").alias("ip"), F.col("left").alias("mask"), F.col("right").alias("mask2"), F.col("left_value").alias("need")
+    ).distinct()
     a = masks.select("ip", "mask", F.col("host").alias("h1"))
     b = masks.select("ip", F.col("mask").alias("mask2"), F.col("host").alias("h2"))
-    hosts = kind_pairs.join(a, ["ip", "mask"]).join(b, ["ip", "mask2"])
-    hosts = hosts.where((F.col("mask") != F.col("mask2")) | (F.col("h1") < F.col("h2")))
-    return hosts.select(
+    different = kind_pairs.join(a, ["ip", "mask"]).join(b, ["ip", "mask2"]).select(
         "ip", F.array_sort(F.array("h1", "h2")).alias("items"), F.col("mask").bitwiseAND(F.col("mask2")).alias("mask"), "need"
     )
+    # hosts with the same mask are frequent together: every pair of them belongs to the result
+    alike = group_pairs(masks.select(F.struct("ip", "mask").alias("k"), "host", "need"), "k", "host", "need").select(
+        F.col("k.ip").alias("ip"), F.array("left", "right").alias("items"), F.col("k.mask").alias("mask"),
+        F.col("left_value").alias("need"),
+    )
+    return different.unionByName(alike)
 
 
 def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_size: int | None = None) -> DataFrame:
@@ -74,14 +80,15 @@ def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_s
     level = cut_lineage(frequent_pairs(masks)) if max_size is None or max_size > 1 else singles.limit(0)
     levels, size = [singles, level], 2
     while (max_size is None or size < max_size) and not level.isEmpty():
-        head = F.slice("items", 1, size - 1)
-        a = level.select("ip", head.alias("head"), F.element_at("items", -1).alias("x"), "mask", "need")
-        b = level.select("ip", head.alias("head"), F.element_at("items", -1).alias("y"), F.col("mask").alias("mask2"))
-        joined = a.join(b, ["ip", "head"]).where(F.col("x") < F.col("y"))
-        mask = F.col("mask").bitwiseAND(F.col("mask2"))
-        grown = joined.where(F.bit_count(mask) >= F.col("need"))
+        head = F.struct("ip", F.slice("items", 1, size - 1).alias("head"), "need")
+        last = level.select(head.alias("k"), F.element_at("items", -1).alias("x"), "mask")
+        common = F.col("mask_l").bitwiseAND(F.col("mask_r"))
+        grown = group_pairs(last, "k", "x", "mask", F.bit_count(common) >= F.col("__key_l.need"))
         level = cut_lineage(
-            grown.select("ip", F.concat("head", F.array("x", "y")).alias("items"), mask.alias("mask"), "need")
+            grown.select(
+                "k.ip", F.concat("k.head", F.array("left", "right")).alias("items"),
+                F.col("left_value").bitwiseAND(F.col("right_value")).alias("mask"), "k.need",
+            )
         )
         levels.append(level)
         size += 1

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.skew import group_pairs, salted_lookup, with_group_stats
+from flowlens.operators.skew import group_pairs, label_lookup, salted_lookup, with_group_stats
 
 
 def names_for_indexes(scored: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -110,13 +110,13 @@ def with_baseline(day: DataFrame, baseline: DataFrame, keys: list[str]) -> DataF
 
 
 def with_centers(points: DataFrame, centers: DataFrame, label: str = "label") -> DataFrame:
-    """Points with the center of their label (one row per label, at most a few dozen)."""
-    return points.join(centers, label, "left")
+    """Points with the center of their label."""
+    return label_lookup(points, centers, label)
 
 
 def members_with_top_hosts(members: DataFrame, top: DataFrame) -> DataFrame:
     """Cluster members with the top-host text of their cluster."""
-    return members.join(top, "label", "left")
+    return label_lookup(members, top)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.operators.skew import group_pairs
+from flowlens.operators.skew import group_pairs, salted_lookup
 
 
 def _unit_entries(entries: DataFrame, member: str, key: str, value: str) -> DataFrame:
     """Entries divided by the length of their member's vector."""
     norms = entries.groupBy(member).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("__norm"))
-    return entries.join(norms, member).select(
+    return salted_lookup(entries, norms, [member], "inner").select(
         F.col(member).alias("m"), F.col(key).alias("k"), (F.col(value) / F.col("__norm")).alias("v")
     )
 
@@ -38,13 +38,13 @@ def cosine_pairs_above(entries: DataFrame, member: str, key: str, value: str, th
     """
     unit = _unit_entries(entries, member, key, value)
     popularity = unit.groupBy("k").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("c"))
-    classed = unit.join(popularity, "k")
+    classed = salted_lookup(unit, popularity, ["k"], "inner")
     # a few dozen classes per member: the running length needs only one row per class
     per_class = classed.groupBy("m", "c").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
     running = F.sum("s").over(Window.partitionBy("m").orderBy(F.desc("c")))
     slack = threshold * threshold * (1 - 1e-9)
     kept_classes = per_class.withColumn("r", running).where(F.col("r") >= slack).select("m", "c")
-    kept = classed.join(kept_classes, ["m", "c"]).select("m", "k", "v")
+    kept = salted_lookup(classed, kept_classes, ["m", "c"], "inner").select("m", "k", "v")
     candidates = group_pairs(kept, "k", "m", "v").select("left", "right").distinct()
     a = unit.select(F.col("m").alias("left"), "k", F.col("v").alias("lv"))
     b = unit.select(F.col("m").alias("right"), "k", F.col("v").alias("rv"))

@@ -30,6 +30,15 @@ def salted_lookup(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
+def label_lookup(points: DataFrame, per_label: DataFrame, label: str = "label", how: str = "left") -> DataFrame:
+    """Join points with one row per cluster or quadrant label.
+
+    Labels come from a model of at most 20 clusters or from the six quadrants, so the right side holds a few rows and is
+    broadcast; a label that covers most points costs no shuffle.
+    """
+    return points.join(F.broadcast(per_label), label, how)
+
+
 def with_group_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:
     """Each row with aggregates of its group, like an unordered window, but a hot group is never held by one task.
 
@@ -72,7 +81,7 @@ def group_pairs(
     sizes = entries.groupBy(key).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(max_block)).cast("int").alias("__blocks")
     )
-    blocked = entries.join(sizes, key).withColumn(
+    blocked = salted_lookup(entries, sizes, [key], "inner").withColumn(
         "__b", F.pmod(F.xxhash64(F.col(member)), F.col("__blocks")).cast("int")
     )
     # A cell is a pair of blocks (x <= y). Block x of it goes to the left side, block y to the right side, so two members

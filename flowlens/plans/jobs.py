@@ -13,6 +13,7 @@ from flowlens.operators import aggregates as agg
 from flowlens.operators import assets, audit, baselines, clustering, groups, indexing, itemsets, joins, models, ports
 from flowlens.operators.scaling import Weights, min_max_scale, scale_zero_max, weighted_scores
 from flowlens.operators.similarity import item_similarity, user_similarity
+from flowlens.operators.skew import salted_lookup
 from flowlens.session import cut_lineage
 
 APP_FEATURES = tuple(a.lower() for a in ff.APP_PROTOCOLS)
@@ -241,7 +242,7 @@ def portrait_level_one(flows: DataFrame, k: int = 3) -> DataFrame:
         flows.where(F.col("flowd") == ff.IN_TO_IN).select(F.col("dstip").alias("ip"))
     ).distinct()
     rows = flows.withColumn("ip", F.explode(ends))
-    rows = joins.keep_listed(rows, monitored.withColumnRenamed("ip", "listed"), "ip", "listed")
+    rows = salted_lookup(rows, monitored, ["ip"], "left_semi")
     features = [f for f in ("costtime", "tcp", "udp", "icmp", "gre", "packernum", "bytesize")]
     scaled = clustering.grouped_min_max(rows, ["ip"], features)
     labelled = clustering.grouped_kmeans(scaled, ["ip"], ["row"], [f + "_scl" for f in features], k)

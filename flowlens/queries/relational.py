@@ -83,6 +83,16 @@ def join_flow_to_audit(spark, d):
     return joins.flows_to_audit(flows, rows)
 
 
+_NEW = """
+SELECT {ip} AS ip, '{side}' AS side, strftime(recordtime, '%Y-%m-%d %H:%M:%S') AS storagetime, 1 AS isnew, 0 AS flg, max(proto) AS protocol,
+       max({port}) AS port, max(packernum) AS packagenum
+FROM (SELECT *, rank() OVER (PARTITION BY {ip} ORDER BY recordtime DESC) AS r FROM flows
+      WHERE split_part({ip}, '.', 2) IN ('0', '1') AND {cond} AND {ip} NOT IN (SELECT ip FROM known)) WHERE r = 1 GROUP BY {ip}, recordtime"""
+NEW_ASSETS = _NEW.format(ip="srcip", side="src", port="srcport", cond="proto <> 'ICMP'") + "\nUNION ALL" + _NEW.format(
+    ip="dstip", side="dst", port="dstport", cond="proto = 'TCP' AND packernum > 2"
+)
+
+
 @query("join_latest_record", """
 SELECT srcip AS ip, strftime(recordtime, '%Y-%m-%d %H:%M:%S') AS storagetime, max(proto) AS protocol, max(srcport) AS port, max(packernum) AS packagenum
 FROM (SELECT *, rank() OVER (PARTITION BY srcip ORDER BY recordtime DESC) AS r FROM flows) WHERE r = 1 GROUP BY srcip, recordtime""", "flows")
@@ -133,7 +143,7 @@ FROM last_scored, last_bounds WHERE NOT (proto > p_hi OR flow > f_hi)""", "last_
 
 def last_labels(spark, d):
     """Labels of a run over the history, with four features."""
-    before = readers.in_time_range(fx.flows_wide(spark, d), "recordtime", *[F.to_timestamp_ntz(F.lit(t)) for t in fx.HISTORY])
+    before = readers.in_time_range(fx.flows_wide(spark, d), "recordtime", *fx.HISTORY)
     return groups.quadrant_labels(jobs.scored_assets(before, agg.FOUR_FEATURES)).select("ip", "label")
 
 
@@ -166,7 +176,7 @@ def join_baseline(spark, d):
 def split_flows(spark, d):
     """(current, history) flows by record time."""
     flows = fx.flows(spark, d)
-    span = lambda w: readers.in_time_range(flows, "recordtime", *[F.to_timestamp_ntz(F.lit(t)) for t in w])
+    span = lambda w: readers.in_time_range(flows, "recordtime", *w)
     return span(fx.CURRENT), span(fx.HISTORY)
 
 

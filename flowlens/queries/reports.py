@@ -8,7 +8,7 @@ from flowlens.operators import aggregates as agg
 from flowlens.plans import jobs
 from flowlens.queries.parts import SEVEN, part
 from flowlens.queries.registry import query
-from flowlens.queries.relational import _KIND, AUDITED, last_labels, split_flows
+from flowlens.queries.relational import _KIND, AUDITED, NEW_ASSETS, last_labels, split_flows
 from flowlens.queries.rows import NORMALIZED_MONIFLOW, NORMALIZED_NETFLOW
 from flowlens.queries.verdicts import FAST_ALS, JUDGED_FLOWS, RULES, _portrait_flows
 from flowlens.session import scratch_path
@@ -85,7 +85,7 @@ def flow_outliers(spark, d):
 @query("port_portrait", 'SELECT name, "row", port, abport, "index", packernum FROM portrait', "portrait")
 def port_portrait(spark, d):
     flows = fx.port_flows(spark, d)
-    span = lambda w: readers.in_time_range(flows, "recordtime", *[F.to_timestamp_ntz(F.lit(t)) for t in w])
+    span = lambda w: readers.in_time_range(flows, "recordtime", *w)
     out = jobs.port_portrait(span(fx.CURRENT), span(fx.HISTORY))
     return out.select("name", "row", "port", "abport", "index", "packernum")
 
@@ -117,16 +117,6 @@ def sql_audit(spark, d):
     return jobs.sql_audit(fx.genlog(spark, d))
 
 
-_NEW = """
-SELECT {ip} AS ip, '{side}' AS side, strftime(recordtime, '%Y-%m-%d %H:%M:%S') AS storagetime, 1 AS isnew, 0 AS flg, max(proto) AS protocol,
-       max({port}) AS port, max(packernum) AS packagenum
-FROM (SELECT *, rank() OVER (PARTITION BY {ip} ORDER BY recordtime DESC) AS r FROM flows
-      WHERE split_part({ip}, '.', 2) IN ('0', '1') AND {cond} AND {ip} NOT IN (SELECT ip FROM known)) WHERE r = 1 GROUP BY {ip}, recordtime"""
-NEW_ASSETS = _NEW.format(ip="srcip", side="src", port="srcport", cond="proto <> 'ICMP'") + "\nUNION ALL" + _NEW.format(
-    ip="dstip", side="dst", port="dstport", cond="proto = 'TCP' AND packernum > 2"
-)
-
-
 @query("new_assets", NEW_ASSETS, ("flows", "known"))
 def new_assets(spark, d):
     out = jobs.new_asset_report(fx.flows(spark, d), fx.asset_register(spark, d), fx.assets_found(spark, d), fx.ASSET_RANGES)
@@ -140,12 +130,12 @@ def web_rules(spark, d):
 
 @query("url_attacks")
 def url_attacks(spark, d):
-    """Attack verdicts of the inbound URLs, from classifiers trained on tokenised URLs labelled by their method."""
+    """Attack verdicts of the inbound URLs; in the training texts, URLs with a page parameter stand for attacks."""
     from flowlens.functions.text import tokenize_uris
 
     audited = fx.audited(spark, d)
-    texts = tokenize_uris(audited.select("id", "method", "uri"))
-    labelled = texts.select(F.when(F.col("method") == "POST", 0.0).otherwise(1.0).alias("label"), "urltext")
+    texts = tokenize_uris(audited.select("id", "uri"))
+    labelled = texts.select(F.when(F.col("uri").contains("page="), 0.0).otherwise(1.0).alias("label"), "urltext")
     return jobs.url_attacks(audited, labelled).select("id", "srcip", "dstip", "uri", "prediction_nb", "prediction_lr")
 
 

@@ -86,7 +86,7 @@ def scan_jdbc_subquery(spark, d):
     fx.assets_found(spark, d).write.parquet(path + "/found")
     devices = readers.Source("parquet", {}, path + "/devices").read(spark)
     found = readers.Source("parquet", {}, path + "/found").read(spark)
-    return assets.known_assets(devices, found)
+    return assets.known_assets(devices, found).distinct()
 
 
 @query("scan_text_list", f"""

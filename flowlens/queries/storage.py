@@ -8,7 +8,7 @@ from flowlens.operators import groups, models
 from flowlens.plans import jobs
 from flowlens.queries.parts import SEVEN
 from flowlens.queries.registry import query
-from flowlens.queries.relational import _KIND
+from flowlens.queries.relational import _KIND, NEW_ASSETS
 from flowlens.session import scratch_path
 from flowlens.sources import fixtures as fx
 from flowlens.sources import readers, writers
@@ -59,7 +59,7 @@ def sink_catalog_table(spark, d):
     return target.read(spark).withColumn("STARTTIME", ff.time_text(F.col("STARTTIME")))
 
 
-@query("sink_jdbc")
+@query("sink_jdbc", f"SELECT ip, side, 36 AS id_length FROM ({NEW_ASSETS})", ("flows", "known"))
 def sink_jdbc(spark, d):
     """New assets with generated ids, appended through a pluggable target."""
     target = writers.Source("parquet", {}, scratch_path(spark, "found"))
@@ -84,7 +84,10 @@ def sink_dedup_results(spark, d):
     return out.select("attacktype", "srcip", "dstip", "proto", "srcport", "dstport", "recordtime", "flownums")
 
 
-@query("route_results")
+@query("route_results", f"""
+SELECT 'flow' AS target, count(*) AS n FROM (SELECT DISTINCT attacktype, srcip, dstip, proto, srcport, dstport, s.recordtime, flownums
+  FROM (SELECT *, {_KIND} AS attacktype FROM sized) s WHERE attacktype <> '' AND flownums > 10)
+UNION ALL SELECT 'catalog', count(*) FROM grouped""", ("sized", "grouped"))
 def route_results(spark, d):
     """Two result files sent where their names say; the rows each target received."""
     base = scratch_path(spark, "routed")
@@ -150,7 +153,7 @@ def save_model(spark, d):
     return fitted.join(loaded, "recordid").groupBy((F.col("prediction") == F.col("stored")).alias("equal")).count()
 
 
-@query("write_if_not_empty")
+@query("write_if_not_empty", "SELECT count(*) AS n, 'some' AS wrote FROM flows", "flows")
 def write_if_not_empty(spark, d):
     """Written paths: an empty result writes nothing."""
     base, flows = scratch_path(spark, "maybe"), fx.flows(spark, d)

@@ -139,7 +139,9 @@ def two_level_clustering(spark, d):
     return two.select("id", "ip", "parent", "label", "n_flows", F.round("distance", 6).alias("distance"))
 
 
-@query("host_sparse_vectors")
+@query("host_sparse_vectors", """
+SELECT ip, (SELECT count(DISTINCT host) FROM ratings) AS length, count(*) AS filled,
+       round(max("count") / (SELECT max("count") FROM ratings), 6) AS largest FROM ratings GROUP BY ip""", "ratings")
 def host_sparse_vectors(spark, d):
     scaled = scale_zero_max(fx.ratings(spark, d), "count", "scaled")
     vectors, size = indexing.host_vectors(scaled, "scaled")

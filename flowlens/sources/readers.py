@@ -39,8 +39,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def in_time_range(df: DataFrame, column: str, lo, hi) -> DataFrame:
-    """Rows with lo <= column <= hi, both ends included; the comparison is pushed to the source."""
-    return df.where(F.col(column).between(F.lit(lo), F.lit(hi)))
+    """Rows with lo <= column <= hi, both ends included.
+
+    The bounds (not the column) are converted to the column's type, so the comparison is pushed to the source.
+    """
+    kind = df.schema[column].dataType
+    return df.where(F.col(column).between(F.lit(lo).cast(kind), F.lit(hi).cast(kind)))
 
 
 def read_catalog_table(source: DataFrame, table: str, columns: list[str], typed: bool = True) -> DataFrame:
@@ -91,8 +95,8 @@ def read_daily_dirs(spark: SparkSession, base: str, now: datetime, first: int =
 
 
 def read_text_list(spark: SparkSession, path: str, name: str = "ip") -> DataFrame:
-    """One-column text file as a deduplicated list."""
-    return spark.read.text(path).select(F.trim("value").alias(name)).where(F.col(name) != "").distinct()
+    """Non-blank lines of a one-column text file."""
+    return spark.read.text(path).select(F.trim("value").alias(name)).where(F.col(name) != "")
 
 
 def read_or_rebuild(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
