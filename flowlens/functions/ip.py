@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.skew import SALTS, row_salt
+
 
 def ip_to_long(ip: Column) -> Column:
     """Dotted quad as integer; null for anything else."""
@@ -36,13 +38,15 @@ def semi_join_ranges(df: DataFrame, ip: str, ranges: DataFrame, lo: str = "lo",
     """Rows whose address lies in any row of a range table (columns hold integers).
 
     Ranges are cut into /16 cells, so the join is an equi-join on the cell with a range check left over; a table of
-    any size works without a nested loop.
+    any size works without a nested loop, and the rows of a busy cell are spread by salt.
     """
     cells = ranges.select(
         F.explode(F.sequence(F.shiftright(F.col(lo), 16), F.shiftright(F.col(hi), 16))).alias("__cell"),
         F.col(lo).alias("__lo"),
         F.col(hi).alias("__hi"),
-    )
-    keyed = df.withColumn("__ip", ip_to_long(F.col(ip))).withColumn("__c", F.shiftright(F.col("__ip"), 16))
-    hit = (F.col("__c") == F.col("__cell")) & F.col("__ip").between(F.col("__lo"), F.col("__hi"))
-    return keyed.join(cells, hit, "left_semi").drop("__ip", "__c")
+    ).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    number = ip_to_long(F.col(ip))
+    keyed = df.withColumns({"__ip": number, "__c": F.shiftright(number, 16), "__salt": row_salt(df)})
+    same = (F.col("__c") == F.col("__cell")) & (F.col("__salt") == F.col("__copy"))
+    hit = same & F.col("__ip").between(F.col("__lo"), F.col("__hi"))
+    return keyed.join(cells, hit, "left_semi").drop("__ip", "__c", "__salt")

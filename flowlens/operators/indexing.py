@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import SparseVector, VectorUDT, Vectors
+from pyspark.ml.linalg import VectorUDT, Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.session import cut_lineage
+
 BUCKETS = 512
 WIDEST = 1 << 20  # largest vocabulary that gets a vector slot per name
 
@@ -27,7 +29,8 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def index_users_items(ratings: DataFrame) -> DataFrame:
-    """Ratings with ``ip_index`` and ``host_index``."""
+    """Ratings with ``ip_index`` and ``host_index``; the ratings are read three times, so they are computed once."""
+    ratings = cut_lineage(ratings)
     users, items = dense_index(ratings, "ip", "ip_index"), dense_index(ratings, "host", "host_index")
     return ratings.join(users, "ip").join(items, "host")
 
@@ -49,7 +52,7 @@ def host_vectors(ratings: DataFrame, value: str) -> tuple[DataFrame, int]:
     rows = cells.groupBy("ip").agg(F.array_sort(F.collect_list(F.struct("slot", "v"))).alias("cells"))  # <= size cells
 
     @F.udf(VectorUDT())
-    def to_sparse(cells) -> SparseVector:
+    def to_sparse(cells):
         return Vectors.sparse(size, [c["slot"] for c in cells], [float(c["v"]) for c in cells])
 
     return rows.select("ip", to_sparse("cells").alias("vector")), size

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from flowlens.functions.flows import hour_label, truncated
 from flowlens.operators.baselines import KB, _level
 from flowlens.operators.skew import salted_lookup
+from flowlens.session import cut_lineage
 
 # Port classes and thresholds.
 REGULAR, SUSPECT, OUTGOING, OPEN = "0", "1", "2", "3"
@@ -87,13 +88,18 @@ def classify_ports_simple(flows: DataFrame) -> DataFrame:
     return step1.withColumn("abport", _open_port(F.col("abport"))).drop("rare")
 
 
+def _two_places(column: str) -> Column:
+    """Two decimals, half up, with the noise of floating-point sums removed first."""
+    return F.round(F.round(column, 6), 2).alias(column)
+
+
 def _rolled(column: str, mask: int) -> Column:
     return F.when(F.col("__g").bitwiseAND(F.lit(mask)) == 0, F.col(column)).otherwise("").alias(column)
 
 
-def _only_open(levels: DataFrame, classified: DataFrame) -> DataFrame:
+def _only_open(levels: DataFrame, fine: DataFrame) -> DataFrame:
     """Level rows whose port and protocol occur among the open ports of the asset ('' stands for every one)."""
-    opened = classified.where(F.col("abport") == OPEN)
+    opened = fine.where(F.col("opened") > 0)
     ports = opened.select("name", "port").where(F.col("port") != " ").distinct().withColumn("open_port", F.lit(True))
     protos = opened.select("name", "proto").where(F.col("proto") != " ").distinct().withColumn("open_proto", F.lit(True))
     joined = levels.join(ports, ["name", "port"], "left").join(protos, ["name", "proto"], "left")
@@ -129,17 +135,19 @@ def port_baseline_3sigma(classified: DataFrame) -> DataFrame:
 def port_baseline_max(classified: DataFrame) -> DataFrame:
     """Largest packets and KB per asset and hour on four levels, kept where port and protocol are open."""
     fine = classified.groupBy("name", "port", "proto", hour_label(F.col("recordtime")).alias("hour")).agg(
-        F.max(F.col("packernum").cast("double")).alias("pk"), F.max(F.col("bytesize").cast("double")).alias("by")
+        F.max(F.col("packernum").cast("double")).alias("pk"), F.max(F.col("bytesize").cast("double")).alias("by"),
+        F.count_if(F.col("abport") == OPEN).alias("opened"),
     )
+    fine = cut_lineage(fine)  # the only pass over the flows: levels and open lists read these few rows
     sets = [["name", "hour"], ["name", "port", "hour"], ["name", "proto", "hour"], ["name", "port", "proto", "hour"]]
     levels = fine.groupingSets(sets, "name", "port", "proto", "hour").agg(
         F.max("pk").alias("connectavg"), (F.max("by") / KB).alias("netflowavg"), F.grouping_id().alias("__g")
     )
     named = levels.select(
-        "name", _rolled("port", 4), _rolled("proto", 2), "hour", F.round("connectavg", 2).alias("connectavg"),
-        F.round("netflowavg", 2).alias("netflowavg"), _level(_BY_HOUR).alias("baseline"),
+        "name", _rolled("port", 4), _rolled("proto", 2), "hour", _two_places("connectavg"),
+        _two_places("netflowavg"), _level(_BY_HOUR).alias("baseline"),
     )
-    return _only_open(named, classified)
+    return _only_open(named, fine)
 
 
 def port_baseline_3mean(classified: DataFrame) -> DataFrame:
@@ -147,7 +155,9 @@ def port_baseline_3mean(classified: DataFrame) -> DataFrame:
     fine = classified.groupBy("name", "port", "proto").agg(
         F.sum(F.col("packernum").cast("double")).alias("pk"), F.sum(F.col("bytesize").cast("double")).alias("by"),
         F.count("packernum").alias("n_pk"), F.count("bytesize").alias("n_by"),
+        F.count_if(F.col("abport") == OPEN).alias("opened"),
     )
+    fine = cut_lineage(fine)
     sets = [["name"], ["name", "port"], ["name", "proto"], ["name", "port", "proto"]]
     levels = fine.groupingSets(sets, "name", "port", "proto").agg(
         (3 * F.sum("pk") / F.sum("n_pk")).alias("connectup"), (3 * F.sum("by") / F.sum("n_by") / KB).alias("netflowup"),
@@ -155,14 +165,14 @@ def port_baseline_3mean(classified: DataFrame) -> DataFrame:
     )
     named = levels.select(
         "name", _rolled("port", 2), _rolled("proto", 1), F.lit(0.0).alias("connectdown"),
-        F.round("connectup", 2).alias("connectup"), F.lit(0.0).alias("netflowdown"),
-        F.round("netflowup", 2).alias("netflowup"), _level(_NO_HOUR).alias("baseline"),
+        _two_places("connectup"), F.lit(0.0).alias("netflowdown"), _two_places("netflowup"), _level(_NO_HOUR).alias("baseline"),
     )
-    return _only_open(named, classified)
+    return _only_open(named, fine)
 
 
 def judge_ports(classified: DataFrame, baseline: DataFrame) -> DataFrame:
     """Verdict of open-port rows against the asset's known ports, protocols and overall bounds; other rows keep theirs."""
+    baseline = cut_lineage(baseline)  # a few rows per asset, read three times
     ports = baseline.where(F.col("baseline") == "PORT").select("name", "port", F.lit(True).alias("known_port"))
     bounds = baseline.where(F.col("baseline") == "ALL").select("name", "connectup", "netflowup")
     # One row per asset: its bounds and its protocols (a few values).

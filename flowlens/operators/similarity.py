@@ -1,4 +1,8 @@
-"""Exact cosine similarity of sparse rows, built from (member, key, value) entries."""
+"""Exact cosine similarity of sparse rows, built from (member, key, value) entries.
+
+Entries are aggregates that every step reads again, so they are written once to the checkpoint folder instead of being
+computed from the logs for every step.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.operators.skew import group_pairs, salted_lookup
+from flowlens.session import cut_lineage
 
 
 def _unit_entries(entries: DataFrame, member: str, key: str, value: str) -> DataFrame:
@@ -22,7 +27,7 @@ def cosine_pairs(entries: DataFrame, member: str, key: str, value: str) -> DataF
     The result holds one row per pair that shares a key, so the work per key is the size of its part of the answer;
     products are summed before the shuffle and hot keys are cut into blocks.
     """
-    unit = _unit_entries(entries, member, key, value)
+    unit = cut_lineage(_unit_entries(cut_lineage(entries), member, key, value))
     met = group_pairs(unit, "k", "m", "v")
     return met.groupBy("left", "right").agg(F.sum(F.col("left_value") * F.col("right_value")).alias("sim"))
 
@@ -33,21 +38,31 @@ def cosine_pairs_above(entries: DataFrame, member: str, key: str, value: str, th
     Keys are ordered by popularity classes (powers of two), the most popular first. Each member leaves out its leading
     classes as long as their part of the unit vector is shorter than the threshold. Take a pair and the member whose
     left-out part reaches further: if the two share no key outside their left-out parts, every shared key lies in that
-    member's part, so their product is below the threshold. Candidates therefore meet in a key both have kept; the full
-    product is then taken over all shared keys.
+    member's part, so their product is below the threshold. Candidates therefore meet in a key both have kept. A second
+    bound drops candidates whose vectors are long in different classes: the product is at most the sum over the classes
+    of the two lengths multiplied. For the rest the full product is taken over all shared keys.
     """
-    unit = _unit_entries(entries, member, key, value)
+    unit = _unit_entries(cut_lineage(entries), member, key, value)
     popularity = unit.groupBy("k").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("c"))
-    classed = salted_lookup(unit, popularity, ["k"], "inner")
+    classed = cut_lineage(salted_lookup(unit, popularity, ["k"], "inner"))
     # a few dozen classes per member: the running length needs only one row per class
     per_class = classed.groupBy("m", "c").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
     running = F.sum("s").over(Window.partitionBy("m").orderBy(F.desc("c")))
     slack = threshold * threshold * (1 - 1e-9)
     kept_classes = per_class.withColumn("r", running).where(F.col("r") >= slack).select("m", "c")
-    kept = salted_lookup(classed, kept_classes, ["m", "c"], "inner").select("m", "k", "v")
-    candidates = group_pairs(kept, "k", "m", "v").select("left", "right").distinct()
-    a = unit.select(F.col("m").alias("left"), "k", F.col("v").alias("lv"))
-    b = unit.select(F.col("m").alias("right"), "k", F.col("v").alias("rv"))
+    kept = cut_lineage(salted_lookup(classed, kept_classes, ["m", "c"], "inner").select("m", "k", "v"))
+    met = group_pairs(kept, "k", "m", "v").select("left", "right").distinct()
+    # one row per member: popularity class -> length of the vector inside it
+    lengths = per_class.groupBy("m").agg(F.map_from_entries(F.collect_list(F.struct("c", F.sqrt("s")))).alias("by_class"))
+    left = lengths.select(F.col("m").alias("left"), F.col("by_class").alias("l"))
+    right = lengths.select(F.col("m").alias("right"), F.col("by_class").alias("r"))
+    most = F.aggregate(
+        F.map_entries("l"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at("r", e["key"]), F.lit(0.0))
+    )
+    near = met.join(left, "left").join(right, "right").where(most >= threshold * (1 - 1e-9))
+    candidates = near.select("left", "right")
+    a = classed.select(F.col("m").alias("left"), "k", F.col("v").alias("lv"))
+    b = classed.select(F.col("m").alias("right"), "k", F.col("v").alias("rv"))
     product = candidates.join(a, "left").join(b, ["right", "k"])
     sims = product.groupBy("left", "right").agg(F.sum(F.col("lv") * F.col("rv")).alias("sim"))
     return sims.where(F.col("sim") >= threshold - 1e-12)

@@ -95,7 +95,7 @@ def visits(moniflow: DataFrame, strict: bool = False) -> DataFrame:
 
 def behaviour_ratings(moniflow: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ratings (ip, host, time, count) and (ip, host, count)."""
-    counts = agg.visit_counts(visits(moniflow)).withColumn("count", F.col("count").cast("double"))
+    counts = cut_lineage(agg.visit_counts(visits(moniflow)).withColumn("count", F.col("count").cast("double")))
     return (
         counts.where(F.col("level") == "ip_host_time").drop("level"),
         counts.where(F.col("level") == "ip_host").drop("level", "time"),
@@ -171,14 +171,15 @@ def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
 
 def port_portrait(today: DataFrame, history: DataFrame) -> DataFrame:
     """Port verdicts of today's flows against the ports, protocols and bounds of the history, per asset."""
-    before = ports.classify_ports(joins.merge_reverse_flows(history))
-    bounds = ports.port_baseline_3mean(before)
-    return ports.judge_ports(ports.classify_ports(joins.merge_reverse_flows(today)), bounds)
+    # the merged flows are read three times (rows, port counts, row count): merge once
+    before, now = (cut_lineage(joins.merge_reverse_flows(f)) for f in (history, today))
+    bounds = ports.port_baseline_3mean(ports.classify_ports(before))
+    return ports.judge_ports(ports.classify_ports(now), bounds)
 
 
 def port_portrait_simple(flows: DataFrame) -> DataFrame:
     """Newer form: 3-sigma port baselines."""
-    return ports.port_baseline_3sigma(ports.classify_ports_simple(joins.merge_reverse_flows(flows)))
+    return ports.port_baseline_3sigma(ports.classify_ports_simple(cut_lineage(joins.merge_reverse_flows(flows))))
 
 
 def flow_baseline(day: DataFrame, week: DataFrame) -> DataFrame:
@@ -195,7 +196,8 @@ def repeated_flows(flows: DataFrame) -> DataFrame:
 
 def attacks_of(classified: DataFrame, more_than: int = 10) -> DataFrame:
     """Attack rows of classified flows: named type and more than ten flows of the same time, ends and protocol."""
-    sized = joins.with_group_size(classified.where("prediction > 0"), ["srcip", "dstip", "proto", "recordtime"])
+    hits = cut_lineage(classified.where("prediction > 0"))  # the model's hits are counted and listed
+    sized = joins.with_group_size(hits, ["srcip", "dstip", "proto", "recordtime"])
     kind = ff.attack_type(F.col("prediction"), F.col("proto"), F.col("packernum"))
     named = sized.withColumn("attacktype", kind)
     return named.where((F.col("attacktype") != "") & (F.col("flownums") > more_than))

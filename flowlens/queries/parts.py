@@ -177,12 +177,17 @@ def open_lists(name: str) -> None:
     part(f"{name}_open_protos", f"SELECT DISTINCT name, proto FROM {name} WHERE abport = '3' AND proto <> ' '", name)
 
 
+def half_up(value: str) -> str:
+    """Two decimals, half up, as the decimal type rounds."""
+    return f"CAST(round(CAST({value} AS DECIMAL(30, 6)), 2) AS DOUBLE)"
+
+
 def three_mean(name: str) -> None:
     """Bounds of three means of a classified table, as ``<name>_mean``."""
     open_lists(name)
     part(f"{name}_levels", f"""
 SELECT name, CASE WHEN grouping(port) = 0 THEN port ELSE '' END AS port, CASE WHEN grouping(proto) = 0 THEN proto ELSE '' END AS proto,
-       round(3 * avg(packernum), 2) AS connectup, round(3 * avg(bytesize) / 1024, 2) AS netflowup,
+       {half_up('3 * avg(packernum)')} AS connectup, {half_up('3 * avg(bytesize) / 1024')} AS netflowup,
        CASE WHEN grouping(port) = 0 AND grouping(proto) = 0 THEN 'PORTPROTO' WHEN grouping(port) = 0 THEN 'PORT'
             WHEN grouping(proto) = 0 THEN 'PROTO' ELSE 'ALL' END AS baseline
 FROM {name} GROUP BY GROUPING SETS ((name), (name, port), (name, proto), (name, port, proto))""", name)

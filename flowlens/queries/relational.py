@@ -7,7 +7,7 @@ from flowlens.operators import aggregates as agg
 from flowlens.operators import assets, audit, baselines, clustering, groups, indexing, joins, ports
 from flowlens.operators.similarity import user_similarity
 from flowlens.plans import jobs
-from flowlens.queries.parts import SEVEN, part
+from flowlens.queries.parts import SEVEN, half_up, part
 from flowlens.queries.registry import query
 from flowlens.sources import fixtures as fx
 from flowlens.sources import readers
@@ -280,9 +280,9 @@ def agg_port_baseline_3sigma(spark, d):
     return ports.port_baseline_3sigma(ports.classify_ports_simple(fx.port_flows(spark, d)))
 
 
-part("classified_max0", """
+part("classified_max0", f"""
 SELECT name, CASE WHEN grouping(port) = 0 THEN port ELSE '' END AS port, CASE WHEN grouping(proto) = 0 THEN proto ELSE '' END AS proto,
-       CAST(hour AS VARCHAR) AS hour, CAST(max(packernum) AS DOUBLE) AS connectavg, round(max(bytesize) / 1024.0, 2) AS netflowavg,
+       CAST(hour AS VARCHAR) AS hour, CAST(max(packernum) AS DOUBLE) AS connectavg, {half_up('max(bytesize) / 1024.0')} AS netflowavg,
        CASE WHEN grouping(port) = 0 AND grouping(proto) = 0 THEN 'PORTPROTO' WHEN grouping(port) = 0 THEN 'PORT'
             WHEN grouping(proto) = 0 THEN 'PROTO' ELSE 'ALL' END AS baseline
 FROM classified GROUP BY GROUPING SETS ((name, hour), (name, port, hour), (name, proto, hour), (name, port, proto, hour))""", "classified")
