@@ -34,8 +34,10 @@ def in_ranges(ip: Column, ranges: list[tuple[str, str]]) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def semi_join_ranges(df: DataFrame, ip: str, ranges: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """Rows whose address lies in any row of a range table (columns hold integers).
+def semi_join_ranges(
+    df: DataFrame, ip: str, ranges: DataFrame, by: str, lo: str = "lo", hi: str = "hi"
+) -> DataFrame:
+    """Rows whose address lies in any row of a range table (columns hold integers); ``by`` tells the rows apart.
 
     Ranges are cut into /16 cells, so the join is an equi-join on the cell with a range check left over; a table of
     any size works without a nested loop, and the rows of a busy cell are spread by salt.
@@ -46,7 +48,7 @@ def semi_join_ranges(df: DataFrame, ip: str, ranges: DataFrame, lo: str = "lo",
         F.col(hi).alias("__hi"),
     ).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     number = ip_to_long(F.col(ip))
-    keyed = df.withColumns({"__ip": number, "__c": F.shiftright(number, 16), "__salt": row_salt(df)})
+    keyed = df.withColumns({"__ip": number, "__c": F.shiftright(number, 16), "__salt": row_salt(by)})
     same = (F.col("__c") == F.col("__cell")) & (F.col("__salt") == F.col("__copy"))
     hit = same & F.col("__ip").between(F.col("__lo"), F.col("__hi"))
     return keyed.join(cells, hit, "left_semi").drop("__ip", "__c", "__salt")

@@ -16,7 +16,8 @@ def own_side(flows: DataFrame, columns: tuple[str, ...] = SEVEN_FEATURES) -> Dat
     """One row per flow and monitored end: the source of outgoing and inner flows, the destination of incoming ones."""
     d = F.col("flowd")
     ip = F.when(d.isin(IN_TO_OUT, IN_TO_IN), F.col("srcip")).when(d == OUT_TO_IN, F.col("dstip"))
-    return flows.where(d.isin(IN_TO_OUT, IN_TO_IN, OUT_TO_IN)).select(ip.alias("ip"), "flowd", *columns)
+    # a generator: a derived direction is computed once per row, not again in a filter pushed below it
+    return flows.select(F.explode(F.array_compact(F.array(ip))).alias("ip"), "flowd", *columns)
 
 
 def ip_totals(flows: DataFrame, features: tuple[str, ...] = SEVEN_FEATURES) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -14,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.operators.scaling import min_max_scale, with_table_stats
-from flowlens.operators.skew import label_lookup, salted_lookup
-from flowlens.session import cut_lineage
+from flowlens.operators.skew import SALTS, label_lookup, row_salt, salted_lookup
+from flowlens.session import cut_lineage, for_many_passes
 
 SEED = 42
 AT_ONCE = 4  # models fitted side by side while k is searched
@@ -128,11 +127,12 @@ def outlier_score(points: DataFrame, tag: str = "") -> DataFrame:
     ).drop("__n", "__d0", "__d1", "__e")
 
 
-def clustered_scores(sessions: DataFrame, features: list[str], tag: str, k: int | None = None) -> DataFrame:
-    """Scale, cluster and score one feature triple; k by the elbow rule unless given."""
+def clustered_scores(
+    sessions: DataFrame, features: list[str], tag: str, key: list[str], k: int | None = None
+) -> DataFrame:
+    """Scale, cluster and score one feature triple; k by the elbow rule unless given. ``key`` tells the rows apart."""
     scaled = min_max_scale(sessions, tuple(features))
-    vectors = assemble(scaled, [f + "_scl" for f in features])
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = for_many_passes(assemble(scaled, [f + "_scl" for f in features]), *key)
     best = k or elbow_k(vectors)
     model = KMeans(k=best, featuresCol="vector", predictionCol="label", seed=SEED, maxIter=10).fit(vectors)
     scored = outlier_score(assign(model, vectors), tag)
@@ -140,7 +140,7 @@ def clustered_scores(sessions: DataFrame, features: list[str], tag: str, k: int
 
 
 def grouped_kmeans(
-    points: DataFrame, group: list[str], row_key: list[str], features: list[str], k: int, weight: str | None = None,
+    points: DataFrame, group: list[str], row_key: str, features: list[str], k: int, weight: str | None = None,
     max_iter: int = 20, tol: float = 1e-4,
 ) -> DataFrame:
     """K-means inside every group at once, with ``label`` and ``distance`` per point.
@@ -150,54 +150,62 @@ def grouped_kmeans(
     centers are found by farthest-first search from the row with the smallest key, so runs repeat. A group of n distinct
     rows uses at most n centers.
     """
-    vec = F.array(*[F.col(f).cast("double") for f in features])
-    base = points.withColumn("__v", vec)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    w = F.col(weight) if weight else F.lit(1)
-
-    def nearest(centers: Column) -> Column:
-        ds = F.transform(centers, lambda c: array_distance(F.col("__v"), c))
-        return F.struct(F.array_min(ds).alias("d"), (F.array_position(ds, F.array_min(ds)) - 1).cast("int").alias("l"))
-
-    def to_points(centers: DataFrame) -> DataFrame:
-        return salted_lookup(base, centers, group, "inner").withColumn("__n", nearest(F.col("__c")))
-
-    first = F.struct(*[F.col(c) for c in row_key])
-    centers = base.groupBy(*group).agg(F.array(F.min_by("__v", first)).alias("__c"))
-    for _ in range(1, k):
-        far = to_points(centers).groupBy(*group).agg(F.max(F.struct(F.col("__n.d").alias("d"), "__v")).alias("__far"))
-        grown = F.when(F.col("__far.d") > 0, F.concat("__c", F.array("__far.__v"))).otherwise(F.col("__c"))
+    base = points.withColumns({f"__f{j}": F.col(f).cast("double") for j, f in enumerate(features)})
+    base = base.withColumns({"__w": F.col(weight) if weight else F.lit(1), "__salt": row_salt(row_key)})
+    # Partitioned once by (group, salt): a round moves the copied centers to the points, never the points.
+    base = for_many_passes(base, *group, "__salt", ordered=True)
+    dims = range(len(features))
+    vector = F.array(*[F.col(f"__f{j}") for j in dims])
+
+    def square(i: int) -> Column:
+        """Squared distance to center i; infinite where the group has fewer centers. Plain arithmetic, so it compiles."""
+        center = F.get(F.col("__c"), F.lit(i))
+        total = F.lit(0.0)
+        for j in dims:
+            gap = F.col(f"__f{j}") - center[j]
+            total = total + gap * gap
+        return F.coalesce(total, F.lit(float("inf")))
+
+    def to_points(centers: DataFrame, n: int) -> DataFrame:
+        copies = centers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        near = base.join(copies, [*group, "__salt"]).withColumns({f"__d{i}": square(i) for i in range(n)})
+        ds = [F.col(f"__d{i}") for i in range(n)]
+        least = F.least(*ds) if n > 1 else ds[0]
+        label = F.lit(n - 1)
+        for i in reversed(range(n - 1)):
+            label = F.when(ds[i] == least, i).otherwise(label)
+        return near.withColumns({"__d": least, "__l": label})
+
+    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"))
+    for n in range(1, k):
+        far = to_points(centers, n).groupBy(*group).agg(F.max(F.struct(F.col("__d").alias("d"), vector.alias("v"))).alias("__far"))
+        grown = F.when(F.col("__far.d") > 0, F.concat("__c", F.array("__far.v"))).otherwise(F.col("__c"))
         centers = cut_lineage(centers.join(far, group).select(*group, grown.alias("__c")))
 
-    def mean(i: int) -> Column:
-        return F.sum(F.col("__v")[i] * w) / F.sum(w)
-
+    means = F.array(*[F.sum(F.col(f"__f{j}") * F.col("__w")) / F.sum("__w") for j in dims])
     for _ in range(max_iter):
         moved = (
-            to_points(centers).groupBy(*group, F.col("__n.l").alias("l"))
-            .agg(F.array(*[mean(i) for i in range(len(features))]).alias("c"))
+            to_points(centers, k).groupBy(*group, F.col("__l").alias("l")).agg(means.alias("c"))
             .groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("l", "c"))).alias("__m"))  # at most k rows
         )
         # a center that lost all its points stays where it was
         updated = F.transform(F.col("__c"), lambda c, i: F.coalesce(F.try_element_at(F.col("__m"), i), c))
         shift = F.array_max(F.zip_with(updated, F.col("__c"), array_distance))
-        step = cut_lineage(
-            centers.join(moved, group).select(*group, updated.alias("__u"), shift.alias("__s"))
-        )
+        step = cut_lineage(centers.join(moved, group).select(*group, updated.alias("__u"), shift.alias("__s")))
         centers = step.select(*group, F.col("__u").alias("__c"))
         if (step.agg(F.max("__s")).first()[0] or 0.0) <= tol:
             break
-    return to_points(centers).select(
-        *points.columns, F.col("__n.l").alias("label"), F.col("__n.d").alias("distance")
-    )
+    return to_points(centers, k).select(*points.columns, F.col("__l").alias("label"), F.sqrt("__d").alias("distance"))
 
 
-def grouped_min_max(points: DataFrame, group: list[str], features: list[str], suffix: str = "_scl") -> DataFrame:
+def grouped_min_max(
+    points: DataFrame, group: list[str], row_key: str, features: list[str], suffix: str = "_scl"
+) -> DataFrame:
     """Min-max scaling inside every group; 0.5 for a constant feature."""
     ends = points.groupBy(*group).agg(
         *[F.min(f).alias(f"__{f}_lo") for f in features], *[F.max(f).alias(f"__{f}_hi") for f in features]
     )
-    joined = salted_lookup(points, ends, group, "inner")
+    joined = salted_lookup(points, ends, group, row_key, "inner")
 
     def scaled(f: str) -> Column:
         lo, hi = F.col(f"__{f}_lo"), F.col(f"__{f}_hi")

@@ -15,6 +15,7 @@ from flowlens.session import cut_lineage
 HOURS = 24
 MIN_SUPPORT = 0.5
 MIN_CONFIDENCE = 0.6
+MAX_SIZE = 3
 
 
 def basket_masks(visits: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
@@ -27,7 +28,7 @@ def basket_masks(visits: DataFrame, min_support: float = MIN_SUPPORT) -> DataFra
     # the hours of an address: one bit mask again, so the pass is pre-aggregated
     hours = masks.groupBy("ip").agg(F.bit_or("mask").alias("all"))
     need = hours.select("ip", F.ceil(F.bit_count("all") * F.lit(min_support)).cast("int").alias("need"))
-    return salted_lookup(masks, need, ["ip"], "inner").where(F.bit_count("mask") >= F.col("need"))
+    return salted_lookup(masks, need, ["ip"], "host", "inner").where(F.bit_count("mask") >= F.col("need"))
 
 
 def _leading_bits(mask: Column, need: Column) -> Column:
@@ -70,10 +71,12 @@ def frequent_pairs(masks: DataFrame) -> DataFrame:
     return different.unionByName(alike)
 
 
-def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_size: int | None = None) -> DataFrame:
-    """All frequent sets per address: ``ip, items (sorted), size, freq``.
+def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_size: int | None = MAX_SIZE) -> DataFrame:
+    """Frequent sets of up to ``max_size`` hosts per address: ``ip, items (sorted), size, freq``.
 
-    Sets of size n that agree on all but their last host are joined to sets of size n + 1 until none is left.
+    Sets of size n that agree on all but their last host are joined to sets of size n + 1; with ``max_size=None`` until
+    none is left. An address that visits n hosts in every hour has 2^n frequent sets, so the size is part of the
+    question; no set within the size is ever left out.
     """
     masks = cut_lineage(basket_masks(visits, min_support))
     singles = masks.select("ip", F.array("host").alias("items"), "mask", "need")

@@ -56,12 +56,12 @@ def merge_reverse_flows(flows: DataFrame) -> DataFrame:
     return both.select(*keep, summed("costtime", "__cost"), summed("packernum", "__pk"), summed("bytesize", "__by"))
 
 
-def with_group_size(df: DataFrame, keys: list[str], name: str = "flownums") -> DataFrame:
+def with_group_size(df: DataFrame, keys: list[str], by: str = "row", name: str = "flownums") -> DataFrame:
     """Rows with the number of rows that share their keys."""
-    return with_group_stats(df, keys, **{name: F.count(F.lit(1))})
+    return with_group_stats(df, keys, by, **{name: F.count(F.lit(1))})
 
 
-def flows_to_audit(flows: DataFrame, audit: DataFrame) -> DataFrame:
+def flows_to_audit(flows: DataFrame, audit: DataFrame, by: str = "id") -> DataFrame:
     """Audit rows of the clustered flows they belong to, for all cluster labels at once.
 
     ``flows``: ip, srcport, dstport, prediction. Flows with equal keys and label are folded into ``n_flows`` first, so
@@ -69,7 +69,7 @@ def flows_to_audit(flows: DataFrame, audit: DataFrame) -> DataFrame:
     """
     keys = ["ip", "srcport", "dstport"]
     folded = flows.groupBy(*keys, "prediction").agg(F.count(F.lit(1)).alias("n_flows"))
-    return salted_lookup(audit, folded, keys, "inner")
+    return salted_lookup(audit, folded, keys, by, "inner")
 
 
 def latest_records(found: DataFrame, ip: str, time: str, **columns: Column) -> DataFrame:
@@ -104,9 +104,9 @@ def changed_flag(same_is_one: bool, first_run: bool = False) -> Column:
     return F.when(F.col("changed"), on_change).otherwise(on_same)
 
 
-def with_baseline(day: DataFrame, baseline: DataFrame, keys: list[str]) -> DataFrame:
+def with_baseline(day: DataFrame, baseline: DataFrame, keys: list[str], by: str = "row") -> DataFrame:
     """Day rows with the bounds of their keys; a hot key of the day rows is spread over many tasks."""
-    return salted_lookup(day, baseline, keys, "left")
+    return salted_lookup(day, baseline, keys, by)
 
 
 def with_centers(points: DataFrame, centers: DataFrame, label: str = "label") -> DataFrame:

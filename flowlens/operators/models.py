@@ -13,7 +13,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.session import shared_folder
+from flowlens.session import for_many_passes, shared_folder
 
 SEED = 42
 FLOW_FEATURES = ["spandtime", "tcp", "udp", "packernum", "bytesize"]
@@ -89,7 +89,7 @@ def forest_fit(sample: DataFrame, params: ForestParams = ForestParams()) -> Pipe
         F.col("attacktype").try_cast("double").alias("attacktype"),
         *[F.col(f).try_cast("double").alias(f) for f in FLOW_FEATURES],
     )
-    return forest_pipeline(params).fit(typed.dropna())
+    return forest_pipeline(params).fit(for_many_passes(typed.dropna()))
 
 
 def forest_predict(model: PipelineModel, flows: DataFrame) -> DataFrame:
@@ -116,7 +116,8 @@ def url_pipeline(params: TextParams = TextParams()) -> Pipeline:
 
 def url_fit(labelled: DataFrame, params: TextParams = TextParams()) -> PipelineModel:
     """``labelled``: label (0 attack, 1 normal), urltext."""
-    return url_pipeline(params).fit(labelled.select(F.col("label").cast("double").alias("label"), "urltext"))
+    rows = labelled.select(F.col("label").cast("double").alias("label"), "urltext")
+    return url_pipeline(params).fit(for_many_passes(rows))
 
 
 def url_score(model: PipelineModel, texts: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def rare_ports(flows: DataFrame, threshold: Column) -> DataFrame:
 def _asset_rows(flows: DataFrame, threshold: Column) -> DataFrame:
     """Every flow once per asset it belongs to (source and destination), with the rarity of its destination port."""
     rare = rare_ports(flows, threshold).select("dstip", "dstport", F.lit(True).alias("rare"))
-    marked = salted_lookup(flows, rare, ["dstip", "dstport"], "left")
+    marked = salted_lookup(flows, rare, ["dstip", "dstport"], "row")
     ends = F.array_distinct(F.array("srcip", "dstip"))
     return marked.withColumn("rare", F.coalesce("rare", F.lit(False))).withColumn("name", F.explode(ends))
 
@@ -178,7 +178,7 @@ def judge_ports(classified: DataFrame, baseline: DataFrame) -> DataFrame:
     # One row per asset: its bounds and its protocols (a few values).
     protos = baseline.where(F.col("baseline") == "PROTO").groupBy("name").agg(F.collect_set("proto").alias("protos"))
     assets = bounds.join(protos, "name", "left")
-    rows = salted_lookup(salted_lookup(classified, ports, ["name", "port"]), assets, ["name"])
+    rows = salted_lookup(salted_lookup(classified, ports, ["name", "port"], "row"), assets, ["name"], "row")
     known_proto = F.coalesce(F.array_contains("protos", F.col("proto")), F.lit(False))
     number = F.coalesce(F.col("bytesize").cast("double") / KB, F.lit(0.0))
     packets = F.coalesce(F.col("packernum").cast("double"), F.lit(0.0))

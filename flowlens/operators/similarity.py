@@ -16,7 +16,7 @@ from flowlens.session import cut_lineage
 def _unit_entries(entries: DataFrame, member: str, key: str, value: str) -> DataFrame:
     """Entries divided by the length of their member's vector."""
     norms = entries.groupBy(member).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("__norm"))
-    return salted_lookup(entries, norms, [member], "inner").select(
+    return salted_lookup(entries, norms, [member], key, "inner").select(
         F.col(member).alias("m"), F.col(key).alias("k"), (F.col(value) / F.col("__norm")).alias("v")
     )
 
@@ -44,13 +44,13 @@ def cosine_pairs_above(entries: DataFrame, member: str, key: str, value: str, th
     """
     unit = _unit_entries(cut_lineage(entries), member, key, value)
     popularity = unit.groupBy("k").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("c"))
-    classed = cut_lineage(salted_lookup(unit, popularity, ["k"], "inner"))
+    classed = cut_lineage(salted_lookup(unit, popularity, ["k"], "m", "inner"))
     # a few dozen classes per member: the running length needs only one row per class
     per_class = classed.groupBy("m", "c").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
     running = F.sum("s").over(Window.partitionBy("m").orderBy(F.desc("c")))
     slack = threshold * threshold * (1 - 1e-9)
     kept_classes = per_class.withColumn("r", running).where(F.col("r") >= slack).select("m", "c")
-    kept = cut_lineage(salted_lookup(classed, kept_classes, ["m", "c"], "inner").select("m", "k", "v"))
+    kept = cut_lineage(salted_lookup(classed, kept_classes, ["m", "c"], "k", "inner").select("m", "k", "v"))
     met = group_pairs(kept, "k", "m", "v").select("left", "right").distinct()
     # one row per member: popularity class -> length of the vector inside it
     lengths = per_class.groupBy("m").agg(F.map_from_entries(F.collect_list(F.struct("c", F.sqrt("s")))).alias("by_class"))

@@ -16,16 +16,22 @@ def _same(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
-def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
-    """Salt that depends on the row's content only, so a retried task produces the same one."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+def row_salt(by: str, salts: int = SALTS) -> Column:
+    """Salt 0..salts-1 (a power of two) from one column that tells the rows of a key apart.
+
+    It depends on the row's content only, so a retried task produces the same one, and it reads no other column.
+    """
+    return F.xxhash64(F.col(by)).bitwiseAND(F.lit(salts - 1)).cast("int")
 
 
 def salted_lookup(
-    facts: DataFrame, dim: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    facts: DataFrame, dim: DataFrame, on: list[str], by: str, how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Join a big side with a much smaller keyed side; every key of the big side is spread over ``salts`` tasks."""
-    salted = facts.withColumn("__salt", row_salt(facts, salts))
+    """Join a big side with a much smaller keyed side; every key of the big side is spread over ``salts`` tasks.
+
+    ``by`` is a column of the big side that differs between the rows of a key.
+    """
+    salted = facts.withColumn("__salt", row_salt(by, salts))
     copies = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
@@ -39,9 +45,11 @@ def label_lookup(points: DataFrame, per_label: DataFrame, label: str = "label",
     return points.join(F.broadcast(per_label), label, how)
 
 
-def with_group_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -> DataFrame:
     """Each row with aggregates of its group, like an unordered window, but a hot group is never held by one task.
 
+    ``by`` is a column that differs between the rows of a group.
+
     The aggregates are pre-aggregated before the shuffle. Hot groups (at most ``1 / HOT_SHARE`` of them) are looked up
     in a broadcast table and their rows are spread by salt; the others meet their aggregates in a shuffled join.
     """
@@ -59,7 +67,7 @@ def with_group_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFra
     key_cols = [F.col(k) for k in keys]
     step = df.join(hot, _same(key_cols, [F.col(f"__h_{k}") for k in keys]), "left")
     step = step.withColumn(
-        "__salt", F.when(F.col("__h_salt").isNotNull(), 1 + row_salt(df, 1024)).otherwise(F.lit(0))
+        "__salt", F.when(F.col("__h_salt").isNotNull(), 1 + row_salt(by, 1024)).otherwise(F.lit(0))
     )
     met = _same(key_cols, [F.col(f"__c_{k}") for k in keys]) & (F.col("__salt") == F.col("__c_salt"))
     joined = step.join(cold, met, "left")
@@ -81,7 +89,7 @@ def group_pairs(
     sizes = entries.groupBy(key).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(max_block)).cast("int").alias("__blocks")
     )
-    blocked = salted_lookup(entries, sizes, [key], "inner").withColumn(
+    blocked = salted_lookup(entries, sizes, [key], member, "inner").withColumn(
         "__b", F.pmod(F.xxhash64(F.col(member)), F.col("__blocks")).cast("int")
     )
     # A cell is a pair of blocks (x <= y). Block x of it goes to the left side, block y to the right side, so two members

@@ -14,7 +14,7 @@ from flowlens.operators import assets, audit, baselines, clustering, groups, ind
 from flowlens.operators.scaling import Weights, min_max_scale, scale_zero_max, weighted_scores
 from flowlens.operators.similarity import item_similarity, user_similarity
 from flowlens.operators.skew import salted_lookup
-from flowlens.session import cut_lineage
+from flowlens.session import cut_lineage, for_many_passes
 
 APP_FEATURES = tuple(a.lower() for a in ff.APP_PROTOCOLS)
 
@@ -69,7 +69,7 @@ def scored_assets(
     if listed is not None:
         totals = joins.keep_listed(totals, listed, "ip")
     # The totals are read by several statistics: compute them from the flows once.
-    return weighted_scores(min_max_scale(cut_lineage(totals), features), weights.limited_to(features))
+    return cut_lineage(weighted_scores(min_max_scale(cut_lineage(totals), features), weights.limited_to(features)))
 
 
 def asset_groups(
@@ -77,7 +77,7 @@ def asset_groups(
     last: DataFrame | None = None,
 ) -> DataFrame:
     """Behaviour group, distance to its center and change since the last run for every address."""
-    labelled = groups.quadrant_labels(scored_assets(flows, features, listed))
+    labelled = cut_lineage(groups.quadrant_labels(scored_assets(flows, features, listed)))  # one row per asset
     return joins.with_last_result(groups.center_distances(labelled, features), last)
 
 
@@ -125,7 +125,7 @@ def host_clusters(moniflow: DataFrame, k: int = 7) -> DataFrame:
     _, rated = behaviour_ratings(moniflow)
     scaled = scale_zero_max(rated, "count", "scaled").persist(StorageLevel.MEMORY_AND_DISK)
     vectors, _ = indexing.host_vectors(scaled, "scaled")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = for_many_passes(vectors, "ip")
     model = clustering.kmeans_fit(vectors, k)
     members = clustering.mark_small_clusters(
         clustering.assign(model, vectors).select("ip", "label", "distance"), 2, "-1", drop_distance=True
@@ -147,9 +147,9 @@ def web_rules(moniflow: DataFrame, min_support: float = itemsets.MIN_SUPPORT, mi
 def netflow_clusters(flows: DataFrame, k: int = 10) -> DataFrame:
     """Source addresses clustered by their flow sums; the label and truncated center of every member."""
     features = agg.SEVEN_FEATURES
-    totals = agg.ip_totals(flows.withColumnRenamed("srcip", "ip"), features)
+    totals = cut_lineage(agg.ip_totals(flows.withColumnRenamed("srcip", "ip"), features))
     scored = weighted_scores(min_max_scale(totals, features), Weights())
-    vectors = clustering.assemble(scored, [f + "_scl" for f in features]).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = for_many_passes(clustering.assemble(scored, [f + "_scl" for f in features]), "ip")
     members = clustering.mark_small_clusters(clustering.assign(clustering.kmeans_fit(vectors, k), vectors))
     centers = agg.cluster_centers(members, features)
     # the high/low label weighs packets and bytes but not the duration
@@ -162,9 +162,10 @@ def netflow_clusters(flows: DataFrame, k: int = 10) -> DataFrame:
 
 def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
     """Flow sessions ranked by the sum of two cluster-based outlier scores."""
-    sessions = agg.flow_sessions(flows).persist(StorageLevel.MEMORY_AND_DISK)
-    first = clustering.clustered_scores(sessions, ["costtime", "packernum", "bytesize"], "1", k)
-    both = clustering.clustered_scores(first, ["flownuma", "flownums", "flownumd"], "2", k)
+    key = ["recordtime", "srcip", "dstip", "proto"]
+    sessions = cut_lineage(agg.flow_sessions(flows))
+    first = clustering.clustered_scores(sessions, ["costtime", "packernum", "bytesize"], "1", key, k)
+    both = clustering.clustered_scores(first, ["flownuma", "flownums", "flownumd"], "2", key, k)
     total = (F.col("unusual1") + F.col("unusual2")).alias("unusuals")
     return both.select("*", total).orderBy(F.desc("unusuals"))
 
@@ -190,7 +191,7 @@ def flow_baseline(day: DataFrame, week: DataFrame) -> DataFrame:
 def repeated_flows(flows: DataFrame) -> DataFrame:
     """Incoming flows that are not the first of their time, ends and protocol."""
     keys = ["recordtime", "srcip", "dstip", "proto"]
-    marked = joins.with_group_stats(flows, keys, first_row=F.min("row"))
+    marked = joins.with_group_stats(flows, keys, "row", first_row=F.min("row"))
     return marked.where((F.col("row") > F.col("first_row")) & (F.col("flowd") == ff.OUT_TO_IN)).drop("first_row")
 
 
@@ -244,11 +245,11 @@ def portrait_level_one(flows: DataFrame, k: int = 3) -> DataFrame:
         flows.where(F.col("flowd") == ff.IN_TO_IN).select(F.col("dstip").alias("ip"))
     ).distinct()
     rows = flows.withColumn("ip", F.explode(ends))
-    rows = salted_lookup(rows, monitored, ["ip"], "left_semi")
+    rows = salted_lookup(rows, monitored, ["ip"], "row", "left_semi")
     features = [f for f in ("costtime", "tcp", "udp", "icmp", "gre", "packernum", "bytesize")]
-    scaled = clustering.grouped_min_max(rows, ["ip"], features)
-    labelled = clustering.grouped_kmeans(scaled, ["ip"], ["row"], [f + "_scl" for f in features], k)
-    sized = joins.with_group_size(labelled, ["ip", "label"], "cluster_size")
+    scaled = clustering.grouped_min_max(rows, ["ip"], "row", features)
+    labelled = clustering.grouped_kmeans(scaled, ["ip"], "row", [f + "_scl" for f in features], k)
+    sized = joins.with_group_size(labelled, ["ip", "label"], name="cluster_size")
     name = F.when(F.col("cluster_size") > 2, F.col("label").cast("string")).otherwise("other")
     return sized.withColumn("prediction", name).drop("label")
 
@@ -260,8 +261,8 @@ def portrait_level_two(level_one: DataFrame, moniflow: DataFrame, k: int = 3) ->
     hot = ff.one_hot(F.col("appproto"), ff.APP_PROTOCOLS, False)
     rows = matched.withColumns(hot).withColumnRenamed("prediction", "parent")
     group = ["ip", "parent"]
-    scaled = clustering.grouped_min_max(rows, group, list(APP_FEATURES))
-    return clustering.grouped_kmeans(scaled, group, ["id"], [f + "_scl" for f in APP_FEATURES], k, weight="n_flows")
+    scaled = clustering.grouped_min_max(rows, group, "id", list(APP_FEATURES))
+    return clustering.grouped_kmeans(scaled, group, "id", [f + "_scl" for f in APP_FEATURES], k, weight="n_flows")
 
 
 def portrait_centers(level_one: DataFrame, level_two: DataFrame) -> DataFrame:

@@ -241,7 +241,7 @@ def ip_in_ranges(spark, d):
     """Source by a range table (semi join), destination by the configured list (expression)."""
     bounds = [(text_to_long(lo), text_to_long(hi)) for lo, hi in fx.ASSET_RANGES]
     ranges = spark.createDataFrame(bounds, "lo bigint, hi bigint")
-    kept = semi_join_ranges(fx.flows(spark, d).select("row", "srcip", "dstip"), "srcip", ranges)
+    kept = semi_join_ranges(fx.flows(spark, d).select("row", "srcip", "dstip"), "srcip", ranges, "row")
     return kept.select("row", "srcip", in_ranges(F.col("dstip"), fx.ASSET_RANGES).cast("int").alias("dst_in"))
 
 

@@ -303,14 +303,9 @@ JOIN kept_visits b ON a.ip = b.ip AND a.hour = b.hour AND b.host = s.y
 JOIN sets2 t ON t.ip = b.ip AND t.x = b.host
 JOIN kept_visits c ON a.ip = c.ip AND a.hour = c.hour AND c.host = t.y
 GROUP BY a.ip, a.host, b.host, c.host HAVING count(*) >= any_value(a.need)""", "kept_visits", "sets2")
-part("sets4", """
-SELECT a.ip, a.x, a.y, a.z, b.z AS w, count(*) AS freq FROM sets3 a JOIN sets3 b ON a.ip = b.ip AND a.x = b.x AND a.y = b.y AND a.z < b.z
-JOIN kept_visits v1 ON v1.ip = a.ip AND v1.host = a.x JOIN kept_visits v2 ON v2.ip = a.ip AND v2.hour = v1.hour AND v2.host = a.y
-JOIN kept_visits v3 ON v3.ip = a.ip AND v3.hour = v1.hour AND v3.host = a.z JOIN kept_visits v4 ON v4.ip = a.ip AND v4.hour = v1.hour AND v4.host = b.z
-GROUP BY a.ip, a.x, a.y, a.z, b.z HAVING count(*) >= any_value(v1.need)""", "sets3", "kept_visits")
 part("itemsets", """
 SELECT ip, [host] AS items, 1 AS size, freq FROM sets1 UNION ALL SELECT ip, [x, y], 2, freq FROM sets2
-UNION ALL SELECT ip, [x, y, z], 3, freq FROM sets3 UNION ALL SELECT ip, [x, y, z, w], 4, freq FROM sets4""", "sets1", "sets2", "sets3", "sets4")
+UNION ALL SELECT ip, [x, y, z], 3, freq FROM sets3""", "sets1", "sets2", "sets3")
 
 
 @query("frequent_itemsets", "SELECT ip, array_to_string(items, '#') AS items, size, freq FROM itemsets", "itemsets")

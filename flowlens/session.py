@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,6 +19,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # the JVM does not compile methods above 8,000 bytecodes: leave such stages to the smaller generated projections
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -47,6 +50,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/flowlens/{name}-{uuid.uuid4().hex}"
 
 
+def for_many_passes(df: DataFrame, *keys: str, ordered: bool = False) -> DataFrame:
+    """Persisted rows in even partitions (sorted inside them on request), for algorithms that read them in every round.
+
+    One shuffle by key up front; without it the rounds would inherit the partitions of the scan or of a coalesced
+    aggregate, often far fewer than there are cores.
+    """
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    even = df.repartition(n, *keys)
+    return (even.sortWithinPartitions(*keys) if ordered else even).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so an iterative plan stays short and survives lost executors."""
     sc = df.sparkSession.sparkContext

@@ -63,7 +63,7 @@ def test_ranges_as_list_and_as_table(spark):
     ranges = [("10.0.0.0", "10.0.0.255"), ("10.2.0.0", "10.4.0.0")]
     by_list = {r.ip for r in df.where(in_ranges(F.col("ip"), ranges)).collect()}
     table = spark.createDataFrame([(text_to_long(a), text_to_long(b)) for a, b in ranges], "lo bigint, hi bigint")
-    by_table = {r.ip for r in semi_join_ranges(df, "ip", table).collect()}
+    by_table = {r.ip for r in semi_join_ranges(df, "ip", table, "ip").collect()}
     assert by_list == by_table == {"10.0.0.0", "10.0.0.255", "10.3.0.5"}
 
 

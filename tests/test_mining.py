@@ -69,7 +69,7 @@ def test_dense_index(spark, ratings):
 def test_itemsets_equal_fpgrowth(spark, sf_dir):
     visits = jobs.visits(fx.moniflow(spark, sf_dir)).cache()
     support = 0.2
-    ours = itemsets.frequent_itemsets(visits, support).cache()
+    ours = itemsets.frequent_itemsets(visits, support, max_size=None).cache()
     for ip in sorted(r.ip for r in visits.select("ip").distinct().collect())[:3]:
         one = visits.where(F.col("ip") == ip).groupBy("hour").agg(F.collect_set("host").alias("items"))
         model = FPGrowth(minSupport=support, minConfidence=0.6).fit(one)
@@ -84,7 +84,7 @@ def test_itemsets_equal_fpgrowth(spark, sf_dir):
 def test_larger_itemsets(spark):
     rows = [("a", f"h{i}", h) for h in range(4) for i in range(5)] + [("a", "rare", 0), ("b", "h0", 3)]
     df = spark.createDataFrame(rows, "ip string, host string, hour int")
-    got = itemsets.frequent_itemsets(df, 0.9).where("ip = 'a'")
+    got = itemsets.frequent_itemsets(df, 0.9, max_size=None).where("ip = 'a'")
     assert {r["size"]: r.n for r in got.groupBy("size").agg(F.count("*").alias("n")).collect()} == {1: 5, 2: 10, 3: 10, 4: 5, 5: 1}
     capped = itemsets.frequent_itemsets(df, 0.9, max_size=2).where("ip = 'a'")
     assert capped.count() == 15
@@ -119,7 +119,7 @@ def test_grouped_kmeans_separates_each_group(spark):
                 n += 1
     rows += [("tiny", n, 1.0, 1.0, 0), ("tiny", n + 1, 1.0, 1.0, 0)]
     df = spark.createDataFrame(rows, "g string, id int, x double, y double, truth int")
-    out = clustering.grouped_kmeans(df, ["g"], ["id"], ["x", "y"], 3).cache()
+    out = clustering.grouped_kmeans(df, ["g"], "id", ["x", "y"], 3).cache()
     assert out.count() == len(rows)
     pairs = {(r.g, r.truth, r.label) for r in out.where("g <> 'tiny'").select("g", "truth", "label").distinct().collect()}
     assert len(pairs) == 6 and len({(g, l) for g, _, l in pairs}) == 6
@@ -130,8 +130,8 @@ def test_grouped_kmeans_separates_each_group(spark):
 def test_weighted_grouped_kmeans_equals_repeated_rows(spark):
     rows = [("g", 1, 0.0, 3), ("g", 2, 1.0, 1), ("g", 3, 10.0, 2), ("g", 4, 11.0, 2)]
     df = spark.createDataFrame(rows, "g string, id int, x double, w int")
-    folded = clustering.grouped_kmeans(df, ["g"], ["id"], ["x"], 2, weight="w")
-    repeated = clustering.grouped_kmeans(df.withColumn("w", F.explode(F.sequence(F.lit(1), "w"))), ["g"], ["id"], ["x"], 2)
+    folded = clustering.grouped_kmeans(df, ["g"], "id", ["x"], 2, weight="w")
+    repeated = clustering.grouped_kmeans(df.withColumn("w", F.explode(F.sequence(F.lit(1), "w"))), ["g"], "id", ["x"], 2)
     a = {r.id: (r.label, round(r.distance, 6)) for r in folded.collect()}
     b = {r.id: (r.label, round(r.distance, 6)) for r in repeated.collect()}
     assert a == b and a[1][1] == 0.25

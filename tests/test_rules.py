@@ -97,6 +97,7 @@ def test_flow_verdicts_and_single_row_bounds(spark):
     assert bounds[("b", "proto")] == (20.0, 2.0)
     assert bounds[("a", "all")] == pytest.approx((50.0, 5.0))  # one row: three times the overall mean
     day = spark.createDataFrame([("b", "TCP", 1, 20, 2048), ("b", "TCP", 1, 21, 2048), ("b", "TCP", 1, 21, 2049), ("b", "UDP", 1, 1, 1)], cols)
+    day = day.withColumn("row", F.concat_ws("-", "proto", "packernum", "bytesize"))
     assert [r["index"] for r in baselines.judge_flows(day, baselines.week_baseline(week)).orderBy("proto", "bytesize", "packernum").collect()] == [
         "normal", "connectabnormal", "netflowabnormal", "protoabnormal"
     ]

@@ -22,7 +22,7 @@ def skewed(spark):
 @pytest.mark.parametrize("hot_rows", [1, 200, 10**9])
 def test_group_stats_equal_window(skewed, monkeypatch, hot_rows):
     monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
-    got = skew.with_group_stats(skewed, ["k"], n=F.count(F.lit(1)), lo=F.min("v"))
+    got = skew.with_group_stats(skewed, ["k"], "id", n=F.count(F.lit(1)), lo=F.min("v"))
     w = Window.partitionBy("k")
     want = skewed.select("*", F.count(F.lit(1)).over(w).alias("n"), F.min("v").over(w).alias("lo"))
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
@@ -31,7 +31,7 @@ def test_group_stats_equal_window(skewed, monkeypatch, hot_rows):
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_lookup_equals_join(spark, skewed, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, x int")
-    got = skew.salted_lookup(skewed, dim, ["k"], how)
+    got = skew.salted_lookup(skewed, dim, ["k"], "id", how)
     want = skewed.join(dim, "k", how)
     key = lambda r: r["id"]
     assert sorted([r.asDict() for r in got.collect()], key=key) == sorted([r.asDict() for r in want.collect()], key=key)
@@ -57,7 +57,7 @@ def test_latest_records_keep_ties(spark):
 
 
 def test_group_size(skewed):
-    sizes = {r.k: r.flownums for r in with_group_size(skewed, ["k"]).select("k", "flownums").distinct().collect()}
+    sizes = {r.k: r.flownums for r in with_group_size(skewed, ["k"], "id").select("k", "flownums").distinct().collect()}
     assert sum(sizes.values()) == 3002 and sizes[None] == 2
 
 
