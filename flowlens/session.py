@@ -21,6 +21,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.session.timeZone", "UTC")
         # the JVM does not compile methods above 8,000 bytecodes: leave such stages to the smaller generated projections
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
