@@ -119,8 +119,12 @@ def attack_type(prediction: Column, proto: Column, packets: Column) -> Column:
     )
 
 
+# Event names of an SQL injection.
+INJECTION_NAME, INJECTION_PREFIX = "HTTP_SQL注入攻击", "SQL Injection"
+
+
 def is_sql_injection(eventname: Column) -> Column:
-    return (eventname == "HTTP_SQL注入攻击") | eventname.startswith("SQL Injection")
+    return (eventname == INJECTION_NAME) | eventname.startswith(INJECTION_PREFIX)
 
 
 def has_http_host(appproto: Column, host: Column) -> Column:

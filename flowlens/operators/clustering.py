@@ -127,15 +127,22 @@ def outlier_score(points: DataFrame, tag: str = "") -> DataFrame:
     ).drop("__n", "__d0", "__d1", "__e")
 
 
-def clustered_scores(
-    sessions: DataFrame, features: list[str], tag: str, key: list[str], k: int | None = None
-) -> DataFrame:
-    """Scale, cluster and score one feature triple; k by the elbow rule unless given. ``key`` tells the rows apart."""
-    scaled = min_max_scale(sessions, tuple(features))
-    vectors = for_many_passes(assemble(scaled, [f + "_scl" for f in features]), *key)
+def _triple_vectors(sessions: DataFrame, features: list[str]) -> DataFrame:
+    return assemble(min_max_scale(sessions, tuple(features)), [f + "_scl" for f in features])
+
+
+def triple_model(sessions: DataFrame, features: list[str], key: list[str], k: int | None = None) -> KMeansModel:
+    """Cluster model of scaled features; k by the elbow rule unless given. ``key`` tells the rows apart."""
+    vectors = for_many_passes(_triple_vectors(sessions, features).select(*key, "vector"), *key)
     best = k or elbow_k(vectors)
     model = KMeans(k=best, featuresCol="vector", predictionCol="label", seed=SEED, maxIter=10).fit(vectors)
-    scored = outlier_score(assign(model, vectors), tag)
+    vectors.unpersist()
+    return model
+
+
+def triple_scores(sessions: DataFrame, features: list[str], model: KMeansModel, tag: str) -> DataFrame:
+    """Rows with the size of their cluster and their outlier score, as ``num<tag>`` and ``unusual<tag>``."""
+    scored = outlier_score(assign(model, _triple_vectors(sessions, features)), tag)
     return scored.select(*sessions.columns, f"num{tag}", f"unusual{tag}")
 
 

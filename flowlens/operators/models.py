@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
@@ -157,13 +158,19 @@ def top_items(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFr
 
 
 def recommend_by_day_part(indexed: DataFrame, params: AlsParams = AlsParams()) -> DataFrame:
-    """Top items per user and part of the day (ip_index, host_index, score, time), one model per part."""
-    parts = []
-    for part in DAY_PARTS:
+    """Top items per user and part of the day (ip_index, host_index, score, time), one model per part.
+
+    The models do not depend on each other and are fitted side by side.
+    """
+
+    def one(part: str) -> DataFrame | None:
         rows = indexed.where(F.col("time") == part)
         if rows.isEmpty():
-            continue
-        parts.append(top_items(als_fit(rows, True, params), params.top).withColumn("time", F.lit(part)))
+            return None
+        return top_items(als_fit(rows, True, params), params.top).withColumn("time", F.lit(part))
+
+    with ThreadPool(len(DAY_PARTS)) as pool:
+        parts = [p for p in pool.map(one, DAY_PARTS) if p is not None]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,6 +1,6 @@
 """Exact cosine similarity of sparse rows, built from (member, key, value) entries.
 
-Entries are aggregates that every step reads again, so they are written once to the checkpoint folder instead of being
+Entries are aggregates that every step reads again, so they are written once to the shared folder instead of being
 computed from the logs for every step.
 """
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.operators.skew import group_pairs, salted_lookup
-from flowlens.session import cut_lineage
+from flowlens.session import stored
 
 
 def _unit_entries(entries: DataFrame, member: str, key: str, value: str) -> DataFrame:
@@ -27,7 +27,7 @@ def cosine_pairs(entries: DataFrame, member: str, key: str, value: str) -> DataF
     The result holds one row per pair that shares a key, so the work per key is the size of its part of the answer;
     products are summed before the shuffle and hot keys are cut into blocks.
     """
-    unit = cut_lineage(_unit_entries(cut_lineage(entries), member, key, value))
+    unit = stored(_unit_entries(stored(entries, "entries"), member, key, value), "unit")
     met = group_pairs(unit, "k", "m", "v")
     return met.groupBy("left", "right").agg(F.sum(F.col("left_value") * F.col("right_value")).alias("sim"))
 
@@ -42,15 +42,15 @@ def cosine_pairs_above(entries: DataFrame, member: str, key: str, value: str, th
     bound drops candidates whose vectors are long in different classes: the product is at most the sum over the classes
     of the two lengths multiplied. For the rest the full product is taken over all shared keys.
     """
-    unit = _unit_entries(cut_lineage(entries), member, key, value)
+    unit = _unit_entries(stored(entries, "entries"), member, key, value)
     popularity = unit.groupBy("k").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("c"))
-    classed = cut_lineage(salted_lookup(unit, popularity, ["k"], "m", "inner"))
+    classed = stored(salted_lookup(unit, popularity, ["k"], "m", "inner"), "classed")
     # a few dozen classes per member: the running length needs only one row per class
     per_class = classed.groupBy("m", "c").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
     running = F.sum("s").over(Window.partitionBy("m").orderBy(F.desc("c")))
     slack = threshold * threshold * (1 - 1e-9)
     kept_classes = per_class.withColumn("r", running).where(F.col("r") >= slack).select("m", "c")
-    kept = cut_lineage(salted_lookup(classed, kept_classes, ["m", "c"], "k", "inner").select("m", "k", "v"))
+    kept = stored(salted_lookup(classed, kept_classes, ["m", "c"], "k", "inner").select("m", "k", "v"), "kept")
     met = group_pairs(kept, "k", "m", "v").select("left", "right").distinct()
     # one row per member: popularity class -> length of the vector inside it
     lengths = per_class.groupBy("m").agg(F.map_from_entries(F.collect_list(F.struct("c", F.sqrt("s")))).alias("by_class"))

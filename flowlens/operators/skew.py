@@ -59,7 +59,8 @@ def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -
     def renamed(part: DataFrame, tag: str) -> DataFrame:
         return part.select(
             *[F.col(k).alias(f"__{tag}_{k}") for k in keys], *[F.col(s).alias(f"__{tag}_{s}") for s in stats],
-            F.lit(0).alias(f"__{tag}_salt"),
+            # always 0, but not a constant: a constant would be folded into the condition and not be a join key
+            F.least(F.col("__n"), F.lit(0)).cast("int").alias(f"__{tag}_salt"),
         )
 
     hot = F.broadcast(renamed(grouped.where(F.col("__n") >= hot_from), "h"))

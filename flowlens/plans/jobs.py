@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -14,7 +16,7 @@ from flowlens.operators import assets, audit, baselines, clustering, groups, ind
 from flowlens.operators.scaling import Weights, min_max_scale, scale_zero_max, weighted_scores
 from flowlens.operators.similarity import item_similarity, user_similarity
 from flowlens.operators.skew import salted_lookup
-from flowlens.session import cut_lineage, for_many_passes
+from flowlens.session import cut_lineage, for_many_passes, stored
 
 APP_FEATURES = tuple(a.lower() for a in ff.APP_PROTOCOLS)
 
@@ -163,9 +165,12 @@ def netflow_clusters(flows: DataFrame, k: int = 10) -> DataFrame:
 def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
     """Flow sessions ranked by the sum of two cluster-based outlier scores."""
     key = ["recordtime", "srcip", "dstip", "proto"]
-    sessions = cut_lineage(agg.flow_sessions(flows))
-    first = clustering.clustered_scores(sessions, ["costtime", "packernum", "bytesize"], "1", key, k)
-    both = clustering.clustered_scores(first, ["flownuma", "flownums", "flownumd"], "2", key, k)
+    sessions = stored(agg.flow_sessions(flows), "sessions")
+    triples = [["costtime", "packernum", "bytesize"], ["flownuma", "flownums", "flownumd"]]
+    with ThreadPool(2) as pool:  # the two models do not depend on each other
+        fitted = pool.map(lambda features: clustering.triple_model(sessions, features, key, k), triples)
+    first = clustering.triple_scores(sessions, triples[0], fitted[0], "1")
+    both = clustering.triple_scores(first, triples[1], fitted[1], "2")
     total = (F.col("unusual1") + F.col("unusual2")).alias("unusuals")
     return both.select("*", total).orderBy(F.desc("unusuals"))
 
@@ -173,14 +178,14 @@ def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
 def port_portrait(today: DataFrame, history: DataFrame) -> DataFrame:
     """Port verdicts of today's flows against the ports, protocols and bounds of the history, per asset."""
     # the merged flows are read three times (rows, port counts, row count): merge once
-    before, now = (cut_lineage(joins.merge_reverse_flows(f)) for f in (history, today))
+    before, now = (stored(joins.merge_reverse_flows(f), "merged") for f in (history, today))
     bounds = ports.port_baseline_3mean(ports.classify_ports(before))
     return ports.judge_ports(ports.classify_ports(now), bounds)
 
 
 def port_portrait_simple(flows: DataFrame) -> DataFrame:
     """Newer form: 3-sigma port baselines."""
-    return ports.port_baseline_3sigma(ports.classify_ports_simple(cut_lineage(joins.merge_reverse_flows(flows))))
+    return ports.port_baseline_3sigma(ports.classify_ports_simple(stored(joins.merge_reverse_flows(flows), "merged")))
 
 
 def flow_baseline(day: DataFrame, week: DataFrame) -> DataFrame:
@@ -197,7 +202,7 @@ def repeated_flows(flows: DataFrame) -> DataFrame:
 
 def attacks_of(classified: DataFrame, more_than: int = 10) -> DataFrame:
     """Attack rows of classified flows: named type and more than ten flows of the same time, ends and protocol."""
-    hits = cut_lineage(classified.where("prediction > 0"))  # the model's hits are counted and listed
+    hits = stored(classified.where("prediction > 0"), "hits")  # the model's hits are counted and listed
     sized = joins.with_group_size(hits, ["srcip", "dstip", "proto", "recordtime"])
     kind = ff.attack_type(F.col("prediction"), F.col("proto"), F.col("packernum"))
     named = sized.withColumn("attacktype", kind)

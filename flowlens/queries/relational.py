@@ -9,7 +9,7 @@ from flowlens.operators.similarity import user_similarity
 from flowlens.plans import jobs
 from flowlens.queries.parts import SEVEN, half_up, part
 from flowlens.queries.registry import query
-from flowlens.session import cut_lineage
+from flowlens.session import stored
 from flowlens.sources import fixtures as fx
 from flowlens.sources import readers
 
@@ -439,7 +439,7 @@ def win_repeat_flow(spark, d):
 @query("win_group_size", """
 SELECT "row", proto, count(*) OVER (PARTITION BY srcip, dstip, proto, recordtime) AS flownums FROM repeats""", "repeats")
 def win_group_size(spark, d):
-    repeated = cut_lineage(jobs.repeated_flows(fx.flows(spark, d)))  # counted and listed
+    repeated = stored(jobs.repeated_flows(fx.flows(spark, d)), "repeated")  # counted and listed
     sized = joins.with_group_size(repeated, ["srcip", "dstip", "proto", "recordtime"])
     return sized.select("row", "proto", "flownums")
 

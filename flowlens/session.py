@@ -63,6 +63,16 @@ def for_many_passes(df: DataFrame, *keys: str, ordered: bool = False) -> DataFra
     return (even.sortWithinPartitions(*keys) if ordered else even).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Row-level intermediate written once as a columnar table in the shared folder and read back.
+
+    For data that several later steps read: each of them reads only its columns, and lost executors cost no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so an iterative plan stays short and survives lost executors."""
     sc = df.sparkSession.sparkContext

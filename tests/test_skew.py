@@ -28,6 +28,30 @@ def test_group_stats_equal_window(skewed, monkeypatch, hot_rows):
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
 
 
+def largest_share(df):
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_key_is_spread_over_tasks(spark, skewed, monkeypatch):
+    """60 % of the rows carry one key: a plain shuffled join or window puts them into one task, the helpers do not."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in changed}
+    monkeypatch.setattr(skew, "HOT_ROWS", 200)
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        dim = skewed.groupBy("k").agg(F.max("v").alias("top"))
+        assert largest_share(skewed.join(dim, "k")) > 0.6
+        assert largest_share(skew.salted_lookup(skewed, dim, ["k"], "id")) < 0.25
+        assert largest_share(skew.with_group_stats(skewed, ["k"], "id", n=F.count(F.lit(1)))) < 0.25
+        pairs = skew.group_pairs(skewed.select("k", "id", "v").dropna(), "k", "id", "v", max_block=64)
+        assert largest_share(pairs) < 0.25
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_lookup_equals_join(spark, skewed, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, x int")
