@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlens.llm import packing, piece_bpe, token_counts, token_files
+from flowlens.llm import (
+    dart_minhash,
+    exact_dedup,
+    hidden_markov,
+    licenses,
+    packing,
+    piece_bpe,
+    quality_rules,
+    run_length_index,
+    token_counts,
+    token_files,
+)
 from flowlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +54,33 @@ def op4(spark, sf_dir):
 def op10(spark, sf_dir):
     return piece_bpe.encode_and_decode(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op5_decision_list")
+def op5(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op7_exact_groups", exact_dedup.ORACLE)
+def op7(spark, sf_dir):
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_hidden_markov")
+def op9(spark, sf_dir):
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_repeated_passages")
+def op3(spark, sf_dir):
+    return run_length_index.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op8_near_classes")
+def op8(spark, sf_dir):
+    return dart_minhash.near_classes(table(spark, sf_dir, "documents"))
