@@ -70,13 +70,18 @@ def _copy(*content: str) -> Column:
 def keep_first(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; same rules as ``exact_groups``.
 
-    Rows are found again by ``doc_id`` and digest; a row repeated whole stays once.
+    Only the short list of rows to drop is joined with the texts. Of rows equal in ``doc_id`` and text one stays, even if their
+    other columns differ.
     """
-    groups = exact_groups(docs, salts).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.withColumn("__sha", sha256(normalised())).withColumn(
-        "__copy", F.row_number().over(Window.partitionBy("doc_id", "__sha").orderBy("doc_id")))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (rows["__sha"] == groups["__sha"])
-    return rows.where("__copy = 1").join(groups, same, "left_semi").select(*docs.columns)
+    groups = stored(exact_groups(docs, salts).select(F.col("doc_id").alias("__id"), "keep_id", "kept", F.col("text_sha256").alias("__hash")),
+                    "exact-verdicts")
+    later = ~F.col("kept")
+    first_id = F.col("__id").eqNullSafe(F.col("keep_id"))
+    rows = docs.withColumn("__sha", sha256(normalised()))
+    if not groups.where(later & first_id).isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "__sha"])
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__hash"))
+    return rows.join(groups.where(later & ~first_id).select("__id", "__hash"), same, "left_anti").select(*docs.columns)
 
 
 ORACLE = """

@@ -78,7 +78,7 @@ def op9(spark, sf_dir):
 
 @query("op3_repeated_passages")
 def op3(spark, sf_dir):
-    return run_length_index.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+    return run_length_index.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 @query("op8_near_classes")

@@ -208,6 +208,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_of().alias("text")).withColumn("tkey", F.xxhash64("text"))
 
 
+def _same_text(rows: DataFrame, other: DataFrame):
+    return (rows["tkey"] == other["__key"]) & rows["doc_id"].eqNullSafe(other["__id"])
+
+
 def _slices_of(rows: DataFrame) -> DataFrame:
     names = ["h", "d", "doc_id", "tkey", "start", "n"]
 
@@ -303,8 +307,8 @@ def _counted(contents: DataFrame) -> DataFrame:
     return found.select("h", "d", F.flatten(F.transform("ats", lambda i: F.array(i, i))).alias("runs"))
 
 
-def _removals(docs: DataFrame) -> DataFrame:
-    """``_keyed`` documents with the covered byte ranges, unsorted and overlapping; null where there are none."""
+def _spans(docs: DataFrame) -> DataFrame:
+    """(__id, __key, spans) of the texts with repeated strings: runs of their starts, unsorted and overlapping."""
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
     every = stored(_slices_of(rows), "slices")
@@ -317,8 +321,7 @@ def _removals(docs: DataFrame) -> DataFrame:
         F.col("x.doc_id").alias("__id"), F.col("x.tkey").alias("__key"),
         F.struct("h", "d", "copies", (F.col("differ") > GROUP_SLICES).alias("hot"), "x.start", "x.n").alias("w"))
     by_text = wanted.groupBy("__id", "__key").agg(F.collect_list("w").alias("wanted"))  # bounded by the text's own slices
-    same = (rows["tkey"] == by_text["__key"]) & rows["doc_id"].eqNullSafe(by_text["__id"])
-    contents = stored(_contents(rows.join(by_text, same)), "slice-texts")
+    contents = stored(_contents(rows.join(by_text, _same_text(rows, by_text))), "slice-texts")
     marks = _indexed(contents.where("NOT hot")).unionByName(_counted(contents.where("hot"))).dropDuplicates(["h", "d"])
     alone = distinct.where("copies > 1").select("h", "d")
 
@@ -327,10 +330,8 @@ def _removals(docs: DataFrame) -> DataFrame:
         "doc_id", "tkey", "start", F.explode(F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(
             F.get("runs", i).alias("a"), F.get("runs", i + 1).alias("b")))).alias("r"))
     partly = ends.select("doc_id", "tkey", (F.col("start") + F.col("r.a")).alias("start"), (F.col("start") + F.col("r.b")).alias("last"))
-    spans = whole.unionByName(partly).groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(
+    return whole.unionByName(partly).groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(
         F.collect_set(F.struct("start", "last")).alias("spans"))
-    same = (rows["tkey"] == spans["__key"]) & rows["doc_id"].eqNullSafe(spans["__id"])
-    return rows.join(spans, same, "left").select("doc_id", "text", "spans")
 
 
 def covered_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -350,23 +351,41 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text.
-
-    ``kept_text`` is what stays as text; the bytes of a character that a span cut in two are left out of it.
-    """
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def run(batches):
         for part, texts in slices(batches):
-            columns: list[list] = [[] for _ in range(5)]
+            columns: list[list] = [[] for _ in names[1:]]
             for text, found in zip(texts, part.column(2).to_pylist()):
                 raw, spans = text.encode(), covered_spans(found)
                 kept = kept_bytes(raw, spans)
-                for column, value in zip(columns, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
-                                                   kept.decode(errors="ignore"))):
+                for column, value in zip(columns, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())):
                     column.append(value)
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2
+            kinds = [pa.int64()] * 3 + [pa.string()]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
 
-    return _removals(docs).mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    rows, spans = _keyed(docs), _spans(docs)
+    return rows.join(spans, _same_text(rows, spans), "left").select("doc_id", "text", "spans").mapInArrow(
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def strip_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with what stays of every text, all columns kept; ``n_chars``, if there is one, is counted again.
+
+    The bytes of a character that a span cut in two are left out.
+    """
+
+    def run(batches):
+        for batch in batches:
+            texts = [kept_bytes(t.encode(), covered_spans(s)).decode(errors="ignore") if s else t
+                     for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["__row", "__kept"])
+
+    rows, spans = docs.withColumns({"__row": F.struct(*docs.columns), "tkey": F.xxhash64(text_of())}), _spans(docs)
+    row = rows.schema["__row"].dataType.simpleString()
+    stripped = rows.join(spans, _same_text(rows, spans), "left").select("__row", text_of().alias("text"), "spans").mapInArrow(
+        run, f"__row {row}, __kept string")
+    kept = F.when(F.col("__row.text").isNotNull(), F.col("__kept"))
+    new = {"text": kept, "n_chars": F.length(kept).cast("long")}
+    return stripped.select(*((new[c] if c in new else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns))
