@@ -128,9 +128,15 @@ def accuracy(scored: DataFrame, label: str = "label", prediction: str = "predict
     return scored.agg(F.count(F.lit(1)).alias("n"), (100.0 * F.avg(hit)).alias("accuracy"))
 
 
-def exact_median(df: DataFrame, column: str, eps: float = 1e-4) -> float:
-    """Exact median without gathering the column: a quantile sketch brackets it, only the bracket is sorted."""
-    lo, hi = df.approxQuantile(column, [0.5 - 2 * eps, 0.5 + 2 * eps], eps)
+def exact_median(df: DataFrame, column: str, eps: float = 1e-4) -> float | None:
+    """Exact median without gathering the column: a quantile sketch brackets it, only the bracket is sorted.
+
+    None if the column holds no number.
+    """
+    ends = df.approxQuantile(column, [0.5 - 2 * eps, 0.5 + 2 * eps], eps)
+    if not ends:
+        return None
+    lo, hi = ends
     value = F.col(column)
     n, below = df.agg(F.count(value), F.count_if(value < lo)).first()
     first, last = (n - 1) // 2 - below, n // 2 - below
@@ -141,8 +147,8 @@ def exact_median(df: DataFrame, column: str, eps: float = 1e-4) -> float:
 
 def median_labels(points: DataFrame) -> DataFrame:
     """Four-way tag of (proto, flow) against their medians: 0 low/low, 1 low/high, 2 high/low, 3 high/high."""
-    high_proto = F.col("proto") > exact_median(points, "proto")
-    high_flow = F.col("flow") > exact_median(points, "flow")
+    high_proto = F.col("proto") > F.lit(exact_median(points, "proto"))
+    high_flow = F.col("flow") > F.lit(exact_median(points, "flow"))
     return points.withColumn("tag", (F.when(high_proto, 2).otherwise(0) + F.when(high_flow, 1).otherwise(0)).cast("string"))
 
 

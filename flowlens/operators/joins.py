@@ -131,3 +131,13 @@ def keep_listed(df: DataFrame, listed: DataFrame, column: str, listed_column: st
 def drop_listed(df: DataFrame, listed: DataFrame, column: str, listed_column: str = "ip") -> DataFrame:
     """Rows whose value is not in a list; duplicates of the left side stay."""
     return df.join(listed, df[column] == listed[listed_column], "left_anti")
+
+
+def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of the left side whose value, null cells included, is not on the right side; columns match by name.
+
+    Every copy of a found value goes, copies of the others stay.
+    """
+    values = right.select(*left.columns).distinct().toDF(*[f"__{c}" for c in left.columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in left.columns])
+    return left.join(values, same, "left_anti")

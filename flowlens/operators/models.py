@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,10 +12,10 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.session import for_many_passes, shared_folder
+from flowlens.session import for_many_passes, shared_folder, stored
 
 SEED = 42
 FLOW_FEATURES = ["spandtime", "tcp", "udp", "packernum", "bytesize"]
@@ -49,7 +50,6 @@ class AlsParams:
     iterations: int = 10
     reg: float = 0.01
     alpha: float = 0.49
-    blocks: int = 10
     top: int = 10
 
 
@@ -63,12 +63,25 @@ def hold_out(df: DataFrame, key: str | None = None, share: float = 0.7) -> tuple
 
 
 def balanced_sample(labelled: DataFrame, live: DataFrame, order: str, factor: int = 1) -> DataFrame:
-    """All labelled rows and up to ``factor`` times as many live rows, taken in the order of a key.
+    """All labelled rows and up to ``factor`` times as many live rows, the first ones in the order of a key.
 
-    The limit is part of the training recipe; a global top-n keeps only n rows per task before the merge.
+    The limit is part of the training recipe. The rows are numbered over all tasks, which hold a range of the key each, so
+    no task gathers them.
     """
     n = labelled.count() * factor
-    return labelled.unionByName(live.orderBy(order).limit(n).select(*labelled.columns))
+    ordered = live.select(*labelled.columns, F.col(order).alias("__order")).orderBy("__order").withColumn("__task", F.spark_partition_id())
+    ordered = stored(ordered, "ordered-sample")
+    sizes = ordered.groupBy("__task").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    starts = sizes.select("__task", "__n", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    whole = F.col("__start") + F.col("__n") <= n
+    cut = starts.where((F.col("__start") < n) & ~whole).first()
+    chosen = ordered.join(F.broadcast(starts.where(whole).select("__task")), "__task", "left_semi")
+    if cut is not None:  # the rest of one range
+        last = ordered.where(F.col("__task") == cut["__task"])
+        place = F.row_number().over(Window.orderBy("__order"))
+        chosen = chosen.unionByName(last.withColumn("__p", place).where(F.col("__p") <= n - cut["__start"]).drop("__p"))
+    return labelled.unionByName(chosen.select(*labelled.columns))
 
 
 def forest_pipeline(params: ForestParams = ForestParams()) -> Pipeline:
@@ -85,12 +98,21 @@ def forest_pipeline(params: ForestParams = ForestParams()) -> Pipeline:
     )
 
 
+def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """The pipeline fitted on rows that are persisted for as long as it takes."""
+    even = for_many_passes(rows)
+    try:
+        return pipeline.fit(even)
+    finally:
+        even.unpersist()
+
+
 def forest_fit(sample: DataFrame, params: ForestParams = ForestParams()) -> PipelineModel:
     typed = sample.select(
         F.col("attacktype").try_cast("double").alias("attacktype"),
         *[F.col(f).try_cast("double").alias(f) for f in FLOW_FEATURES],
     )
-    return forest_pipeline(params).fit(for_many_passes(typed.dropna()))
+    return fitted(forest_pipeline(params), typed.dropna())
 
 
 def forest_predict(model: PipelineModel, flows: DataFrame) -> DataFrame:
@@ -118,7 +140,7 @@ def url_pipeline(params: TextParams = TextParams()) -> Pipeline:
 def url_fit(labelled: DataFrame, params: TextParams = TextParams()) -> PipelineModel:
     """``labelled``: label (0 attack, 1 normal), urltext."""
     rows = labelled.select(F.col("label").cast("double").alias("label"), "urltext")
-    return url_pipeline(params).fit(for_many_passes(rows))
+    return fitted(url_pipeline(params), rows)
 
 
 def url_score(model: PipelineModel, texts: DataFrame) -> DataFrame:
@@ -136,11 +158,11 @@ def url_attacks(model: PipelineModel, texts: DataFrame) -> DataFrame:
     return url_score(model, texts).where("prediction_nb < 1")
 
 
-def als(implicit: bool = True, params: AlsParams = AlsParams()) -> ALS:
+def als(implicit: bool = True, params: AlsParams = AlsParams(), blocks: int = 10) -> ALS:
     return ALS(
         userCol="ip_index", itemCol="host_index", ratingCol="count", rank=params.rank, maxIter=params.iterations,
-        regParam=params.reg, alpha=params.alpha, implicitPrefs=implicit, numUserBlocks=params.blocks,
-        numItemBlocks=params.blocks, seed=SEED, coldStartStrategy="drop", checkpointInterval=5,
+        regParam=params.reg, alpha=params.alpha, implicitPrefs=implicit, numUserBlocks=blocks,
+        numItemBlocks=blocks, seed=SEED, coldStartStrategy="drop", checkpointInterval=5,
     )
 
 
@@ -148,7 +170,8 @@ def als_fit(indexed: DataFrame, implicit: bool = True, params: AlsParams = AlsPa
     sc = indexed.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(indexed.sparkSession))
-    return als(implicit, params).fit(indexed.select("ip_index", "host_index", "count"))
+    blocks = max(10, sc.defaultParallelism)
+    return als(implicit, params, blocks).fit(indexed.select("ip_index", "host_index", "count"))
 
 
 def top_items(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
@@ -171,8 +194,8 @@ def recommend_by_day_part(indexed: DataFrame, params: AlsParams = AlsParams()) -
 
     with ThreadPool(len(DAY_PARTS)) as pool:
         parts = [p for p in pool.map(one, DAY_PARTS) if p is not None]
-    out = parts[0]
-    for p in parts[1:]:
+    out = indexed.sparkSession.createDataFrame([], "ip_index int, host_index int, score float, time string")
+    for p in parts:
         out = out.unionByName(p)
     return out
 
@@ -185,16 +208,17 @@ def rating_errors(model: ALSModel, indexed: DataFrame) -> DataFrame:
 
 
 def als_grid(indexed: DataFrame, ranks: list[int], regs: list[float], alphas: list[float], iterations: int = 10) -> DataFrame:
-    """Training error of every parameter combination; one row each."""
+    """Training error of every parameter combination; one row each. A few models are fitted side by side."""
     data = indexed.select("ip_index", "host_index", "count").cache()
     judge = RegressionEvaluator(labelCol="count", predictionCol="prediction", metricName="mse")
-    rows = []
-    for rank in ranks:
-        for reg in regs:
-            for alpha in alphas:
-                model = als_fit(data, True, AlsParams(rank=rank, iterations=iterations, reg=reg, alpha=alpha))
-                mse = float(judge.evaluate(model.transform(data)))
-                rows.append((rank, reg, alpha, iterations, mse, mse**0.5))
+
+    def one(rank: int, reg: float, alpha: float) -> tuple:
+        model = als_fit(data, True, AlsParams(rank=rank, iterations=iterations, reg=reg, alpha=alpha))
+        mse = float(judge.evaluate(model.transform(data)))
+        return rank, reg, alpha, iterations, mse, mse**0.5
+
+    with ThreadPool(4) as pool:
+        rows = pool.starmap(one, product(ranks, regs, alphas))
     data.unpersist()
     return indexed.sparkSession.createDataFrame(
         rows, "rank int, reg double, alpha double, iterations int, mse double, rmse double"

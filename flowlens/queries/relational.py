@@ -186,7 +186,7 @@ def join_rating_prediction(spark, d):
     from flowlens.operators import models
 
     indexed = indexing.index_users_items(fx.ratings(spark, d)).cache()
-    model = models.als_fit(indexed, True, models.AlsParams(rank=20))
+    model = models.als_fit(indexed)
     return model.transform(indexed).select("ip", "host", "count", "prediction")
 
 
@@ -326,12 +326,17 @@ def agg_cluster_size_filter(spark, d):
     return sizes.where((n > 2) | (n < 2)).withColumn("outlier", (n < 2).cast("int"))
 
 
-@query("agg_cluster_center", "SELECT label, " + ", ".join(f"CAST(floor(round(avg({f}), 6)) AS BIGINT) AS {f}" for f in SEVEN)
-       + " FROM labelled GROUP BY label", "labelled")
+part("hl_points", "SELECT *, CASE WHEN label LIKE 'other%' THEN 'other' ELSE label END AS cluster FROM labelled", "labelled")
+
+
+@query("agg_cluster_center", "SELECT cluster AS label, CASE WHEN cluster = 'other' THEN '-1' ELSE concat_ws('#', "
+       + ", ".join(f"CAST(floor(round(avg({f}), 6)) AS BIGINT)" for f in SEVEN) + ") END AS center FROM hl_points GROUP BY cluster", "hl_points")
 def agg_cluster_center(spark, d):
+    """Truncated means of every cluster; the outlier cluster is published with a sentinel."""
     labelled = groups.quadrant_labels(jobs.scored_assets(fx.flows_wide(spark, d)))
-    centers = agg.cluster_centers(labelled, SEVEN)
-    return centers.select("label", *[ff.truncated(F.round(f, 6)).alias(f) for f in SEVEN])
+    outlier = F.col("label").isin(*groups.OUTLIER_LABELS)
+    points = labelled.withColumn("label", F.when(outlier, "other").otherwise(F.col("label")))
+    return groups.truncated_center(agg.cluster_centers(points, SEVEN), SEVEN).select("label", "center")
 
 
 @query("agg_global_moments", "SELECT " + ", ".join(
@@ -405,11 +410,11 @@ def distinct_values(spark, d):
     return fx.flows(spark, d).select(F.inline(F.array(*kinds))).distinct()
 
 
-@query("agg_half_count", 'SELECT ip, host, CAST(count(host) AS DOUBLE) AS "count" FROM (SELECT * FROM visits UNION ALL SELECT * FROM visits) GROUP BY ip, host HAVING count(host) > 0', "visits")
+@query("agg_half_count", 'SELECT ip, host, count(host) / 2.0 AS "count" FROM (SELECT * FROM visits UNION ALL SELECT * FROM visits) GROUP BY ip, host HAVING count(host) > 0', "visits")
 def agg_half_count(spark, d):
     """The plain count: half of the count over the doubled input."""
     visits = jobs.visits(fx.moniflow(spark, d))
-    return visits.groupBy("ip", "host").agg((2 * F.count("host")).cast("double").alias("count"))
+    return visits.groupBy("ip", "host").agg(F.count("host").cast("double").alias("count"))
 
 
 @query("agg_median_label", """
@@ -482,10 +487,14 @@ def union_all(spark, d):
     ])
 
 
-@query("subtract", 'SELECT srcip, srcport FROM flows EXCEPT ALL SELECT dstip, dstport FROM flows', "flows")
+@query("subtract", """
+SELECT srcip, srcport, hour FROM flows f
+WHERE NOT EXISTS (SELECT 1 FROM flows g WHERE g.proto = 'GRE' AND g.dstip = f.srcip AND g.dstport = f.srcport AND g.hour = f.hour)""", "flows")
 def subtract(spark, d):
+    """Sources that were no destination of a tunnel in the same hour: every copy of a found value goes."""
     flows = fx.flows(spark, d)
-    return flows.select("srcip", "srcport").exceptAll(flows.select("dstip", "dstport"))
+    found = flows.where("proto = 'GRE'").select("dstip", "dstport", "hour").toDF("srcip", "srcport", "hour")
+    return joins.subtract(flows.select("srcip", "srcport", "hour"), found)
 
 
 @query("combine_virus_data", "SELECT ip, 'live' AS origin, " + ", ".join(SEVEN) + " FROM totals UNION ALL SELECT dstip, 'labelled', "

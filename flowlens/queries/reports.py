@@ -10,7 +10,7 @@ from flowlens.queries.parts import SEVEN, part
 from flowlens.queries.registry import query
 from flowlens.queries.relational import _KIND, AUDITED, NEW_ASSETS, last_labels, split_flows
 from flowlens.queries.rows import NORMALIZED_MONIFLOW, NORMALIZED_NETFLOW
-from flowlens.queries.verdicts import FAST_ALS, JUDGED_FLOWS, RULES, _portrait_flows
+from flowlens.queries.verdicts import JUDGED_FLOWS, RULES, _portrait_flows
 from flowlens.session import scratch_path
 from flowlens.sources import fixtures as fx
 from flowlens.sources import readers, writers
@@ -46,7 +46,7 @@ def asset_groups(spark, d):
 
 @query("behaviour_recommendations")
 def behaviour_recommendations(spark, d):
-    return jobs.behaviour_recommendations(fx.moniflow(spark, d), FAST_ALS)
+    return jobs.behaviour_recommendations(fx.moniflow(spark, d))
 
 
 part("rated", 'SELECT ip, host, CAST(count(host) AS DOUBLE) AS "count" FROM visits GROUP BY ip, host', "visits")

@@ -13,8 +13,6 @@ from flowlens.queries.registry import query
 from flowlens.queries.relational import split_flows, _two_models
 from flowlens.sources import fixtures as fx
 
-FAST_ALS = models.AlsParams(rank=20, iterations=5, blocks=4)
-
 # -- clustering --------------------------------------------------------------------------------------------------------
 
 
@@ -91,7 +89,6 @@ def ensemble_outlier_score(spark, d):
 
 
 _HL_FLOW = ("packernum", "bytesize")
-part("hl_points", "SELECT *, CASE WHEN label LIKE 'other%' THEN 'other' ELSE label END AS cluster FROM labelled", "labelled")
 
 
 @query("cluster_high_low_label", f"""
@@ -212,20 +209,18 @@ def random_split(spark, d):
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
-FAST_TEXT = models.TextParams(max_iter=20)
-
-
 @query("url_train")
 def url_train(spark, d):
     train, test = models.hold_out(fx.labelled_urls(spark, d), "doc_id")
-    model = models.url_fit(train, FAST_TEXT)
+    model = models.url_fit(train)
     return agg.confusion_counts(models.url_score(model, test))
 
 
 @query("url_predict")
 def url_predict(spark, d):
-    texts = fx.labelled_urls(spark, d)
-    return models.url_attacks(models.url_fit(texts, FAST_TEXT), texts).drop("urltext")
+    """Attacks among all documents, by models trained on the labelled ones."""
+    model = models.url_fit(fx.labelled_urls(spark, d))
+    return models.url_attacks(model, fx.url_texts(spark, d)).drop("urltext")
 
 
 def _indexed(spark, d):
@@ -234,31 +229,31 @@ def _indexed(spark, d):
 
 @query("als_implicit")
 def als_implicit(spark, d):
-    return jobs.behaviour_recommendations(fx.moniflow(spark, d), FAST_ALS)
+    return jobs.behaviour_recommendations(fx.moniflow(spark, d))
 
 
 @query("als_explicit")
 def als_explicit(spark, d):
     indexed = _indexed(spark, d)
-    model = models.als_fit(indexed, False, models.AlsParams(rank=50, reg=0.1, blocks=4))
+    model = models.als_fit(indexed, False, models.AlsParams(rank=50, reg=0.1))
     return model.transform(indexed).select("ip", "host", "count", "prediction")
 
 
 @query("als_grid_search")
 def als_grid_search(spark, d):
-    return models.als_grid(_indexed(spark, d), [8, 16], [0.01, 0.1], [0.49], iterations=3)
+    return models.als_grid(_indexed(spark, d), [8, 16], [0.01, 0.1], [0.49])
 
 
 @query("rating_metrics")
 def rating_metrics(spark, d):
     indexed = _indexed(spark, d)
-    return models.rating_errors(models.als_fit(indexed, False, FAST_ALS), indexed)
+    return models.rating_errors(models.als_fit(indexed, False), indexed)
 
 
 @query("topk_recommend")
 def topk_recommend(spark, d):
     indexed = _indexed(spark, d)
-    top = models.top_items(models.als_fit(indexed, True, FAST_ALS), 10)
+    top = models.top_items(models.als_fit(indexed, True), 10)
     return top.join(indexed.select("ip_index", "ip").distinct(), "ip_index").select("ip", "host_index", "score")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and benches; a cluster brings its own."""
+    """Session for tests and benches on one machine; a cluster brings its own, with ``spark.checkpoint.dir`` set."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("flowlens")
@@ -28,27 +27,40 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowlens-"))  # all tasks of a local master run here
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session, or the checkpoint folder it was given."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named.rstrip("/")
 
-    A machine-local folder stands in only for a local master without that setting.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "flowlens-" + spark.sparkContext.applicationId)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+
+_WRITTEN: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path below the shared folder, never used before."""
-    return f"{shared_folder(spark)}/flowlens/{name}-{uuid.uuid4().hex}"
+    """New path below the shared folder, never used before; ``release_scratch`` deletes what lies there."""
+    path = f"{shared_folder(spark)}/flowlens/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of the jobs so far and drops persisted data.
+
+    Results are lazy and read their intermediates, so only the caller knows when they are no longer needed: call this
+    when the results are written.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    spark.catalog.clearCache()
 
 
 def for_many_passes(df: DataFrame, *keys: str, ordered: bool = False) -> DataFrame:

@@ -206,9 +206,13 @@ def labelled_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts to classify."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.regexp_replace("text", "\\s+", " ").alias("urltext"))
+
+
 def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled texts: quality 0 stands for an attack, 1 for normal."""
-    d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return d.join(lab, "doc_id").select(
-        "doc_id", F.col("quality").cast("double").alias("label"), F.regexp_replace("text", "\\s+", " ").alias("urltext")
-    )
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return url_texts(spark, sf_dir).join(lab, "doc_id").select("doc_id", "label", "urltext")

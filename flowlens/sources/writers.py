@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.flows import record_id
 from flowlens.schemas import column_types
+from flowlens.session import stored
 from flowlens.sources.readers import Source
 
 
@@ -17,8 +18,17 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = "\t"
 
 
 def write_single_file(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """One part file with one header, for small reports; Spark's _SUCCESS marks completion."""
-    df.coalesce(1).write.mode("overwrite").csv(path, sep=sep, header=True)
+    """One part file with one header, in the order of ``df``; Spark's _SUCCESS marks completion.
+
+    The rows are computed and written by all tasks; only the finished part files are then read through one.
+    """
+    parts = f"{path.rstrip('/')}.parts"
+    numbered = df.withColumn("__order", F.monotonically_increasing_id())
+    numbered.write.mode("overwrite").parquet(parts)
+    rows = df.sparkSession.read.schema(numbered.schema).parquet(parts).coalesce(1).sortWithinPartitions("__order")
+    rows.drop("__order").write.mode("overwrite").csv(path, sep=sep, header=True)
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(parts)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -39,7 +49,7 @@ def append_with_ids(df: DataFrame, target: Source, id_column: str = "recordid")
 def to_catalog_types(df: DataFrame, table: str) -> DataFrame:
     """Typed cells of a catalog table: blank, '-1' and unreadable values are left out (null).
 
-    A missing row key is derived from the other cells, so writing again replaces and does not duplicate.
+    A missing row key is derived from the other cells, so writing the same rows again gives the same keys.
     """
     types = column_types(table)
     names = [c for c in df.columns if c in types]
@@ -55,6 +65,7 @@ def to_catalog_types(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_catalog_table(df: DataFrame, table: str, target: Source) -> None:
+    """Appends to a catalog table. A store with row keys (key-value, index) replaces rows of equal key; files do not."""
     append_rows(to_catalog_types(df, table), target)
 
 
@@ -81,9 +92,11 @@ def typed_results(df: DataFrame, layout: dict[str, str]) -> DataFrame:
 
 
 def save_results(df: DataFrame, layout: dict[str, str], targets: list[Source], key: list[str]) -> None:
-    """Distinct typed results with a stable id, to every target."""
+    """Distinct typed results with a stable id, to every target; computed once."""
     out = typed_results(df, layout)
     out = out.withColumn("recordid", record_id(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
+    if len(targets) > 1:
+        out = stored(out, "results")
     for target in targets:
         append_rows(out, target)
 

@@ -191,14 +191,14 @@ def test_url_models(spark):
 
 
 def test_recommendations(spark, sf_dir, ratings):
-    out = jobs.behaviour_recommendations(fx.moniflow(spark, sf_dir), models.AlsParams(rank=5, iterations=2, blocks=2)).cache()
+    out = jobs.behaviour_recommendations(fx.moniflow(spark, sf_dir), models.AlsParams(rank=5, iterations=2)).cache()
     per_user = out.groupBy("ip", "time").count()
     assert per_user.agg(F.max("count")).first()[0] <= 10
     assert max(float(r.scores) for r in out.collect()) == 1.0
     users = {r.ip for r in jobs.behaviour_ratings(fx.moniflow(spark, sf_dir))[1].collect()}
     assert {r.ip for r in out.collect()} <= users
     indexed = indexing.index_users_items(ratings).cache()
-    model = models.als_fit(indexed, True, models.AlsParams(rank=5, iterations=2, blocks=2))
+    model = models.als_fit(indexed, True, models.AlsParams(rank=5, iterations=2))
     one = models.top_items(model, 3, indexed.select("ip_index").limit(1))
     assert one.count() == 3
     err = models.rating_errors(model, indexed).first()
