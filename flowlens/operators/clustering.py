@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators.scaling import min_max_scale, with_table_stats
 from flowlens.operators.skew import SALTS, label_lookup, row_salt, salted_lookup
-from flowlens.session import cut_lineage, for_many_passes
+from flowlens.session import cut_lineage, for_many_passes, stored
 
 SEED = 42
 AT_ONCE = 4  # models fitted side by side while k is searched
@@ -148,14 +149,15 @@ def triple_scores(sessions: DataFrame, features: list[str], model: KMeansModel,
 
 def grouped_kmeans(
     points: DataFrame, group: list[str], row_key: str, features: list[str], k: int, weight: str | None = None,
-    max_iter: int = 20, tol: float = 1e-4,
+    max_iter: int = 100, tol: float = 1e-4, allowed: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """K-means inside every group at once, with ``label`` and ``distance`` per point.
 
     A round is one lookup of the group's k centers and one pre-aggregated mean per (group, label), so a group of any
     size is spread over all tasks and the number of Spark jobs depends on the rounds, not on the groups. The first
     centers are found by farthest-first search from the row with the smallest key, so runs repeat. A group of n distinct
-    rows uses at most n centers.
+    rows uses at most n centers, and no more than ``allowed`` gives for its weight. Rounds go on until no center moves by
+    more than ``tol``, ``max_iter`` of them at most.
     """
     base = points.withColumns({f"__f{j}": F.col(f).cast("double") for j, f in enumerate(features)})
     base = base.withColumns({"__w": F.col(weight) if weight else F.lit(1), "__salt": row_salt(row_key)})
@@ -183,11 +185,14 @@ def grouped_kmeans(
             label = F.when(ds[i] == least, i).otherwise(label)
         return near.withColumns({"__d": least, "__l": label})
 
-    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"))
+    most = F.lit(k) if allowed is None else allowed(F.sum("__w"))
+    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"), most.cast("int").alias("__most"))
     for n in range(1, k):
         far = to_points(centers, n).groupBy(*group).agg(F.max(F.struct(F.col("__d").alias("d"), vector.alias("v"))).alias("__far"))
-        grown = F.when(F.col("__far.d") > 0, F.concat("__c", F.array("__far.v"))).otherwise(F.col("__c"))
-        centers = cut_lineage(centers.join(far, group).select(*group, grown.alias("__c")))
+        more = (F.col("__far.d") > 0) & (F.size("__c") < F.col("__most"))
+        grown = F.when(more, F.concat("__c", F.array("__far.v"))).otherwise(F.col("__c"))
+        centers = cut_lineage(centers.join(far, group).select(*group, "__most", grown.alias("__c")))
+    centers = centers.drop("__most")
 
     means = F.array(*[F.sum(F.col(f"__f{j}") * F.col("__w")) / F.sum("__w") for j in dims])
     for _ in range(max_iter):
@@ -202,7 +207,10 @@ def grouped_kmeans(
         centers = step.select(*group, F.col("__u").alias("__c"))
         if (step.agg(F.max("__s")).first()[0] or 0.0) <= tol:
             break
-    return to_points(centers, k).select(*points.columns, F.col("__l").alias("label"), F.sqrt("__d").alias("distance"))
+    found = to_points(centers, k).select(*points.columns, F.col("__l").alias("label"), F.sqrt("__d").alias("distance"))
+    found = stored(found, "grouped-kmeans")
+    base.unpersist()
+    return found
 
 
 def grouped_min_max(

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.skew import group_pairs, label_lookup, salted_lookup, with_group_stats
+from flowlens.operators.skew import label_lookup, salted_lookup, with_group_stats
 
 
 def names_for_indexes(scored: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -19,13 +19,13 @@ def names_for_indexes(scored: DataFrame, users: DataFrame, items: DataFrame) ->
 def similarity_reasons(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
     """Hosts both ends of a similar pair visited, with both counts and their ratio.
 
-    ``pairs``: ip1, ip2, sim with ip1 < ip2. ``ratings``: ip, host, count (one row per ip and host).
+    ``pairs``: ip1, ip2, sim with ip1 < ip2. ``ratings``: ip, host, count (one row per ip and host). Starts from the
+    published pairs, so the work grows with them and not with the pairs that meet in a busy host.
     """
-    shared = group_pairs(ratings.select("ip", "host", "count"), "host", "ip", "count")
-    shared = shared.withColumnsRenamed(
-        {"left": "ip1", "right": "ip2", "left_value": "ip1_count", "right_value": "ip2_count"}
-    )
-    return shared.join(pairs, ["ip1", "ip2"]).select(
+    first = ratings.select(F.col("ip").alias("ip1"), "host", F.col("count").alias("ip1_count"))
+    second = ratings.select(F.col("ip").alias("ip2"), "host", F.col("count").alias("ip2_count"))
+    shared = pairs.select("ip1", "ip2", "sim").join(first, "ip1").join(second, ["ip2", "host"])
+    return shared.select(
         "ip1", "ip2", "host", "sim", "ip1_count", "ip2_count", (F.col("ip1_count") / F.col("ip2_count")).alias("rate")
     )
 

@@ -73,6 +73,9 @@ def item_similarity(ratings: DataFrame, threshold: float = 0.7) -> DataFrame:
     return cosine_pairs_above(ratings, "host", "ip", "count", threshold)
 
 
-def user_similarity(ratings: DataFrame) -> DataFrame:
-    """Addresses that behave alike: cosine over the hosts, three decimals, no cut."""
-    return cosine_pairs(ratings, "ip", "host", "count").withColumn("sim", F.round("sim", 3))
+def user_similarity(ratings: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """Addresses that behave alike: cosine over the hosts, three decimals, published from the threshold on.
+
+    Every two addresses with a common host have some similarity, so the threshold is part of the question.
+    """
+    return cosine_pairs_above(ratings, "ip", "host", "count", threshold).withColumn("sim", F.round("sim", 3))

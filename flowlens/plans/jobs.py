@@ -114,12 +114,36 @@ def behaviour_recommendations(moniflow: DataFrame, params: models.AlsParams = mo
     return scaled.select("ip", F.col("host").alias("behav"), ff.decimals(F.col("scores"), 6).alias("scores"), "time")
 
 
-def behaviour_similarities(moniflow: DataFrame) -> dict[str, DataFrame]:
-    """Similar hosts, similar addresses and the hosts similar addresses share."""
+def similar_addresses(rated: DataFrame, threshold: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """Pairs of similar addresses (ip1, ip2, sim) and the hosts they share."""
+    users = user_similarity(rated, threshold)
+    pairs = stored(users.select(F.col("left").alias("ip1"), F.col("right").alias("ip2"), "sim"), "similar")
+    return pairs, joins.similarity_reasons(pairs, rated)
+
+
+def similarity_report(pairs: DataFrame, first: str, second: str, data_type: str, cltime: str) -> DataFrame:
+    """Published layout of similar pairs: row, object, other_object, sim, data_type, cltime."""
+    out = pairs.select(
+        ff.record_id(F.lit(data_type), F.col(first), F.col(second)).alias("row"), F.col(first).alias("object"),
+        F.col(second).alias("other_object"), F.col("sim").cast("float").alias("sim"),
+    )
+    return out.withColumns({"data_type": F.lit(data_type), "cltime": F.lit(cltime)})
+
+
+def behaviour_similarities(moniflow: DataFrame, cltime: str, threshold: float = 0.7) -> dict[str, DataFrame]:
+    """Published tables: similar hosts (V), similar addresses (U) and the hosts similar addresses share."""
     _, rated = behaviour_ratings(moniflow)
-    users = user_similarity(rated)
-    pairs = users.select(F.col("left").alias("ip1"), F.col("right").alias("ip2"), "sim")
-    return {"items": item_similarity(rated), "users": users, "reasons": joins.similarity_reasons(pairs, rated)}
+    pairs, reasons = similar_addresses(rated, threshold)
+    shared = reasons.select(
+        ff.record_id(F.col("ip1"), F.col("ip2"), F.col("host")).alias("row"), F.col("ip1").alias("ip"), F.col("ip2").alias("other_ip"),
+        "host", F.col("host").alias("other_host"), F.col("sim").cast("float").alias("sim"), F.col("ip1_count").cast("int").alias("ip_count"),
+        F.col("ip2_count").cast("int").alias("other_ip_count"), F.col("rate").cast("float").alias("rate"), F.lit(cltime).alias("cltime"),
+    )
+    return {
+        "items": similarity_report(item_similarity(rated), "left", "right", "V", cltime),
+        "users": similarity_report(pairs, "ip1", "ip2", "U", cltime),
+        "reasons": shared,
+    }
 
 
 def host_clusters(moniflow: DataFrame, k: int = 7) -> DataFrame:
@@ -162,6 +186,15 @@ def netflow_clusters(flows: DataFrame, k: int = 10) -> DataFrame:
     return joins.with_centers(out, packed)
 
 
+def netflow_cluster_tables(members: DataFrame) -> dict[str, DataFrame]:
+    """Published tables of ``netflow_clusters``: its points and its centers with one column per feature."""
+    named = members.select("ip", "label", "distance", "features", "center")
+    return {
+        "points": groups.point_report(named.drop("center"), agg.SEVEN_FEATURES).drop("features"),
+        "centers": groups.center_report(named, agg.SEVEN_FEATURES),
+    }
+
+
 def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
     """Flow sessions ranked by the sum of two cluster-based outlier scores."""
     key = ["recordtime", "srcip", "dstip", "proto"]
@@ -175,12 +208,23 @@ def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
     return both.select("*", total).orderBy(F.desc("unusuals"))
 
 
+# What port rules read of a flow.
+PORT_COLUMNS = ["row", "srcip", "dstip", "srcport", "dstport", "proto", "recordtime", "costtime", "packernum", "bytesize"]
+
+
+def port_portrait_tables(today: DataFrame, history: DataFrame) -> dict[str, DataFrame]:
+    """Published tables per asset: verdicts of today's flows, today's four-level maxima, the history's bounds."""
+    # the merged flows are read three times (rows, port counts, row count): merge once, only the columns in use
+    before, now = (stored(joins.merge_reverse_flows(f.select(PORT_COLUMNS)), "merged") for f in (history, today))
+    bounds = ports.port_baseline_3mean(ports.classify_ports(before))
+    rows = ports.classify_ports(now)
+    return {"verdicts": ports.judge_ports(rows, bounds), "today": ports.port_baseline_max(rows), "bounds": bounds}
+
+
 def port_portrait(today: DataFrame, history: DataFrame) -> DataFrame:
     """Port verdicts of today's flows against the ports, protocols and bounds of the history, per asset."""
-    # the merged flows are read three times (rows, port counts, row count): merge once
-    before, now = (stored(joins.merge_reverse_flows(f), "merged") for f in (history, today))
-    bounds = ports.port_baseline_3mean(ports.classify_ports(before))
-    return ports.judge_ports(ports.classify_ports(now), bounds)
+    before, now = (stored(joins.merge_reverse_flows(f.select(PORT_COLUMNS)), "merged") for f in (history, today))
+    return ports.judge_ports(ports.classify_ports(now), ports.port_baseline_3mean(ports.classify_ports(before)))
 
 
 def port_portrait_simple(flows: DataFrame) -> DataFrame:
@@ -188,6 +232,16 @@ def port_portrait_simple(flows: DataFrame) -> DataFrame:
     return ports.port_baseline_3sigma(ports.classify_ports_simple(stored(joins.merge_reverse_flows(flows), "merged")))
 
 
+def flow_baseline_tables(day: DataFrame, week: DataFrame) -> dict[str, DataFrame]:
+    """Published tables: day baseline and week baseline in the stored layout, and the verdicts of the day's flows."""
+    bounds = cut_lineage(baselines.week_baseline(week))
+    return {
+        "day": baselines.baseline_report(baselines.day_baseline(day), "daybaseline"),
+        "week": baselines.baseline_report(bounds, "weekbaseline"),
+        "verdicts": baselines.judge_flows(day, bounds),
+    }
+
+
 def flow_baseline(day: DataFrame, week: DataFrame) -> DataFrame:
     """Verdicts of a day's flows against the week's bounds."""
     return baselines.judge_flows(day, baselines.week_baseline(week))
@@ -233,11 +287,11 @@ def new_asset_report(flows: DataFrame, register: DataFrame, found: DataFrame, ra
     return src.withColumn("side", F.lit("src")).unionByName(dst.withColumn("side", F.lit("dst")))
 
 
-def url_attacks(moniflow: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Train both URL classifiers and report the attacks among inbound URLs."""
-    model = models.url_fit(labelled)
+def url_attacks(moniflow: DataFrame, model: PipelineModel) -> DataFrame:
+    """Attacks among inbound URLs by a stored model, both predictions with their probabilities."""
     inbound = moniflow.where(F.col("flowd") == ff.OUT_TO_IN)
-    return models.url_attacks(model, tokenize_uris(inbound.select("id", "date", "srcip", "dstip", "uri")))
+    return models.url_attacks(model, tokenize_uris(inbound.select("id", "date", "srcip", "dstip", "uri"))).select(
+        "id", "date", "srcip", "dstip", "uri", "prediction_nb", "probability_nb", "prediction_lr", "probability_lr")
 
 
 # -- two-level portrait --------------------------------------------------------------------------------------------
@@ -254,7 +308,9 @@ def portrait_level_one(flows: DataFrame, k: int = 3) -> DataFrame:
     features = [f for f in ("costtime", "tcp", "udp", "icmp", "gre", "packernum", "bytesize")]
     scaled = clustering.grouped_min_max(rows, ["ip"], "row", features)
     labelled = clustering.grouped_kmeans(scaled, ["ip"], "row", [f + "_scl" for f in features], k)
-    sized = joins.with_group_size(labelled, ["ip", "label"], name="cluster_size")
+    # at most k labels an asset: their sizes are one small table beside the labelled rows, which are stored already
+    sizes = labelled.groupBy("ip", "label").agg(F.count(F.lit(1)).alias("cluster_size"))
+    sized = salted_lookup(labelled, sizes, ["ip", "label"], "row", "inner")
     name = F.when(F.col("cluster_size") > 2, F.col("label").cast("string")).otherwise("other")
     return sized.withColumn("prediction", name).drop("label")
 
@@ -267,7 +323,8 @@ def portrait_level_two(level_one: DataFrame, moniflow: DataFrame, k: int = 3) ->
     rows = matched.withColumns(hot).withColumnRenamed("prediction", "parent")
     group = ["ip", "parent"]
     scaled = clustering.grouped_min_max(rows, group, "id", list(APP_FEATURES))
-    return clustering.grouped_kmeans(scaled, group, "id", [f + "_scl" for f in APP_FEATURES], k, weight="n_flows")
+    guarded = lambda n: F.when(n <= 2, 1).when(n <= k, n - 1).otherwise(k)
+    return clustering.grouped_kmeans(scaled, group, "id", [f + "_scl" for f in APP_FEATURES], k, weight="n_flows", allowed=guarded)
 
 
 def portrait_centers(level_one: DataFrame, level_two: DataFrame) -> DataFrame:
@@ -293,7 +350,30 @@ def portrait_centers(level_one: DataFrame, level_two: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
+def portrait_points(level_one: DataFrame, level_two: DataFrame) -> DataFrame:
+    """Cluster points of both levels: flows with their protocol, sums and time, audit rows with protocol and method."""
+    protos = [p.lower() for p in ff.FLOW_PROTOCOLS]
+    head = ff.dominant_feature([F.col(p) for p in protos], list(ff.FLOW_PROTOCOLS))
+    parts = [F.col(f).cast("string") for f in ("costtime", "packernum", "bytesize")]
+    first = level_one.select(
+        F.lit("1").alias("type"), "ip", F.lit("").alias("parent"), F.col("prediction").alias("label"), F.col("row").cast("string").alias("point"),
+        F.concat_ws("#", head, *parts, ff.time_text(F.col("recordtime"))).alias("info"), "distance",
+    )
+    kind = ff.dominant_feature([F.col(f) for f in APP_FEATURES], list(ff.APP_PROTOCOLS))
+    second = level_two.select(
+        F.lit("2").alias("type"), "ip", "parent", F.col("label").cast("string").alias("label"), F.col("id").cast("string").alias("point"),
+        F.concat_ws("#", kind, "method").alias("info"), "distance",
+    )
+    return first.unionByName(second)
+
+
+def asset_portrait_tables(flows: DataFrame, moniflow: DataFrame) -> dict[str, DataFrame]:
+    """Published tables of the two-level portrait of every monitored asset: centers and points of both levels."""
+    one = portrait_level_one(flows)
+    two = portrait_level_two(one, moniflow)
+    return {"centers": portrait_centers(one, two), "points": portrait_points(one, two)}
+
+
 def asset_portrait(flows: DataFrame, moniflow: DataFrame) -> DataFrame:
     """Centers of the two-level portrait of every monitored asset."""
-    one = portrait_level_one(flows).persist(StorageLevel.MEMORY_AND_DISK)
-    return portrait_centers(one, portrait_level_two(one, moniflow))
+    return asset_portrait_tables(flows, moniflow)["centers"]

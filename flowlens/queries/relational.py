@@ -26,9 +26,10 @@ def join_index_to_name(spark, d):
 
 part("norms", 'SELECT ip, sqrt(sum("count" * "count")) AS n FROM ratings GROUP BY ip', "ratings")
 part("user_pairs", """
-SELECT a.ip AS ip1, b.ip AS ip2, round(sum(a."count" * b."count" / (na.n * nb.n)), 3) AS sim
-FROM ratings a JOIN ratings b ON a.host = b.host AND a.ip < b.ip JOIN norms na ON na.ip = a.ip JOIN norms nb ON nb.ip = b.ip
-GROUP BY a.ip, b.ip""", "ratings", "norms")
+SELECT ip1, ip2, round(s, 3) AS sim FROM (
+  SELECT a.ip AS ip1, b.ip AS ip2, sum(a."count" * b."count" / (na.n * nb.n)) AS s
+  FROM ratings a JOIN ratings b ON a.host = b.host AND a.ip < b.ip JOIN norms na ON na.ip = a.ip JOIN norms nb ON nb.ip = b.ip
+  GROUP BY a.ip, b.ip) WHERE s >= 0.7 - 1e-12""", "ratings", "norms")
 
 
 @query("join_similarity_reason", """
@@ -262,10 +263,17 @@ def agg_flow_session(spark, d):
     return agg.flow_sessions(fx.flows(spark, d)).withColumn("recordtime", ff.time_text(F.col("recordtime")))
 
 
-@query("agg_day_baseline", """
+def day(name: str, source: str) -> None:
+    part(name, f"""
 SELECT srcip AS name, CASE WHEN grouping(proto) = 0 THEN proto ELSE '' END AS proto, hour, CAST(max(packernum) AS DOUBLE) AS connectavg,
        round(max(bytesize) / 1024.0, 6) AS netflowavg, CASE WHEN grouping(proto) = 0 THEN 'proto' ELSE 'all' END AS baseline
-FROM flows GROUP BY GROUPING SETS ((srcip, proto, hour), (srcip, hour))""", "flows")
+FROM {source} GROUP BY GROUPING SETS ((srcip, proto, hour), (srcip, hour))""", source)
+
+
+day("day", "flows")
+
+
+@query("agg_day_baseline", "SELECT * FROM day", "day")
 def agg_day_baseline(spark, d):
     return baselines.day_baseline(fx.flows(spark, d)).withColumn("netflowavg", F.round("netflowavg", 6))
 
@@ -281,19 +289,25 @@ def agg_port_baseline_3sigma(spark, d):
     return ports.port_baseline_3sigma(ports.classify_ports_simple(fx.port_flows(spark, d)))
 
 
-part("classified_max0", f"""
+def largest(name: str) -> None:
+    """Four-level maxima of a classified table, as ``<name>_max``; needs its open lists."""
+    part(f"{name}_max0", f"""
 SELECT name, CASE WHEN grouping(port) = 0 THEN port ELSE '' END AS port, CASE WHEN grouping(proto) = 0 THEN proto ELSE '' END AS proto,
        CAST(hour AS VARCHAR) AS hour, CAST(max(packernum) AS DOUBLE) AS connectavg, {half_up('max(bytesize) / 1024.0')} AS netflowavg,
        CASE WHEN grouping(port) = 0 AND grouping(proto) = 0 THEN 'PORTPROTO' WHEN grouping(port) = 0 THEN 'PORT'
             WHEN grouping(proto) = 0 THEN 'PROTO' ELSE 'ALL' END AS baseline
-FROM classified GROUP BY GROUPING SETS ((name, hour), (name, port, hour), (name, proto, hour), (name, port, proto, hour))""", "classified")
+FROM {name} GROUP BY GROUPING SETS ((name, hour), (name, port, hour), (name, proto, hour), (name, port, proto, hour))""", name)
+    part(f"{name}_max", f"""
+SELECT * FROM {name}_max0 l
+WHERE (baseline IN ('ALL', 'PROTO') OR EXISTS (SELECT 1 FROM {name}_open_ports o WHERE o.name = l.name AND o.port = l.port))
+  AND (baseline IN ('ALL', 'PORT') OR EXISTS (SELECT 1 FROM {name}_open_protos o WHERE o.name = l.name AND o.proto = l.proto))""",
+         f"{name}_max0", f"{name}_open_ports", f"{name}_open_protos")
+
+
+largest("classified")
 
 
-@query("agg_port_baseline_max", """
-SELECT * FROM classified_max0 l
-WHERE (baseline IN ('ALL', 'PROTO') OR EXISTS (SELECT 1 FROM classified_open_ports o WHERE o.name = l.name AND o.port = l.port))
-  AND (baseline IN ('ALL', 'PORT') OR EXISTS (SELECT 1 FROM classified_open_protos o WHERE o.name = l.name AND o.proto = l.proto))""",
-       ("classified_max0", "classified_open_ports", "classified_open_protos"))
+@query("agg_port_baseline_max", "SELECT * FROM classified_max", "classified_max")
 def agg_port_baseline_max(spark, d):
     return ports.port_baseline_max(ports.classify_ports(fx.port_flows(spark, d)))
 

@@ -115,17 +115,27 @@ def load_model(spark, d):
 
 
 @query("scan_labelled_sample", """
-SELECT attacktype, recordid FROM (SELECT CAST(CASE WHEN packernum <= 2 THEN 4 WHEN proto = 'UDP' AND bytesize > 40000 THEN 2
-  WHEN proto = 'TCP' AND bytesize > 60000 THEN 1 WHEN proto = 'TCP' THEN 0 ELSE 3 END AS VARCHAR) AS attacktype, "row" AS recordid
-  FROM flows) WHERE attacktype = '4'
-UNION ALL SELECT '0', "row" FROM (SELECT "row" FROM flows ORDER BY "row"
-  LIMIT (SELECT count(*) FROM flows WHERE packernum <= 2))""", "flows")
+SELECT attacktype, "row" AS recordid FROM (SELECT "row", CAST(CASE WHEN packernum <= 2 THEN 4 WHEN proto = 'UDP' AND bytesize > 40000 THEN 2
+  WHEN proto = 'TCP' AND bytesize > 60000 THEN 1 WHEN proto = 'TCP' THEN 0 ELSE 3 END AS VARCHAR) AS attacktype FROM flows WHERE hour = 3)
+UNION ALL SELECT '0', "row" FROM (SELECT "row" FROM flows WHERE hour <> 3 ORDER BY "row" LIMIT (SELECT count(*) FROM flows WHERE hour = 3))""", "flows")
 def scan_labelled_sample(spark, d):
-    labelled = fx.labelled_flows(spark, d).where("attacktype = '4'").select("attacktype", "recordid")
-    live = fx.flows(spark, d).select(F.lit("0").alias("attacktype"), F.col("row").alias("recordid"))
+    """All labelled flows (one hour was labelled), every class, and as many live ones."""
+    labelled = fx.labelled_flows(spark, d, F.col("hour") == 3).select("attacktype", "recordid")
+    live = fx.flows(spark, d).where("hour <> 3").select(F.lit("0").alias("attacktype"), F.col("row").alias("recordid"))
     return models.balanced_sample(labelled, live, "recordid")
 
 
+@query("scan_labelled_urls", """
+SELECT doc_id, CAST(label AS INT) AS label FROM (SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM documents JOIN labels USING (doc_id))
+UNION ALL SELECT doc_id, 1 FROM (SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+  ORDER BY doc_id LIMIT (SELECT 10 * count(*) FROM documents JOIN labels USING (doc_id)))""")
+def scan_labelled_urls(spark, d):
+    """All labelled texts and up to ten times as many unlabelled ones as normal."""
+    labelled = fx.labelled_urls(spark, d).select("doc_id", F.col("label").cast("int").alias("label"))
+    live = fx.url_texts(spark, d).join(labelled.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.lit(1).alias("label"))
+    return models.balanced_sample(labelled, live, "doc_id", factor=10)
+
+
 # -- projections -------------------------------------------------------------------------------------------------------
 
 _HOT4 = ", ".join(f"CASE WHEN upper(proto) = '{p}' THEN 1 ELSE 0 END AS {p.lower()}" for p in ff.FLOW_PROTOCOLS)

@@ -250,10 +250,19 @@ def rating_metrics(spark, d):
     return models.rating_errors(models.als_fit(indexed, False), indexed)
 
 
+@query("topk_recommend_one")
+def topk_recommend_one(spark, d):
+    """Recommendations for one address, the busiest one."""
+    indexed = _indexed(spark, d)
+    model = models.als_fit(indexed)
+    user = indexed.groupBy("ip_index", "ip").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "ip").limit(1)
+    return models.top_items(model, 10, user.select("ip_index")).join(user.select("ip_index", "ip"), "ip_index").select("ip", "host_index", "score")
+
+
 @query("topk_recommend")
 def topk_recommend(spark, d):
     indexed = _indexed(spark, d)
-    top = models.top_items(models.als_fit(indexed, True), 10)
+    top = models.top_items(models.als_fit(indexed), 10)
     return top.join(indexed.select("ip_index", "ip").distinct(), "ip_index").select("ip", "host_index", "score")
 
 

@@ -191,9 +191,10 @@ def assets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(_ip(k).alias("ip"), F.when(k == 2, 0).otherwise(1).alias("flg"))
 
 
-def labelled_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training layout; the class follows from protocol, packets and bytes."""
+def labelled_flows(spark: SparkSession, sf_dir: str, which: Column | None = None) -> DataFrame:
+    """Training layout of the chosen flows; the class follows from protocol, packets and bytes."""
     f = flows(spark, sf_dir)
+    f = f if which is None else f.where(which)
     cls = (
         F.when(F.col("packernum") <= 2, 4).when((F.col("proto") == "UDP") & (F.col("bytesize") > 40000), 2)
         .when((F.col("proto") == "TCP") & (F.col("bytesize") > 60000), 1).when(F.col("proto") == "TCP", 0).otherwise(3)
