@@ -2,6 +2,11 @@
 
 A basket is one hour of the day, so an address has at most 24 of them and the baskets of a host fit into one bit mask:
 the support of a set is the number of bits its masks have in common.
+
+An address that visits n hosts in every hour has 2^n frequent sets, so sets are kept closed: a closed set is a mask, the hours
+common to its hosts, together with all hosts that are visited in those hours. Every frequent set lies in the closed set of its
+mask and has its support; nothing is left out and no size is limited. ``frequent_itemsets`` spells the sets out for those who
+ask for it.
 """
 
 from __future__ import annotations
@@ -15,7 +20,6 @@ from flowlens.session import cut_lineage
 HOURS = 24
 MIN_SUPPORT = 0.5
 MIN_CONFIDENCE = 0.6
-MAX_SIZE = 3
 
 
 def basket_masks(visits: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
@@ -43,6 +47,69 @@ def _leading_bits(mask: Column, need: Column) -> Column:
     return F.slice(hours, F.lit(1), F.greatest(F.size(hours) - need + 1, F.lit(1)))
 
 
+def _meeting(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(ip, need, mask, other): different masks of an address that share ``need`` hours, each pair once.
+
+    ``left``: ip, need, mask; ``right``: ip, need, other. Masks that share so many hours have a leading hour in common, so
+    they meet by address and hour; the first such hour keeps the pair.
+    """
+    a = left.withColumn("__a", _leading_bits(F.col("mask"), F.col("need")))
+    b = right.select("ip", "other", _leading_bits(F.col("other"), F.col("need")).alias("__b"))
+    met = a.withColumn("h", F.explode("__a")).join(b.withColumn("h", F.explode("__b")), ["ip", "h"])
+    first = F.array_min(F.array_intersect("__a", "__b")) == F.col("h")
+    common = F.bit_count(F.col("mask").bitwiseAND(F.col("other"))) >= F.col("need")
+    return met.where(first & common & (F.col("mask") != F.col("other"))).select("ip", "need", "mask", "other")
+
+
+def closed_sets(masks: DataFrame) -> DataFrame:
+    """Masks of the closed frequent sets: ``ip, need, mask, freq``.
+
+    The masks of single hosts, closed under intersection as long as ``need`` hours are left; a round adds what the last
+    round's masks have in common with the hosts' masks, until nothing is new (24 rounds at most).
+    """
+    kinds = cut_lineage(masks.select("ip", "need", "mask").distinct())
+    others = kinds.select("ip", "need", F.col("mask").alias("other"))
+    found, fresh = kinds, kinds
+    while not fresh.isEmpty():
+        grown = _meeting(fresh, others).select("ip", "need", F.col("mask").bitwiseAND(F.col("other")).alias("mask")).distinct()
+        fresh = cut_lineage(grown.join(found, ["ip", "mask"], "left_anti").select("ip", "need", "mask"))
+        found = cut_lineage(found.unionByName(fresh))
+    return found.withColumn("freq", F.bit_count("mask"))
+
+
+def set_members(closed: DataFrame, masks: DataFrame) -> DataFrame:
+    """Hosts of every closed set, one row each: ``ip, mask, freq, host, own`` (own: the host's hours)."""
+    kinds = masks.select("ip", "need", F.col("mask").alias("other")).distinct()
+    wider = _meeting(closed.select("ip", "need", "mask"), kinds).where(F.col("mask").bitwiseAND(F.col("other")) == F.col("mask"))
+    equal = closed.select("ip", "need", "mask", F.col("mask").alias("other"))
+    hosts = masks.select("ip", F.col("mask").alias("other"), "host")
+    named = wider.unionByName(equal).join(hosts, ["ip", "other"])
+    return named.select("ip", "mask", F.bit_count("mask").alias("freq"), "host", F.col("other").alias("own"))
+
+
+def closed_rules(closed: DataFrame, masks: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules from a closed set to one host: ``ip, rule (mask of the set), recommend, support, confidence``.
+
+    A rule stands for the rules of every set with that mask. Hosts outside the set follow with the share of its hours they
+    have; a host of the set itself follows with confidence 1 if the other hosts alone have the same hours in common.
+    """
+    kinds = masks.select("ip", "need", F.col("mask").alias("other")).distinct()
+    pairs = _meeting(closed.select("ip", "need", "mask"), kinds)
+    pairs = pairs.where(F.col("mask").bitwiseAND(F.col("other")) != F.col("mask")).withColumn(
+        "confidence", F.bit_count(F.col("mask").bitwiseAND(F.col("other"))) / F.bit_count("mask"))
+    hosts = masks.select("ip", F.col("mask").alias("other"), F.col("host").alias("recommend"))
+    outside = pairs.where(F.col("confidence") >= min_confidence).join(hosts, ["ip", "other"])
+    members = cut_lineage(set_members(closed, masks))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1), F.lit(h))
+    lacking = [F.count_if(F.col("own").bitwiseAND(bit(h)) == 0) for h in range(HOURS)]
+    once = sum((F.when(n == 1, bit(h)).otherwise(0) for h, n in enumerate(lacking)), F.lit(0))
+    sets = members.groupBy("ip", "mask").agg(once.alias("once"), F.count(F.lit(1)).alias("size"))
+    inside = members.join(sets.where("size > 1"), ["ip", "mask"]).where(F.bitwise_not("own").bitwiseAND(F.col("once")) == 0)
+    return outside.select("ip", F.col("mask").alias("rule"), "recommend", F.bit_count("mask").alias("support"), "confidence").unionByName(
+        inside.select("ip", F.col("mask").alias("rule"), F.col("host").alias("recommend"), F.col("freq").alias("support"),
+                      F.lit(1.0).alias("confidence")))
+
+
 def frequent_pairs(masks: DataFrame) -> DataFrame:
     """Frequent sets of two hosts.
 
@@ -71,12 +138,11 @@ def frequent_pairs(masks: DataFrame) -> DataFrame:
     return different.unionByName(alike)
 
 
-def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_size: int | None = MAX_SIZE) -> DataFrame:
-    """Frequent sets of up to ``max_size`` hosts per address: ``ip, items (sorted), size, freq``.
+def frequent_itemsets(visits: DataFrame, min_support: float = MIN_SUPPORT, max_size: int | None = None) -> DataFrame:
+    """All frequent sets spelled out, or those of up to ``max_size`` hosts: ``ip, items (sorted), size, freq``.
 
-    Sets of size n that agree on all but their last host are joined to sets of size n + 1; with ``max_size=None`` until
-    none is left. An address that visits n hosts in every hour has 2^n frequent sets, so the size is part of the
-    question; no set within the size is ever left out.
+    Sets of size n that agree on all but their last host are joined to sets of size n + 1 until none is left. The answer
+    may be exponential in the hosts of an address; ``closed_sets`` says the same in short.
     """
     masks = cut_lineage(basket_masks(visits, min_support))
     singles = masks.select("ip", F.array("host").alias("items"), "mask", "need")

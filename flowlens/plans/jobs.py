@@ -163,8 +163,9 @@ def host_clusters(moniflow: DataFrame, k: int = 7) -> DataFrame:
 
 
 def web_rules(moniflow: DataFrame, min_support: float = itemsets.MIN_SUPPORT, min_confidence: float = itemsets.MIN_CONFIDENCE) -> DataFrame:
-    """Association rules between the hosts of each address."""
-    return itemsets.association_rules(itemsets.frequent_itemsets(visits(moniflow), min_support), min_confidence)
+    """Association rules between the hosts of each address, from its closed sets; no set is too large."""
+    masks = cut_lineage(itemsets.basket_masks(visits(moniflow), min_support))
+    return itemsets.closed_rules(itemsets.closed_sets(masks), masks, min_confidence)
 
 
 # -- flows ---------------------------------------------------------------------------------------------------------

@@ -213,7 +213,7 @@ def new_assets(spark, d):
     return out.withColumn("storagetime", ff.time_text(F.col("storagetime")))
 
 
-@query("web_rules", RULES, "itemsets")
+@query("web_rules", RULES, ("closed", "masks", "set_hosts"))
 def web_rules(spark, d):
     return jobs.web_rules(fx.moniflow(spark, d)).withColumn("confidence", F.round("confidence", 6))
 
