@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.skew import SALTS, row_salt
+from flowlens.operators.skew import hot_keys, row_salt, with_salts
 
 
 def ip_to_long(ip: Column) -> Column:
@@ -42,13 +42,17 @@ def semi_join_ranges(
     Ranges are cut into /16 cells, so the join is an equi-join on the cell with a range check left over; a table of
     any size works without a nested loop, and the rows of a busy cell are spread by salt.
     """
+    number = ip_to_long(F.col(ip))
+    keyed = df.withColumns({"__ip": number, "__c": F.shiftright(number, 16)})
+    hot = hot_keys(keyed, ["__c"])
+    keyed = with_salts(keyed, hot, ["__c"]).withColumn("__salt", row_salt(by, F.col("__salts"))).drop("__salts")
     cells = ranges.select(
-        F.explode(F.sequence(F.shiftright(F.col(lo), 16), F.shiftright(F.col(hi), 16))).alias("__cell"),
+        F.explode(F.sequence(F.shiftright(F.col(lo), 16), F.shiftright(F.col(hi), 16))).alias("__c"),
         F.col(lo).alias("__lo"),
         F.col(hi).alias("__hi"),
-    ).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    number = ip_to_long(F.col(ip))
-    keyed = df.withColumns({"__ip": number, "__c": F.shiftright(number, 16), "__salt": row_salt(by)})
+    )
+    cells = with_salts(cells, hot, ["__c"]).select(
+        F.col("__c").alias("__cell"), "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__copy"))
     same = (F.col("__c") == F.col("__cell")) & (F.col("__salt") == F.col("__copy"))
     hit = same & F.col("__ip").between(F.col("__lo"), F.col("__hi"))
     return keyed.join(cells, hit, "left_semi").drop("__ip", "__c", "__salt")

@@ -63,7 +63,7 @@ def audit_reach(logs: DataFrame) -> DataFrame:
     near = _near_counts(logs).withColumnRenamed("t", "firstrecvtime")
     events = injection_events(logs)
     joined = events.join(near, ["sourceip", "destip", "firstrecvtime"], "left")
-    joined = salted_lookup(joined, pairs, ["sourceip", "destip"], "row")
+    joined = salted_lookup(joined, pairs, ["sourceip", "destip"], "row", counted=events)
     itself = F.when(F.col("firstrecvtime").isNotNull() & F.col("orglog").contains("sql"), 1).otherwise(0)
     others = F.when(F.col("row").isNull(), 0).otherwise(F.coalesce(F.col("__all") - 1, F.lit(0)))
     qualifying = F.when(F.col("row").isNull(), 0).otherwise(F.coalesce(F.col("near") - itself, F.lit(0)))

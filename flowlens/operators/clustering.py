@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.operators.scaling import min_max_scale, with_table_stats
-from flowlens.operators.skew import SALTS, label_lookup, row_salt, salted_lookup
+from flowlens.operators.skew import hot_keys, label_lookup, row_salt, salted_lookup, with_salts
 from flowlens.session import cut_lineage, for_many_passes, stored
 
 SEED = 42
@@ -160,7 +160,9 @@ def grouped_kmeans(
     more than ``tol``, ``max_iter`` of them at most.
     """
     base = points.withColumns({f"__f{j}": F.col(f).cast("double") for j, f in enumerate(features)})
-    base = base.withColumns({"__w": F.col(weight) if weight else F.lit(1), "__salt": row_salt(row_key)})
+    hot = hot_keys(points, group)
+    base = with_salts(base.withColumn("__w", F.col(weight) if weight else F.lit(1)), hot, group)
+    base = base.withColumn("__salt", row_salt(row_key, F.col("__salts")))
     # Partitioned once by (group, salt): a round moves the copied centers to the points, never the points.
     base = for_many_passes(base, *group, "__salt", ordered=True)
     dims = range(len(features))
@@ -176,7 +178,7 @@ def grouped_kmeans(
         return F.coalesce(total, F.lit(float("inf")))
 
     def to_points(centers: DataFrame, n: int) -> DataFrame:
-        copies = centers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        copies = centers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
         near = base.join(copies, [*group, "__salt"]).withColumns({f"__d{i}": square(i) for i in range(n)})
         ds = [F.col(f"__d{i}") for i in range(n)]
         least = F.least(*ds) if n > 1 else ds[0]
@@ -186,12 +188,12 @@ def grouped_kmeans(
         return near.withColumns({"__d": least, "__l": label})
 
     most = F.lit(k) if allowed is None else allowed(F.sum("__w"))
-    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"), most.cast("int").alias("__most"))
+    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"), most.cast("int").alias("__most"), F.max("__salts").alias("__salts"))
     for n in range(1, k):
         far = to_points(centers, n).groupBy(*group).agg(F.max(F.struct(F.col("__d").alias("d"), vector.alias("v"))).alias("__far"))
         more = (F.col("__far.d") > 0) & (F.size("__c") < F.col("__most"))
         grown = F.when(more, F.concat("__c", F.array("__far.v"))).otherwise(F.col("__c"))
-        centers = cut_lineage(centers.join(far, group).select(*group, "__most", grown.alias("__c")))
+        centers = cut_lineage(centers.join(far, group).select(*group, "__most", "__salts", grown.alias("__c")))
     centers = centers.drop("__most")
 
     means = F.array(*[F.sum(F.col(f"__f{j}") * F.col("__w")) / F.sum("__w") for j in dims])
@@ -203,8 +205,8 @@ def grouped_kmeans(
         # a center that lost all its points stays where it was
         updated = F.transform(F.col("__c"), lambda c, i: F.coalesce(F.try_element_at(F.col("__m"), i), c))
         shift = F.array_max(F.zip_with(updated, F.col("__c"), array_distance))
-        step = cut_lineage(centers.join(moved, group).select(*group, updated.alias("__u"), shift.alias("__s")))
-        centers = step.select(*group, F.col("__u").alias("__c"))
+        step = cut_lineage(centers.join(moved, group).select(*group, "__salts", updated.alias("__u"), shift.alias("__s")))
+        centers = step.select(*group, "__salts", F.col("__u").alias("__c"))
         if (step.agg(F.max("__s")).first()[0] or 0.0) <= tol:
             break
     found = to_points(centers, k).select(*points.columns, F.col("__l").alias("label"), F.sqrt("__d").alias("distance"))

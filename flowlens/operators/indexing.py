@@ -1,16 +1,14 @@
-"""Dense integer indexes of names, and sparse vectors over them."""
+"""Dense integer indexes of names, and sparse vectors in long form."""
 
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import VectorUDT, Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.session import cut_lineage
+from flowlens.operators.skew import salted_lookup
 
 BUCKETS = 512
-WIDEST = 1 << 20  # largest vocabulary that gets a vector slot per name
 
 
 def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -29,33 +27,21 @@ def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def index_users_items(ratings: DataFrame) -> DataFrame:
-    """Ratings with ``ip_index`` and ``host_index``; the ratings are read three times, so they are computed once."""
-    ratings = cut_lineage(ratings)
+    """Ratings with ``ip_index`` and ``host_index``; they are read several times, so pass them computed (stored)."""
     users, items = dense_index(ratings, "ip", "ip_index"), dense_index(ratings, "host", "host_index")
-    return ratings.join(users, "ip").join(items, "host")
+    named = salted_lookup(ratings, users, ["ip"], "host", "inner")
+    return salted_lookup(named, items, ["host"], "ip", "inner", counted=ratings)
 
 
-def host_vectors(ratings: DataFrame, value: str) -> tuple[DataFrame, int]:
-    """One sparse vector per address over the hosts, and its length.
+def host_cells(ratings: DataFrame, value: str) -> DataFrame:
+    """The sparse vector of every address in long form: ``ip, host, v, filled`` (its cells), ``length`` (all hosts).
 
-    Up to ``WIDEST`` hosts every host has a slot of its own; beyond that hosts share hashed slots, because a cluster
-    center is a dense vector of that length on the driver.
+    One row per cell, so no vocabulary is too large and no address has to fit into one row.
     """
-    hosts = ratings.select("host").distinct().count()
-    if hosts <= WIDEST:
-        slots, size = dense_index(ratings, "host", "slot"), max(hosts, 1)
-        placed = ratings.join(slots, "host")
-    else:
-        size = WIDEST
-        placed = ratings.withColumn("slot", F.pmod(F.xxhash64("host"), F.lit(size)).cast("int"))
-    cells = placed.groupBy("ip", "slot").agg(F.sum(value).alias("v"))
-    rows = cells.groupBy("ip").agg(F.array_sort(F.collect_list(F.struct("slot", "v"))).alias("cells"))  # <= size cells
-
-    @F.udf(VectorUDT())
-    def to_sparse(cells):
-        return Vectors.sparse(size, [c["slot"] for c in cells], [float(c["v"]) for c in cells])
-
-    return rows.select("ip", to_sparse("cells").alias("vector")), size
+    cells = ratings.groupBy("ip", "host").agg(F.sum(value).alias("v"))
+    filled = cells.groupBy("ip").agg(F.count(F.lit(1)).alias("filled"))
+    length = ratings.agg(F.countDistinct("host")).scalar()
+    return salted_lookup(cells, filled, ["ip"], "host", "inner").withColumn("length", length)
 
 
 def dense_vector(df: DataFrame, array: str, out: str = "vector") -> DataFrame:

@@ -11,9 +11,9 @@ from flowlens.operators.skew import label_lookup, salted_lookup, with_group_stat
 
 
 def names_for_indexes(scored: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Names of user and item indexes from deduplicated dimensions (ip, ip_index) and (host, host_index)."""
-    named = scored.join(users.select("ip_index", "ip").distinct(), "ip_index", "left")
-    return named.join(items.select("host_index", "host").distinct(), "host_index", "left")
+    """Names of user and item indexes from dimensions (ip, ip_index) and (host, host_index), rows may repeat."""
+    named = salted_lookup(scored, users.select("ip_index", "ip").distinct(), ["ip_index"], "host_index")
+    return salted_lookup(named, items.select("host_index", "host").distinct(), ["host_index"], "ip_index", counted=scored)
 
 
 def similarity_reasons(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -125,12 +125,14 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 def keep_listed(df: DataFrame, listed: DataFrame, column: str, listed_column: str = "ip") -> DataFrame:
     """Rows whose value is in a list."""
-    return df.join(listed, df[column] == listed[listed_column], "left_semi")
+    values = listed.select(F.col(listed_column).alias("__listed")).distinct()
+    return df.join(values, df[column] == F.col("__listed"), "left_semi")
 
 
 def drop_listed(df: DataFrame, listed: DataFrame, column: str, listed_column: str = "ip") -> DataFrame:
     """Rows whose value is not in a list; duplicates of the left side stay."""
-    return df.join(listed, df[column] == listed[listed_column], "left_anti")
+    values = listed.select(F.col(listed_column).alias("__listed")).distinct()
+    return df.join(values, df[column] == F.col("__listed"), "left_anti")
 
 
 def subtract(left: DataFrame, right: DataFrame) -> DataFrame:

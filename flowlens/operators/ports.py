@@ -178,7 +178,8 @@ def judge_ports(classified: DataFrame, baseline: DataFrame) -> DataFrame:
     # One row per asset: its bounds and its protocols (a few values).
     protos = baseline.where(F.col("baseline") == "PROTO").groupBy("name").agg(F.collect_set("proto").alias("protos"))
     assets = bounds.join(protos, "name", "left")
-    rows = salted_lookup(salted_lookup(classified, ports, ["name", "port"], "row"), assets, ["name"], "row")
+    known = salted_lookup(classified, ports, ["name", "port"], "row")
+    rows = salted_lookup(known, assets, ["name"], "row", counted=classified)
     known_proto = F.coalesce(F.array_contains("protos", F.col("proto")), F.lit(False))
     number = F.coalesce(F.col("bytesize").cast("double") / KB, F.lit(0.0))
     packets = F.coalesce(F.col("packernum").cast("double"), F.lit(0.0))

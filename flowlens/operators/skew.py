@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SALTS = 16
 HOT_SHARE = 0.001  # a key is hot from this share on, so there are at most 1 / HOT_SHARE hot keys
 HOT_ROWS = 100_000  # and never below this many rows
 
@@ -16,33 +15,71 @@ def _same(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
-def row_salt(by: str, salts: int = SALTS) -> Column:
-    """Salt 0..salts-1 (a power of two) from one column that tells the rows of a key apart.
+def _pieces(grouped: DataFrame) -> Column:
+    """Pieces a key of ``grouped`` (with its rows in ``__n``) is cut into; a piece is at most a hot key's least size."""
+    piece = F.greatest(F.lit(HOT_ROWS), grouped.agg(F.sum("__n") * HOT_SHARE).scalar())
+    return F.ceil(F.col("__n") / piece).cast("int")
+
+
+def hot_keys(df: DataFrame, keys: list[str], tag: str = "h") -> DataFrame:
+    """Keys that need more than one piece, as ``__<tag>_<key>``, with their ``__salts``; at most 1 / HOT_SHARE rows."""
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    found = grouped.withColumn("__salts", _pieces(grouped)).where("__salts > 1")
+    return found.select(*[F.col(k).alias(f"__{tag}_{k}") for k in keys], "__salts")
+
+
+def with_salts(df: DataFrame, hot: DataFrame, keys: list[str], tag: str = "h") -> DataFrame:
+    """Rows with the number of pieces of their key, 1 for cold keys; the hot keys are few and broadcast."""
+    met = _same([F.col(k) for k in keys], [F.col(f"__{tag}_{k}") for k in keys])
+    joined = df.join(F.broadcast(hot), met, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("__salts", F.lit(1)).alias("__salts"))
+
+
+def row_salt(by: str, salts: Column) -> Column:
+    """Salt 0..salts-1 from one column that tells the rows of a key apart.
 
     It depends on the row's content only, so a retried task produces the same one, and it reads no other column.
     """
-    return F.xxhash64(F.col(by)).bitwiseAND(F.lit(salts - 1)).cast("int")
+    return row_salt_of(F.xxhash64(F.col(by)), salts)
+
+
+def row_salt_of(number: Column, salts: Column) -> Column:
+    return F.pmod(number, salts).cast("int")
+
+
+def splits_skewed_joins(spark: SparkSession) -> bool:
+    """Whether Spark splits hot partitions of joins at run time."""
+    on = lambda key: str(spark.conf.get(key, "true")).lower() == "true"
+    return on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")
 
 
 def salted_lookup(
-    facts: DataFrame, dim: DataFrame, on: list[str], by: str, how: str = "left", salts: int = SALTS
+    facts: DataFrame, dim: DataFrame, on: list[str], by: str, how: str = "left", counted: DataFrame | None = None
 ) -> DataFrame:
-    """Join a big side with a much smaller keyed side; every key of the big side is spread over ``salts`` tasks.
+    """Join a big side with a keyed side; a hot key of the big side is spread over as many tasks as its rows need.
 
-    ``by`` is a column of the big side that differs between the rows of a key.
+    ``by`` is a column of the big side that differs between the rows of a key. Only the keyed rows of hot keys are copied,
+    once per piece. With adaptive execution Spark finds and splits them itself, provided that both sides are plain shuffles:
+    a salt that is always 0 makes the keyed side one even if it is an aggregate on the same keys. Without it the keys are
+    counted beforehand, pre-aggregated, in ``counted`` if the big side is the result of other joins and a table it came from
+    has the same keys as often.
     """
-    salted = facts.withColumn("__salt", row_salt(by, salts))
-    copies = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if splits_skewed_joins(facts.sparkSession):
+        zero = lambda *c: row_salt_of(F.xxhash64(*c), F.lit(1)).alias("__salt")
+        return facts.select("*", zero(by)).join(dim.select("*", zero(*on)), [*on, "__salt"], how).drop("__salt")
+    hot = hot_keys(facts if counted is None else counted, on)
+    salted = with_salts(facts, hot, on).withColumn("__salt", row_salt(by, F.col("__salts"))).drop("__salts")
+    copies = with_salts(dim, hot, on).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
 def label_lookup(points: DataFrame, per_label: DataFrame, label: str = "label", how: str = "left") -> DataFrame:
     """Join points with one row per cluster or quadrant label.
 
-    Labels come from a model of at most 20 clusters or from the six quadrants, so the right side holds a few rows and is
-    broadcast; a label that covers most points costs no shuffle.
+    Models have at most 20 clusters and there are six quadrants, but labels may also be given with the data: Spark
+    broadcasts the right side if its size allows, else it shuffles both, splitting a label that covers most points.
     """
-    return points.join(F.broadcast(per_label), label, how)
+    return points.join(per_label, label, how)
 
 
 def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -> DataFrame:
@@ -54,7 +91,7 @@ def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -
     in a broadcast table and their rows are spread by salt; the others meet their aggregates in a shuffled join.
     """
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in stats.items()])
-    hot_from = F.greatest(F.lit(HOT_ROWS), df.agg(F.count(F.lit(1)) * HOT_SHARE).scalar())
+    hot_from = F.greatest(F.lit(HOT_ROWS), grouped.agg(F.sum("__n") * HOT_SHARE).scalar())
 
     def renamed(part: DataFrame, tag: str) -> DataFrame:
         return part.select(
@@ -68,7 +105,7 @@ def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -
     key_cols = [F.col(k) for k in keys]
     step = df.join(hot, _same(key_cols, [F.col(f"__h_{k}") for k in keys]), "left")
     step = step.withColumn(
-        "__salt", F.when(F.col("__h_salt").isNotNull(), 1 + row_salt(by, 1024)).otherwise(F.lit(0))
+        "__salt", F.when(F.col("__h_salt").isNotNull(), 1 + row_salt(by, F.lit(1024))).otherwise(F.lit(0))
     )
     met = _same(key_cols, [F.col(f"__c_{k}") for k in keys]) & (F.col("__salt") == F.col("__c_salt"))
     joined = step.join(cold, met, "left")

@@ -16,6 +16,7 @@ from flowlens.operators import assets, audit, baselines, clustering, groups, ind
 from flowlens.operators.scaling import Weights, min_max_scale, scale_zero_max, weighted_scores
 from flowlens.operators.similarity import item_similarity, user_similarity
 from flowlens.operators.skew import salted_lookup
+from flowlens.operators.sparse import sparse_kmeans
 from flowlens.session import cut_lineage, for_many_passes, stored
 
 APP_FEATURES = tuple(a.lower() for a in ff.APP_PROTOCOLS)
@@ -149,14 +150,10 @@ def behaviour_similarities(moniflow: DataFrame, cltime: str, threshold: float =
 def host_clusters(moniflow: DataFrame, k: int = 7) -> DataFrame:
     """Addresses clustered by the hosts they visit, with the ten hosts most members of a cluster visit."""
     _, rated = behaviour_ratings(moniflow)
-    scaled = scale_zero_max(rated, "count", "scaled").persist(StorageLevel.MEMORY_AND_DISK)
-    vectors, _ = indexing.host_vectors(scaled, "scaled")
-    vectors = for_many_passes(vectors, "ip")
-    model = clustering.kmeans_fit(vectors, k)
-    members = clustering.mark_small_clusters(
-        clustering.assign(model, vectors).select("ip", "label", "distance"), 2, "-1", drop_distance=True
-    )
-    hosts = scaled.select("ip", "host").join(members.select("ip", "label"), "ip")
+    scaled = stored(scale_zero_max(rated, "count", "scaled"), "scaled")
+    found = stored(sparse_kmeans(scaled, "ip", "host", "scaled", k), "host-clusters")
+    members = clustering.mark_small_clusters(found, 2, "-1", drop_distance=True)
+    hosts = salted_lookup(scaled.select("ip", "host"), members.select("ip", "label"), ["ip"], "host", "inner")
     counted = hosts.groupBy("label", "host").agg(F.count(F.lit(1)).alias("n"))
     top = agg.joined_text(agg.top_per_group(counted, "label", [F.desc("n"), F.asc("host")], 10), "label", "host")
     return joins.members_with_top_hosts(members, top)

@@ -19,7 +19,7 @@ from flowlens.sources import readers
 @query("join_index_to_name", 'SELECT ip, host, "count" FROM ratings', "ratings")
 def join_index_to_name(spark, d):
     """Ratings by index, named again: the indexes stay inside."""
-    indexed = indexing.index_users_items(fx.ratings(spark, d))
+    indexed = stored(indexing.index_users_items(stored(fx.ratings(spark, d), "ratings")), "indexed")
     bare = indexed.select("ip_index", "host_index", "count")
     return joins.names_for_indexes(bare, indexed, indexed).select("ip", "host", "count")
 
@@ -186,7 +186,7 @@ def split_flows(spark, d):
 def join_rating_prediction(spark, d):
     from flowlens.operators import models
 
-    indexed = indexing.index_users_items(fx.ratings(spark, d)).cache()
+    indexed = indexing.index_users_items(stored(fx.ratings(spark, d), "ratings")).cache()
     model = models.als_fit(indexed)
     return model.transform(indexed).select("ip", "host", "count", "prediction")
 

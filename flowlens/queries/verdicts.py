@@ -1,6 +1,5 @@
 """Clustering, labelling and scoring operators, models and similarities."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from flowlens.operators import aggregates as agg
@@ -11,6 +10,7 @@ from flowlens.plans import jobs
 from flowlens.queries.parts import SEVEN, part
 from flowlens.queries.registry import query
 from flowlens.queries.relational import split_flows, _two_models
+from flowlens.session import stored
 from flowlens.sources import fixtures as fx
 
 # -- clustering --------------------------------------------------------------------------------------------------------
@@ -137,14 +137,11 @@ def two_level_clustering(spark, d):
 
 
 @query("host_sparse_vectors", """
-SELECT ip, (SELECT count(DISTINCT host) FROM ratings) AS length, count(*) AS filled,
-       round(max("count") / (SELECT max("count") FROM ratings), 6) AS largest FROM ratings GROUP BY ip""", "ratings")
+SELECT ip, host, round("count" / (SELECT max("count") FROM ratings), 6) AS v, count(*) OVER (PARTITION BY ip) AS filled,
+       (SELECT count(DISTINCT host) FROM ratings) AS length FROM ratings""", "ratings")
 def host_sparse_vectors(spark, d):
-    scaled = scale_zero_max(fx.ratings(spark, d), "count", "scaled")
-    vectors, size = indexing.host_vectors(scaled, "scaled")
-    dense = vector_to_array("vector")
-    filled = F.size(F.filter(dense, lambda x: x != 0))
-    return vectors.select("ip", F.lit(size).alias("length"), filled.alias("filled"), F.round(F.array_max(dense), 6).alias("largest"))
+    cells = indexing.host_cells(scale_zero_max(fx.ratings(spark, d), "count", "scaled"), "scaled")
+    return cells.withColumn("v", F.round("v", 6))
 
 
 # -- port and flow verdicts --------------------------------------------------------------------------------------------
@@ -224,7 +221,7 @@ def url_predict(spark, d):
 
 
 def _indexed(spark, d):
-    return indexing.index_users_items(fx.ratings(spark, d)).cache()
+    return indexing.index_users_items(stored(fx.ratings(spark, d), "ratings")).cache()
 
 
 @query("als_implicit")
@@ -268,7 +265,7 @@ def topk_recommend(spark, d):
 
 @query("index_users_items")
 def index_users_items(spark, d):
-    return indexing.index_users_items(fx.ratings(spark, d))
+    return indexing.index_users_items(stored(fx.ratings(spark, d), "ratings"))
 
 
 # -- similarity and rules ----------------------------------------------------------------------------------------------

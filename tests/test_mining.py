@@ -221,3 +221,53 @@ def test_two_level_portrait(spark, sf_dir):
     assert first and second and all(r.label in {"0", "1", "2"} for r in out)
     assert {(r.ip, r.parent) for r in second} <= {(r.ip, r.label) for r in first}
     assert all(r.members > 2 for r in first)
+
+
+def test_sparse_kmeans_equals_plain_rounds(spark):
+    """Labels, distances and centers of the long form against the same rounds on dense rows."""
+    from flowlens.operators.sparse import sparse_kmeans
+
+    rnd = random.Random(12)
+    rows = {f"m{i:02d}": {f"h{rnd.randrange(5) + 6 * (i % 3)}": rnd.random() + 1 for _ in range(4)} for i in range(24)}
+    keys = sorted({h for r in rows.values() for h in r})
+    dense = {m: [r.get(h, 0.0) for h in keys] for m, r in rows.items()}
+    gap = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    centers = [dense["m00"]]
+    while len(centers) < 3:
+        centers.append(dense[max(dense, key=lambda m: (min(gap(dense[m], c) for c in centers), m))])
+    before = None
+    for _ in range(20):
+        label = {m: min(range(3), key=lambda i: (gap(v, centers[i]), i)) for m, v in dense.items()}
+        cost = sum(gap(dense[m], centers[i]) for m, i in label.items())
+        if before is not None and before - cost <= 1e-6 * before:
+            break
+        before = cost
+        centers = [[sum(dense[m][j] for m in dense if label[m] == i) / max(1, sum(x == i for x in label.values())) for j in range(len(keys))] for i in range(3)]
+    entries = spark.createDataFrame([(m, h, v) for m, r in rows.items() for h, v in r.items()], "m string, h string, v double")
+    got = {r.m: r for r in sparse_kmeans(entries, "m", "h", "v", 3).collect()}
+    assert {m: r.label for m, r in got.items()} == label
+    assert all(got[m].distance == pytest.approx(gap(dense[m], centers[label[m]]) ** 0.5, abs=1e-6) for m in dense)
+    assert sparse_kmeans(entries.limit(0), "m", "h", "v", 3).count() == 0
+
+
+def test_closed_sets_hold_every_frequent_set(spark, sf_dir):
+    visits = jobs.visits(fx.moniflow(spark, "/root/testdata/sf0.01")).where("ip = '10.1.0.5'")
+    masks = itemsets.basket_masks(visits).cache()
+    closed = itemsets.closed_sets(masks)
+    members = {}
+    for r in itemsets.set_members(closed, masks).collect():
+        members.setdefault(r.mask, set()).add(r.host)
+    sets = itemsets.frequent_itemsets(visits, max_size=3).collect()
+    own = {r.host: r.mask for r in masks.collect()}
+    assert sets
+    for s in sets:
+        mask = own[s["items"][0]]
+        for host in s["items"]:
+            mask &= own[host]
+        assert bin(mask).count("1") == s.freq and set(s["items"]) <= members[mask]
+    rules = {(r.rule, r.recommend): r.confidence for r in itemsets.closed_rules(closed, masks).collect()}
+    for r in itemsets.association_rules(spark.createDataFrame(sets)).collect():
+        mask = -1
+        for host in r.rule.split("#"):
+            mask &= own[host]
+        assert rules[(mask, r.recommend)] == pytest.approx(r.confidence)

@@ -43,7 +43,7 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, monkeypatch):
             spark.conf.set(k, v)
         dim = skewed.groupBy("k").agg(F.max("v").alias("top"))
         assert largest_share(skewed.join(dim, "k")) > 0.6
-        assert largest_share(skew.salted_lookup(skewed, dim, ["k"], "id")) < 0.25
+        assert largest_share(skew.salted_lookup(skewed, dim, ["k"], "id")) < 0.3
         assert largest_share(skew.with_group_stats(skewed, ["k"], "id", n=F.count(F.lit(1)))) < 0.25
         pairs = skew.group_pairs(skewed.select("k", "id", "v").dropna(), "k", "id", "v", max_block=64)
         assert largest_share(pairs) < 0.25
@@ -52,6 +52,45 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, monkeypatch):
             spark.conf.set(k, v)
 
 
+def test_only_hot_keys_are_copied(spark, monkeypatch):
+    """200 tasks, 60 % of the rows on one key: no task gets more than 2 %, and only the hot key's row is copied."""
+    rows = spark.range(20_000).selectExpr("id", "CASE WHEN id % 5 < 3 THEN 'hot' ELSE concat('k', id % 997) END AS k")
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "200"}
+    before = {k: spark.conf.get(k) for k in changed}
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        dim = rows.groupBy("k").agg(F.max("id").alias("top"))
+        joined = skew.salted_lookup(rows, dim, ["k"], "id")
+        assert joined.count() == 20_000 and largest_share(joined) <= 0.02
+        hot = skew.hot_keys(rows, ["k"])
+        assert [(r["__h_k"], r["__salts"]) for r in hot.collect()] == [("hot", 120)]
+        copies = skew.with_salts(dim, hot, ["k"]).agg(F.sum("__salts")).first()[0]
+        assert copies == dim.count() - 1 + 120
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_adaptive_execution_splits_the_hot_key(spark):
+    """The same with the counting left to Spark: its split of the hot partition applies to an aggregate on the key, too."""
+    rows = spark.range(200_000).selectExpr("id", "CASE WHEN id % 5 < 3 THEN 'hot' ELSE concat('k', id % 997) END AS k").repartition(20)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        dim = rows.groupBy("k").agg(F.max("id").alias("top"))
+        assert skew.splits_skewed_joins(spark)
+        joined = skew.salted_lookup(rows, dim, ["k"], "id").withColumn("p", F.spark_partition_id()).groupBy("p").count()
+        assert joined.agg(F.max("count") / F.sum("count")).first()[0] < 0.1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_salted_lookup_equals_join(spark, skewed, how):
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, x int")
