@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.joins import with_baseline
+from flowlens.session import cut_lineage
 
 KB = 1024
 
@@ -35,17 +36,37 @@ def day_baseline(flows: DataFrame) -> DataFrame:
     )
 
 
+def fine_moments(**values: Column) -> list[Column]:
+    """Count, mean and squared deviations of every value, from which coarser levels are merged."""
+    out = []
+    for name, v in values.items():
+        out += [F.count(v).alias(f"{name}_n"), F.avg(v).alias(f"{name}_mean"), (F.var_pop(v) * F.count(v)).alias(f"{name}_dev")]
+    return out
+
+
+def merged_mean(name: str) -> Column:
+    return F.sum(F.col(f"{name}_mean") * F.col(f"{name}_n")) / F.sum(f"{name}_n")
+
+
+def merged_deviation(name: str) -> Column:
+    """Sample deviation over the merged rows; null below two of them."""
+    n, mean = F.sum(f"{name}_n"), merged_mean(name)
+    between = F.sum(F.col(f"{name}_mean") * F.col(f"{name}_mean") * F.col(f"{name}_n")) - n * mean * mean
+    return F.when(n > 1, F.sqrt(F.greatest(F.sum(f"{name}_dev") + between, F.lit(0.0)) / (n - 1)))
+
+
 def week_baseline(flows: DataFrame) -> DataFrame:
-    """Upper bounds mean + 3 sample deviations per (ip, hour) and (ip, proto, hour); a single row takes 3 global means."""
-    pk, by = F.col("packernum").cast("double"), F.col("bytesize").cast("double") / KB
-    overall = flows.agg(F.struct(F.avg(pk).alias("pk"), F.avg(by).alias("by"))).scalar()
-    levels = (
-        flows.select(F.col("srcip").alias("name"), "proto", "hour", pk.alias("pk"), by.alias("by"))
-        .groupingSets([["name", "proto", "hour"], ["name", "hour"]], "name", "proto", "hour")
-        .agg(
-            (F.avg("pk") + 3 * F.stddev_samp("pk")).alias("up_pk"), (F.avg("by") + 3 * F.stddev_samp("by")).alias("up_by"),
-            F.grouping_id().alias("__g"),
-        )
+    """Upper bounds mean + 3 sample deviations per (ip, hour) and (ip, proto, hour); a single row takes 3 global means.
+
+    The flows are read once, for the fine level; the coarse level and the global means are merged from its rows.
+    """
+    fine = flows.groupBy(F.col("srcip").alias("name"), "proto", "hour").agg(
+        *fine_moments(pk=F.col("packernum").cast("double"), by=F.col("bytesize").cast("double") / KB))
+    fine = cut_lineage(fine)
+    overall = fine.agg(F.struct(merged_mean("pk").alias("pk"), merged_mean("by").alias("by"))).scalar()
+    levels = fine.groupingSets([["name", "proto", "hour"], ["name", "hour"]], "name", "proto", "hour").agg(
+        (merged_mean("pk") + 3 * merged_deviation("pk")).alias("up_pk"), (merged_mean("by") + 3 * merged_deviation("by")).alias("up_by"),
+        F.grouping_id().alias("__g"),
     )
     return levels.select(
         "name", F.when(F.col("__g") == 0, F.col("proto")).otherwise("").alias("proto"), "hour",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.flows import hour_label, truncated
-from flowlens.operators.baselines import KB, _level
+from flowlens.operators.baselines import KB, _level, fine_moments, merged_deviation, merged_mean
 from flowlens.operators.skew import salted_lookup
 from flowlens.session import cut_lineage
 
@@ -110,14 +110,13 @@ def _only_open(levels: DataFrame, fine: DataFrame) -> DataFrame:
 
 def port_baseline_3sigma(classified: DataFrame) -> DataFrame:
     """Lower and upper bounds (mean -/+ 3 sample deviations) over open ports per asset and hour; single rows drop out."""
-    open_rows = classified.where(F.col("abport") == OPEN).select(
-        "name", "port", "proto", hour_label(F.col("recordtime")).alias("hour"),
-        F.col("packernum").cast("double").alias("pk"), F.col("bytesize").cast("double").alias("by"),
-    )
+    # the flows are grouped once, at the finest level; the other three are merged from its rows
+    fine = classified.where(F.col("abport") == OPEN).groupBy("name", "port", "proto", hour_label(F.col("recordtime")).alias("hour")).agg(
+        *fine_moments(pk=F.col("packernum").cast("double"), by=F.col("bytesize").cast("double")))
     sets = [["name", "hour"], ["name", "port", "hour"], ["name", "proto", "hour"], ["name", "port", "proto", "hour"]]
-    levels = open_rows.groupingSets(sets, "name", "port", "proto", "hour").agg(
-        F.avg("pk").alias("pk"), F.stddev_samp("pk").alias("pk_std"), F.avg("by").alias("by"),
-        F.stddev_samp("by").alias("by_std"), F.grouping_id().alias("__g"),
+    levels = fine.groupingSets(sets, "name", "port", "proto", "hour").agg(
+        merged_mean("pk").alias("pk"), merged_deviation("pk").alias("pk_std"), merged_mean("by").alias("by"),
+        merged_deviation("by").alias("by_std"), F.grouping_id().alias("__g"),
     )
 
     def bound(mean: str, std: str, sign: int) -> Column:

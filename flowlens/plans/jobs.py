@@ -200,7 +200,7 @@ def flow_outliers(flows: DataFrame, k: int | None = None) -> DataFrame:
     triples = [["costtime", "packernum", "bytesize"], ["flownuma", "flownums", "flownumd"]]
     with ThreadPool(2) as pool:  # the two models do not depend on each other
         fitted = pool.map(lambda features: clustering.triple_model(sessions, features, key, k), triples)
-    first = clustering.triple_scores(sessions, triples[0], fitted[0], "1")
+    first = stored(clustering.triple_scores(sessions, triples[0], fitted[0], "1"), "scored-once")
     both = clustering.triple_scores(first, triples[1], fitted[1], "2")
     total = (F.col("unusual1") + F.col("unusual2")).alias("unusuals")
     return both.select("*", total).orderBy(F.desc("unusuals"))
