@@ -290,6 +290,46 @@ def user_cosine_similarity(spark, d):
 
 part("hour_visits", "SELECT DISTINCT ip, hour, host FROM visits", "visits")
 part("hours", "SELECT ip, CAST(ceil(count(DISTINCT hour) * 0.5::DOUBLE) AS BIGINT) AS need FROM hour_visits GROUP BY ip", "hour_visits")
+part("sets1", """
+SELECT v.ip, host, count(*) AS freq, any_value(need) AS need FROM hour_visits v JOIN hours h ON h.ip = v.ip
+GROUP BY v.ip, host HAVING count(*) >= any_value(need)""", "hour_visits", "hours")
+part("kept_visits", "SELECT v.*, s.need FROM hour_visits v JOIN sets1 s ON s.ip = v.ip AND s.host = v.host", "hour_visits", "sets1")
+part("sets2", """
+SELECT a.ip, a.host AS x, b.host AS y, count(*) AS freq FROM kept_visits a JOIN kept_visits b ON a.ip = b.ip AND a.hour = b.hour AND a.host < b.host
+GROUP BY a.ip, a.host, b.host HAVING count(*) >= any_value(a.need)""", "kept_visits")
+part("sets3", """
+SELECT a.ip, a.host AS x, b.host AS y, c.host AS z, count(*) AS freq FROM kept_visits a
+JOIN sets2 s ON s.ip = a.ip AND s.x = a.host
+JOIN kept_visits b ON a.ip = b.ip AND a.hour = b.hour AND b.host = s.y
+JOIN sets2 t ON t.ip = b.ip AND t.x = b.host
+JOIN kept_visits c ON a.ip = c.ip AND a.hour = c.hour AND c.host = t.y
+GROUP BY a.ip, a.host, b.host, c.host HAVING count(*) >= any_value(a.need)""", "kept_visits", "sets2")
+part("itemsets", """
+SELECT ip, [host] AS items, 1 AS size, freq FROM sets1 UNION ALL SELECT ip, [x, y], 2, freq FROM sets2
+UNION ALL SELECT ip, [x, y, z], 3, freq FROM sets3""", "sets1", "sets2", "sets3")
+
+
+@query("frequent_itemsets", "SELECT ip, array_to_string(items, '#') AS items, size, freq FROM itemsets", "itemsets")
+def frequent_itemsets(spark, d):
+    """Report of the frequent sets of up to three hosts, spelled out; ``closed_itemsets`` has sets of any size."""
+    out = itemsets.frequent_itemsets(jobs.visits(fx.moniflow(spark, d)), max_size=3)
+    return out.withColumn("items", F.array_join("items", "#"))
+
+
+SMALL_RULES = """
+SELECT s.ip, array_to_string(b.items, '#') AS rule, r.c AS recommend, b.freq AS support, round(CAST(s.freq AS DOUBLE) / b.freq, 6) AS confidence
+FROM itemsets s, LATERAL (SELECT unnest(s.items) AS c) r
+JOIN itemsets b ON b.ip = s.ip AND b.items = list_filter(s.items, lambda x: x <> r.c)
+WHERE s.size > 1 AND CAST(s.freq AS DOUBLE) / b.freq >= 0.6"""
+
+
+@query("association_rules", SMALL_RULES, "itemsets")
+def association_rules(spark, d):
+    """Rules within sets of up to three hosts; ``closed_rules`` has rules of any size."""
+    sets = itemsets.frequent_itemsets(jobs.visits(fx.moniflow(spark, d)), max_size=3)
+    return itemsets.association_rules(sets).withColumn("confidence", F.round("confidence", 6))
+
+
 part("masks", """
 SELECT v.ip, v.host, v.mask, h.need FROM (SELECT ip, host, bit_or(1 << CAST(hour AS INT)) AS mask FROM hour_visits GROUP BY ip, host) v
 JOIN hours h ON h.ip = v.ip WHERE bit_count(v.mask) >= h.need""", "hour_visits", "hours")
@@ -300,8 +340,8 @@ part("closed", "WITH RECURSIVE" + CLOSED + " SELECT * FROM closed", "masks")
 part("set_hosts", "SELECT c.ip, c.mask, m.host, m.mask AS own FROM closed c JOIN masks m ON m.ip = c.ip AND m.mask & c.mask = c.mask", "closed", "masks")
 
 
-@query("frequent_itemsets", "SELECT ip, mask, bit_count(mask) AS freq, host FROM set_hosts", "set_hosts")
-def frequent_itemsets(spark, d):
+@query("closed_itemsets", "SELECT ip, mask, bit_count(mask) AS freq, host FROM set_hosts", "set_hosts")
+def closed_itemsets(spark, d):
     """Closed frequent sets of any size, one row per set and host."""
     masks = itemsets.basket_masks(jobs.visits(fx.moniflow(spark, d)))
     return itemsets.set_members(itemsets.closed_sets(masks), masks).drop("own")
@@ -316,8 +356,8 @@ SELECT s.ip, s.mask, s.host, bit_count(s.mask), 1.0 FROM set_hosts s
 WHERE (SELECT bit_and(o.own) FROM set_hosts o WHERE o.ip = s.ip AND o.mask = s.mask AND o.host <> s.host) = s.mask"""
 
 
-@query("association_rules", RULES, ("closed", "masks", "set_hosts"))
-def association_rules(spark, d):
+@query("closed_rules", RULES, ("closed", "masks", "set_hosts"))
+def closed_rules(spark, d):
     masks = itemsets.basket_masks(jobs.visits(fx.moniflow(spark, d)))
     return itemsets.closed_rules(itemsets.closed_sets(masks), masks).withColumn("confidence", F.round("confidence", 6))
 
