@@ -66,8 +66,10 @@ def vector_centers(points: DataFrame, vector: str = "v", label: str = "label") -
 def elbow_k(vectors: DataFrame, vector: str = "vector", largest: int = 20, seed: int = SEED) -> int:
     """First k from 2 upward whose successor raises the cost; 2 when the cost falls all the way.
 
-    A few values of k are fitted side by side, because one fit on cached rows leaves most of a cluster idle.
+    A few values of k are fitted side by side, because one fit on cached rows leaves most of a cluster idle. No k above the
+    number of rows less one is tried.
     """
+    largest = max(2, min(largest, vectors.limit(largest + 1).count() - 1))
 
     def cost(k: int) -> float:
         model = KMeans(k=k, featuresCol=vector, predictionCol="label", seed=seed, maxIter=10).fit(vectors)

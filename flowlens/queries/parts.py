@@ -15,6 +15,11 @@ def port(n: str) -> str:
     return f"CASE WHEN {n} % 12 = 0 THEN 80 WHEN {n} % 12 = 1 THEN 443 ELSE 1016 + {n} % 12 END"
 
 
+def address(key: str) -> str:
+    a = f"(CASE WHEN {key} % 3 = 0 THEN {key} % 8 ELSE {key} END)"
+    return f"concat('10.', {a} % 4, '.', ({a} // 256) % 256, '.', {a} % 256)"
+
+
 INNER = "'10.0.0', '10.1.0'"
 WIDE_INNER = ", ".join(f"'10.{a}.{b}'" for a in (0, 1) for b in range(4))
 PRICE = "CAST(floor(l_extendedprice) AS BIGINT)"
@@ -28,8 +33,7 @@ HOT = ", ".join(f"CASE WHEN upper(proto) = '{p}' THEN 1 ELSE 0 END AS {p.lower()
 
 part("flows0", f"""
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS "row",
-       concat('10.', (l_suppkey % 8) % 4, '.0.', l_suppkey % 8) AS srcip,
-       concat('10.', (l_partkey % 8) % 4, '.0.', l_partkey % 8) AS dstip,
+       {address('l_suppkey')} AS srcip, {address('l_partkey')} AS dstip,
        {port('l_orderkey')} AS srcport, {port(PRICE)} AS dstport, {PROTO} AS proto,
        CAST(l_quantity AS INT) AS packernum, {PRICE} AS bytesize, {COST} AS costtime, {TIME} AS recordtime,
        l_linenumber AS hour, CAST(l_linenumber % 5 AS DOUBLE) AS prediction
@@ -93,11 +97,11 @@ SELECT "row" AS "ROW", srcip AS "SRCIP", dstip AS "DSTIP",
        strftime(recordtime, '%Y-%m-%d %H:%M:%S') AS "RECORDTIME"
 FROM flows""", "flows")
 
-part("register", """
-SELECT concat('10.', (s_suppkey % 8) % 4, '.0.', s_suppkey % 8) AS ip,
+part("register", f"""
+SELECT {address('s_suppkey')} AS ip,
        CASE WHEN s_suppkey % 8 IN (0, 1) THEN 1 ELSE 2 END AS status FROM supplier""")
-part("found", """
-SELECT concat('10.', (c_custkey % 8) % 4, '.0.', c_custkey % 8) AS ip,
+part("found", f"""
+SELECT {address('c_custkey')} AS ip,
        CASE WHEN c_custkey % 8 = 2 THEN 0 ELSE 1 END AS flg FROM customer""")
 part("known", "SELECT ip FROM register WHERE status <> 2 UNION SELECT ip FROM found WHERE flg <> 1", "register", "found")
 

@@ -23,6 +23,13 @@ def _ip(number: Column, third: str = "0") -> Column:
     return F.concat(F.lit("10."), (number % 4).cast("string"), F.lit(f".{third}."), number.cast("string"))
 
 
+def _address(key: Column) -> Column:
+    """Address of a key: as many addresses as keys, but a third of the keys shares eight of them."""
+    a = F.when(key % 3 == 0, key % 8).otherwise(key)
+    text = lambda c: c.cast("string")
+    return F.concat(F.lit("10."), text(a % 4), F.lit("."), text(F.floor(a / 256) % 256), F.lit("."), text(a % 256))
+
+
 def _port(number: Column) -> Column:
     p = (number % 12).cast("int")
     return F.when(p == 0, 80).when(p == 1, 443).otherwise(1016 + p)
@@ -40,8 +47,8 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.floor("l_extendedprice").cast("bigint")
     base = li.select(
         F.concat_ws("-", *key).alias("row"),
-        _ip(F.col("l_suppkey") % 8).alias("srcip"),
-        _ip(F.col("l_partkey") % 8).alias("dstip"),
+        _address(F.col("l_suppkey")).alias("srcip"),
+        _address(F.col("l_partkey")).alias("dstip"),
         _port(F.col("l_orderkey")).alias("srcport"),
         _port(price).alias("dstport"),
         _proto(F.col("l_quantity")).alias("proto"),
@@ -181,14 +188,14 @@ def asset_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered devices: one per supplier; those ending in 0 or 1 are in service (status 1)."""
     k = F.col("s_suppkey") % 8
     s = table(spark, sf_dir, "supplier")
-    return s.select(_ip(k).alias("ip"), F.when(k.isin(0, 1), 1).otherwise(2).alias("status"))
+    return s.select(_address(F.col("s_suppkey")).alias("ip"), F.when(k.isin(0, 1), 1).otherwise(2).alias("status"))
 
 
 def assets_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices found before: one per customer; those ending in 2 are still open (flag 0)."""
     k = F.col("c_custkey") % 8
     c = table(spark, sf_dir, "customer")
-    return c.select(_ip(k).alias("ip"), F.when(k == 2, 0).otherwise(1).alias("flg"))
+    return c.select(_address(F.col("c_custkey")).alias("ip"), F.when(k == 2, 0).otherwise(1).alias("flg"))
 
 
 def labelled_flows(spark: SparkSession, sf_dir: str, which: Column | None = None) -> DataFrame:
