@@ -16,7 +16,7 @@ def port(n: str) -> str:
 
 
 def address(key: str) -> str:
-    a = f"(CASE WHEN {key} % 3 = 0 THEN {key} % 8 ELSE {key} END)"
+    a = f"(CASE {key} % 3 WHEN 0 THEN {key} % 4 WHEN 1 THEN {key} % 8 ELSE {key} END)"
     return f"concat('10.', {a} % 4, '.', ({a} // 256) % 256, '.', {a} % 256)"
 
 

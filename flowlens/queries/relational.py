@@ -89,7 +89,7 @@ _NEW = """
 SELECT {ip} AS ip, '{side}' AS side, strftime(recordtime, '%Y-%m-%d %H:%M:%S') AS storagetime, 1 AS isnew, 0 AS flg, max(proto) AS protocol,
        max({port}) AS port, max(packernum) AS packagenum
 FROM (SELECT *, rank() OVER (PARTITION BY {ip} ORDER BY recordtime DESC) AS r FROM flows
-      WHERE split_part({ip}, '.', 2) IN ('0', '1') AND {cond} AND {ip} NOT IN (SELECT ip FROM known)) WHERE r = 1 GROUP BY {ip}, recordtime"""
+      WHERE (split_part({ip}, '.', 2) = '0' OR (split_part({ip}, '.', 2) = '1' AND split_part({ip}, '.', 3) = '0')) AND {cond} AND {ip} NOT IN (SELECT ip FROM known)) WHERE r = 1 GROUP BY {ip}, recordtime"""
 NEW_ASSETS = _NEW.format(ip="srcip", side="src", port="srcport", cond="proto <> 'ICMP'") + "\nUNION ALL" + _NEW.format(
     ip="dstip", side="dst", port="dstport", cond="proto = 'TCP' AND packernum > 2"
 )

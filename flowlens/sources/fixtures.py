@@ -24,8 +24,8 @@ def _ip(number: Column, third: str = "0") -> Column:
 
 
 def _address(key: Column) -> Column:
-    """Address of a key: as many addresses as keys, but a third of the keys shares eight of them."""
-    a = F.when(key % 3 == 0, key % 8).otherwise(key)
+    """Address of a key: the addresses grow with the keys, but two thirds of the keys share eight, half of these four."""
+    a = F.when(key % 3 == 0, key % 4).when(key % 3 == 1, key % 8).otherwise(key)
     text = lambda c: c.cast("string")
     return F.concat(F.lit("10."), text(a % 4), F.lit("."), text(F.floor(a / 256) % 256), F.lit("."), text(a % 256))
 
