@@ -32,8 +32,7 @@ LEAST_PRECISION, LEAST_COVERED = 0.95, 8
 THRESHOLDS = 64
 SPACE = " \t\n\x0b\x0c\r"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-STATISTICS = ("n_words", "word_length", "symbols_per_word", "dup_line_share", "repeat_share", "words_per_line", "digit_share",
-              "upper_share")
+STATISTICS = ("n_words", "word_length", "symbols_per_word", "dup_line_share", "repeat_share", "words_per_line", "digit_share")
 
 
 def _let(value: Column, use) -> Column:
@@ -41,8 +40,10 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _count_of(text: Column, letters: str) -> Column:
+    """Characters of a class; most texts have none, which one search finds out."""
+    found = F.length(text) - F.length(F.regexp_replace(text, f"[{letters}]+", ""))
+    return F.when(F.rlike(text, F.lit(f"[{letters}]")), found).otherwise(0).cast("long")
 
 
 def _covered(windows: Column, width: int) -> Column:
@@ -75,16 +76,16 @@ def base_statistics(docs: DataFrame, *carried: Column) -> DataFrame:
 
     The numbers come out of a generator, so filters on them are not evaluated a second time below it.
     """
-    words = F.split(F.btrim(F.col("__text"), F.lit(SPACE)), r"[\x20\x09-\x0D]+")
-    of_words = _let(F.filter(words, lambda w: w != ""), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), _repeat_words(w).alias("n_repeat_words")))
+    trimmed = F.btrim(F.col("__text"), F.lit(SPACE))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+    of_words = _let(words, lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        _repeat_words(w).alias("n_repeat_words")))
     of_lines = _let(F.filter(F.split("__text", "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))), lambda x: F.struct(
         F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     text = F.col("__text")
-    numbers = F.struct(
-        of_words.alias("__w"), of_lines.alias("__l"), F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
-        _count_of(text, "#*$%&|<>").cast("long").alias("n_symbols"), _count_of(text, "0123456789").alias("digits"),
-        _count_of(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("uppers"))
+    numbers = F.struct(of_words.alias("__w"), of_lines.alias("__l"), _count_of(text, "#*$%&|<>").alias("n_symbols"),
+                       _count_of(text, "0-9").alias("digits"))
     kept = docs.select(*(carried or [F.col("doc_id")]), text_of().alias("__text"))
     return kept.select(*kept.drop("__text").columns, F.inline(F.array(numbers))).select("*", "__w.*", "__l.*").drop("__w", "__l")
 
@@ -100,7 +101,7 @@ def statistics() -> dict[str, Column]:
         "n_words": F.col("n_words").cast("double"), "word_length": per("word_chars", "n_words"),
         "symbols_per_word": per("n_symbols", "n_words"), "dup_line_share": per("n_dup_lines", "n_lines"),
         "repeat_share": per("n_repeat_words", "n_words"), "words_per_line": per("n_words", "n_lines"),
-        "digit_share": per("digits", "word_chars"), "upper_share": per("uppers", "word_chars"),
+        "digit_share": per("digits", "word_chars"),
     }
 
 
