@@ -6,9 +6,11 @@ import posixpath
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.session import stored
+
 #: Rows of one Arrow batch sent to a Python worker: texts may be long, so few of them are in memory at once.
 BATCH_ROWS = 512
 #: Texts are handled in slices of at most this many characters (a longer text is a slice of its own).
@@ -46,6 +48,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         yield batch.slice(start), texts[start:]
 
 
+def stored_with(df: DataFrame, name: str, **numbers: Column) -> tuple[DataFrame, dict]:
+    """``stored`` rows, and aggregates of them that are taken while they are written; ``rows`` is always their number."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in numbers.items()]), name)
+    return out, seen.get
+
+
 def filesystem(uri: str):
     """pyarrow file system and path of a URI or plain path, for use inside tasks."""
     from pyarrow import fs

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import slices, small_batches, text_of
+from flowlens.llm.common import slices, small_batches, stored_with, text_of
 from flowlens.session import stored
 
 SHINGLE, LEAST = 5, 0.8
@@ -173,8 +173,7 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(lowest, "a")
         small = joined.select("b", "m").union(joined.select("a", "m")).where("b <> m").distinct().toDF("a", "b")
-        tied = stored(small, "edges")
-        state = tied.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        tied, state = stored_with(small, "edges", sum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         if state == before:
             break
         before = state
@@ -212,7 +211,8 @@ def _classes(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_cells").alias("n_cells"), F.first("keys").alias("keys"))
     nodes = stored(nodes, "nodes")
     exploded = nodes.select("node", "n_cells", F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # stored, so that both sides of the join are plain shuffles, which Spark splits where a key is hot
+    shared = stored(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared-keys")
     buckets = stored(exploded.join(shared, "key", "left_semi"), "buckets")
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("__id"))
     texts = rows.join(wanted, (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["__id"])).select(rows["doc_id"], rows["node"], "text")
@@ -223,12 +223,12 @@ def _classes(docs: DataFrame) -> DataFrame:
     links = stored(_verified(tested, sets), "links")
     while True:
         label = components(links)
-        fresh = stored(_pairs(buckets, label).select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
+        fresh, numbers = stored_with(_pairs(buckets, label).select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not numbers["rows"]:
             break
         tested = tested.unionByName(fresh)
-        found = stored(_verified(fresh, sets), "links")
-        if found.isEmpty():
+        found, numbers = stored_with(_verified(fresh, sets), "links")
+        if not numbers["rows"]:
             break
         links = links.unionByName(found)
 
