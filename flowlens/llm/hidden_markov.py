@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -223,29 +224,28 @@ def score(docs: DataFrame, states: int = STATES, buckets: int = BUCKETS, rounds:
     in_blocks = every.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def words_of(batches):
-        seen: set[tuple[int, bytes]] = set()
+        seen: dict[int, set[bytes]] = {}
 
         def rows():
-            at, words = zip(*seen)
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(words, pa.binary())], ["block", "word"])
+            for block, words in seen.items():
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(words), pa.int32()), pa.array(list(words), pa.binary())], ["block", "word"])
+            seen.clear()
 
         for part, texts in slices(batches):
             for block, text in zip(part.column(3).to_pylist(), texts):
-                seen.update((block, w) for w in set(tokens(text)))
-            if len(seen) > MOST_GATHERED:
-                yield rows()
-                seen.clear()
-        if seen:
-            yield rows()
+                seen.setdefault(block, set()).update(tokens(text))
+            if sum(map(len, seen.values())) > MOST_GATHERED:
+                yield from rows()
+        yield from rows()
 
     known = in_blocks.mapInArrow(words_of, "block int, word binary").join(counts, "word").select("block", "word", "c")
 
     def judge(part: pa.Table, table: pa.Table) -> pa.Table:
         c_of = dict(zip(table.column("word").to_pylist(), table.column("c").to_pylist()))
-        get, flat, lengths, base, words_part, n_known = lambda w: c_of.get(w, 0), [], [], [], [], []
+        flat, lengths, base, words_part, n_known = [], [], [], [], []
         for text in part.column("text").to_pylist():
             words = tokens(text)
-            c = np.append(np.fromiter(map(get, words), "i8", len(words)), n_docs)
+            c = np.append(np.fromiter(map(c_of.get, words, repeat(0)), "i8", len(words)), n_docs)
             at = symbols(words, buckets)
             logs = np.log10(c + 0.5)
             flat.append(at)
