@@ -11,8 +11,11 @@ positions sampled at both ends of every run. With the match length measured at t
 all positions stream off: between samples the neighbour in suffix order moves along with the position, so the length falls by
 one a byte. Where the longer match of the two neighbours reaches LEAST, the string is repeated.
 
-An anchor group of more than GROUP_SLICES different slices is not gathered: its strings are counted by 128-bit hash instead,
-one row per string, added up before the shuffle, so no group of any size meets in one task and none is cut.
+An anchor group of more than GROUP_SLICES different slices is not gathered but refined: each slice is cut into ranges of its
+starts, first of 256 by place before the anchor, then halves of those, down to one. The strings of a range have more than the
+anchor in common, its core, so the group falls apart by core; ranges whose core is alone are done, equal ranges are one row,
+groups that are small by now are indexed, the others are refined again. Whatever the size of a group, it never meets in one
+task, none is cut, and a slice keeps a row or two a level.
 
 Defined results: null counts as empty; texts shorter than LEAST bytes keep every byte; rows equal in ``doc_id`` and text are
 documents of their own and repeat each other; an empty table gives no rows; other columns are ignored.
@@ -34,10 +37,12 @@ from flowlens.session import stored
 LEAST, GRAM = 400, 128
 #: Starts handled at a time; slices end with a block.
 BLOCK = 1 << 16
-INDEX_BYTES, GROUP_SLICES = 1 << 20, 512
+INDEX_BYTES, GROUP_SLICES = 1 << 19, 512
+#: Suffix pairs compared at a time.
+PAIRS = 1 << 14
 
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5)
-_BYTES = np.random.default_rng(400).integers(0, 1 << 64, (3, 256), "u8")
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BYTES = np.random.default_rng(400).integers(0, 1 << 64, (2, 256), "u8")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -66,7 +71,7 @@ _ROLLING: list[Rolling] = []
 
 def _rolling() -> list[Rolling]:
     if not _ROLLING:
-        _ROLLING.extend(Rolling(i, BLOCK + LEAST) for i in range(3))
+        _ROLLING.extend(Rolling(i, BLOCK + LEAST) for i in range(2))
     return _ROLLING
 
 
@@ -79,11 +84,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored_slices(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Slices of a run of bytes: anchor hash, slice hash, first start, number of starts.
+    """Slices of a run of bytes: anchor hash, slice hash, first start, number of starts, place of the anchor in the slice.
 
     ``starts`` tells the positions at which a string may start (those whose string lies in one document).
     """
-    grams, contents, _ = _rolling()
+    grams, contents = _rolling()
     low = np.uint64((1 << 17) - 1)
     with np.errstate(over="ignore"):
         for at in range(0, len(data) - LEAST + 1, BLOCK):
@@ -99,8 +104,9 @@ def anchored_slices(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.n
             edge = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (allowed[1:] != allowed[:-1])])
             size = np.diff(np.r_[edge, n])
             edge, size = edge[allowed[edge]], size[allowed[edge]]
+            place = anchor[edge] - edge
             content = contents.of(contents.prefixes(part), edge, edge + size + LEAST - 1)
-            yield gram[anchor[edge]].view("i8"), _mix(content + size.astype("u8")).view("i8"), edge + at, size
+            yield gram[anchor[edge]].view("i8"), _mix(content + size.astype("u8")).view("i8"), edge + at, size, place
 
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -138,18 +144,19 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _common(text: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and b, up to the end of either slice."""
-    most = np.minimum(left[a], left[b])
-    length = np.zeros(len(a), "i8")
-    going = np.flatnonzero(most > 0)
+    """Length of the common prefix of the suffixes at a and b, up to the end of either slice; some pairs at a time."""
     step = np.arange(32)
     padded = np.r_[text, np.zeros(len(step), text.dtype)]
-    while len(going):
-        i, j = a[going] + length[going], b[going] + length[going]
-        differ = padded[i[:, None] + step] != padded[j[:, None] + step]
-        same = np.where(differ.any(1), differ.argmax(1), len(step))
-        length[going] = np.minimum(length[going] + same, most[going])
-        going = going[(same == len(step)) & (length[going] < most[going])]
+    length = np.zeros(len(a), "i8")
+    most = np.minimum(left[a], left[b])
+    for first in range(0, len(a), PAIRS):
+        going = first + np.flatnonzero(most[first : first + PAIRS] > 0)
+        while len(going):
+            i, j = a[going] + length[going], b[going] + length[going]
+            differ = padded[i[:, None] + step] != padded[j[:, None] + step]
+            same = np.where(differ.any(1), differ.argmax(1), len(step))
+            length[going] = np.minimum(length[going] + same, most[going])
+            going = going[(same == len(step)) & (length[going] < most[going])]
     return length
 
 
@@ -213,7 +220,7 @@ def _same_text(rows: DataFrame, other: DataFrame):
 
 
 def _slices_of(rows: DataFrame) -> DataFrame:
-    names = ["h", "d", "doc_id", "tkey", "start", "n"]
+    names = ["h", "d", "doc_id", "tkey", "start", "n", "place"]
 
     def run(batches):
         for part, texts in slices(batches):
@@ -227,14 +234,14 @@ def _slices_of(rows: DataFrame) -> DataFrame:
                     starts[b] += 1
                     starts[e - LEAST + 1] -= 1
             ids, keys = part.column(0), part.column(2)
-            for h, d, at, size in anchored_slices(data, np.cumsum(starts[:-1]) > 0):
+            for h, d, at, size, place in anchored_slices(data, np.cumsum(starts[:-1]) > 0):
                 # strings of two documents are never in one slice: between them lie starts that are not allowed
                 doc = np.searchsorted(ends, at, "right")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(d), ids.take(pa.array(doc)), keys.take(pa.array(doc)),
-                     pa.array((at - begins[doc]).astype("i8")), pa.array(size.astype("i4"))], names)
+                     pa.array((at - begins[doc]).astype("i8")), pa.array(size.astype("i2")), pa.array(place.astype("i2"))], names)
 
-    return rows.mapInArrow(run, "h long, d long, doc_id long, tkey long, start long, n int")
+    return rows.mapInArrow(run, "h long, d long, doc_id long, tkey long, start long, n short, place short")
 
 
 def _contents(texts: DataFrame) -> DataFrame:
@@ -245,66 +252,94 @@ def _contents(texts: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for text, wanted in zip(each, part.column(1).to_pylist()):
                 raw = text.encode()
-                out += [(w["h"], w["d"], w["copies"], w["hot"], raw[w["start"] : w["start"] + w["n"] + LEAST - 1]) for w in wanted]
+                out += [(w["h"], w["d"], w["copies"], w["hot"], w["place"], raw[w["start"] : w["start"] + w["n"] + LEAST - 1]) for w in wanted]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
             for k in range(0, len(out), 2000):
-                h, d, copies, hot, data = zip(*out[k : k + 2000])
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(copies, pa.int64()),
-                                                  pa.array(hot, pa.bool_()), pa.array(data, pa.binary())], ["h", "d", "copies", "hot", "data"])
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out[k : k + 2000]), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "d", "copies", "hot", "place", "data"])
 
-    return texts.select("text", "wanted").mapInArrow(run, "h long, d long, copies long, hot boolean, data binary")
+    return texts.select("text", "wanted").mapInArrow(run, "h long, d long, copies long, hot boolean, place int, data binary")
 
 
-def _indexed(contents: DataFrame) -> DataFrame:
-    """(h, d, runs) of slices that differ; rows arrive sorted by anchor hash."""
+def _indexed(slices_: DataFrame) -> DataFrame:
+    """(h, d, runs) of slices (g, h, d, at, data) that differ inside their group g; ``at`` is added to the runs."""
 
     def run(batches):
         rows: list[tuple] = []
         size = 0
 
         def judged():
-            found = repeated_starts([r[2] for r in rows])
-            hit = [(r[0], r[1], runs) for r, runs in zip(rows, found) if runs]
+            found = repeated_starts([r[4] for r in rows])
+            hit = [(r[1], r[2], [r[3] + i for i in runs]) for r, runs in zip(rows, found) if runs]
             if hit:
                 h, d, runs = zip(*hit)
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(runs, pa.list_(pa.int32()))],
                                                  ["h", "d", "runs"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if size >= INDEX_BYTES and row[0] != rows[-1][0]:
                     yield from judged()
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[2])
+                size += len(row[4])
         if rows:
             yield from judged()
 
-    ordered = contents.select("h", "d", "data").repartition("h").sortWithinPartitions("h")
+    ordered = slices_.select("g", "h", "d", "at", "data").repartition("g").sortWithinPartitions("g")
     return ordered.mapInArrow(run, "h long, d long, runs array<int>")
 
 
-def _counted(contents: DataFrame) -> DataFrame:
-    """(h, d, runs) of slices of large groups, every string counted by hash."""
+def ranges_of(data: bytes, place: int, width: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Cuts the starts of a slice into ranges by their distance before the anchor: (first start, starts, core, bytes)."""
+    n, first = len(data) - LEAST + 1, 0
+    while first < n:
+        nearest = (place - first) // width * width
+        last = min(n - 1, place - nearest)
+        farthest = min(nearest + width - 1, LEAST - GRAM)
+        yield first, last - first + 1, data[max(0, place - nearest) : place - farthest + LEAST], data[first : last + LEAST]
+        first = last + 1
 
-    def strings(batches):
-        _, first, second = _rolling()
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for h, d, copies, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                    raw = np.frombuffer(data, "u1")
-                    at = np.arange(len(raw) - LEAST + 1)
-                    x, y = (r.of(r.prefixes(raw), at, at + LEAST).view("i8") for r in (first, second))
-                    n = len(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, h)), pa.array(np.full(n, d)), pa.array(np.full(n, copies)), pa.array(at.astype("i4")), pa.array(x),
-                         pa.array(y)], ["h", "d", "copies", "at", "x", "y"])
 
-    each = contents.select("h", "d", "copies", "data").mapInArrow(strings, "h long, d long, copies long, at int, x long, y long")
-    each = stored(each, "strings")
-    often = each.groupBy("x", "y").agg(F.sum("copies").alias("c")).where("c > 1").select("x", "y")
-    found = each.join(often, ["x", "y"], "left_semi").groupBy("h", "d").agg(F.sort_array(F.collect_set("at")).alias("ats"))
-    # at most LEAST strings of a slice: single starts are runs of one
-    return found.select("h", "d", F.flatten(F.transform("ats", lambda i: F.array(i, i))).alias("runs"))
+def _refined(slices_: DataFrame, width: int) -> DataFrame:
+    """The ranges of slices (h, d, at, place, copies, data) with 128-bit hashes of their core (c) and of their bytes (s)."""
+    names = ["h", "d", "at", "place", "copies", "n", "c", "s", "data"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+    def run(batches):
+        digest = lambda x: hashlib.blake2b(x, digest_size=16).digest()
+        for batch in batches:
+            out = []
+            for h, d, at, place, copies, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                for first, n, core, part in ranges_of(data, place, width):
+                    out.append((h, d, at + first, place - first, copies, n, digest(b"%d " % ((place - first) // width) + core), digest(part), part))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    ordered = slices_.select("h", "d", "at", "place", "copies", "data")
+    return ordered.mapInArrow(run, "h long, d long, at int, place int, copies long, n int, c binary, s binary, data binary")
+
+
+def _marks(contents: DataFrame) -> DataFrame:
+    """(h, d, runs): starts in different slices of an anchor group whose strings are equal; several rows for a slice."""
+    start = F.lit(0).alias("at")
+    parts = [_indexed(contents.where("NOT hot").select(F.col("h").alias("g"), "h", "d", start, "data"))]
+    large, width = contents.where("hot").select("h", "d", start, "place", "copies", "data"), 256
+    while width and not large.isEmpty():
+        ranges = stored(_refined(large, width), "ranges")
+        equal = stored(ranges.groupBy("c", "s").agg(F.sum("copies").alias("copies"), F.min(F.struct("h", "d", "at")).alias("x")), "equal-ranges")
+        more = ranges.join(equal.where("copies > 1").select("c", "s"), ["c", "s"], "left_semi")
+        parts.append(more.select("h", "d", F.array("at", F.col("at") + F.col("n") - 1).alias("runs")))
+        cores = stored(equal.groupBy("c").agg(F.count(F.lit(1)).alias("differ")).where("differ > 1"), "cores")
+        left = equal.join(cores, "c").select("c", "differ", "copies", "x.*")
+        left = stored(left.join(ranges.drop("copies", "c", "s", "n"), ["h", "d", "at"]), "open-ranges")
+        small = left.where(F.col("differ") <= GROUP_SLICES)
+        parts.append(_indexed(small.select(F.xxhash64("c").alias("g"), "h", "d", "at", "data")))
+        large, width = left.where(F.col("differ") > GROUP_SLICES).select("h", "d", "at", "place", "copies", "data"), width // 2
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def _spans(docs: DataFrame) -> DataFrame:
@@ -312,17 +347,18 @@ def _spans(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
     every = stored(_slices_of(rows), "slices")
-    often = every.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    # stored, so that both sides of the joins are plain shuffles, which Spark splits where an anchor is hot
+    often = stored(every.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "shared-anchors")
     shared = stored(every.join(often, "h"), "shared-slices")
-    distinct = shared.groupBy("h", "d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "tkey", "start", "n")).alias("x"))
+    distinct = shared.groupBy("h", "d").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "tkey", "start", "n", "place")).alias("x"))
     distinct = stored(distinct, "distinct-slices")
-    groups = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("differ")).where("differ > 1")
+    groups = stored(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("differ")).where("differ > 1"), "anchor-groups")
     wanted = distinct.join(groups, "h").select(
         F.col("x.doc_id").alias("__id"), F.col("x.tkey").alias("__key"),
-        F.struct("h", "d", "copies", (F.col("differ") > GROUP_SLICES).alias("hot"), "x.start", "x.n").alias("w"))
+        F.struct("h", "d", "copies", (F.col("differ") > GROUP_SLICES).alias("hot"), "x.place", "x.start", "x.n").alias("w"))
     by_text = wanted.groupBy("__id", "__key").agg(F.collect_list("w").alias("wanted"))  # bounded by the text's own slices
     contents = stored(_contents(rows.join(by_text, _same_text(rows, by_text))), "slice-texts")
-    marks = _indexed(contents.where("NOT hot")).unionByName(_counted(contents.where("hot"))).dropDuplicates(["h", "d"])
+    marks = _marks(contents)
     alone = distinct.where("copies > 1").select("h", "d")
 
     whole = shared.join(alone, ["h", "d"], "left_semi").select("doc_id", "tkey", "start", (F.col("start") + F.col("n") - 1).alias("last"))

@@ -41,9 +41,27 @@ def test_repeats_of_the_whole_table(spark, sf_dir, table_texts):
     check(by_id(queries.QUERIES["op3_repeated_passages"](spark, sf_dir)), brute.repeats(table_texts), REMOVED)
 
 
-def test_repeats_in_large_groups_are_counted(docs, plain, monkeypatch):
-    monkeypatch.setattr(run_length_index, "GROUP_SLICES", 1)
-    check(by_id(run_length_index.remove_repeats(docs)), brute.repeats(plain), REMOVED)
+@pytest.mark.parametrize("most", [0, 3])
+def test_repeats_in_large_groups_are_refined(spark, monkeypatch, most):
+    """A passage between ends that differ, agree by chance or are cut: every group is taken for a large one."""
+    monkeypatch.setattr(run_length_index, "GROUP_SLICES", most)
+    shared = passage(31, 130)
+    rows = [passage(40 + i, 60)[: 7 * i] + "ab" * (i % 3) + shared[i % 2 * 20 : len(shared) - i % 5 * 3] + "c" * (i % 4) + passage(60 + i, 9 * i)
+            for i in range(14)] + ["z" * 900, "xy" * 600]
+    texts = dict(enumerate(rows))
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    check(by_id(run_length_index.remove_repeats(df)), brute.repeats(texts), REMOVED)
+
+
+def test_ranges_cover_a_slice():
+    data = bytes(range(256)) * 3
+    for n, place, width in ((273, 272, 64), (100, 150, 16), (1, 0, 256), (5, 4, 1)):
+        part = data[: n + run_length_index.LEAST - 1]
+        found = list(run_length_index.ranges_of(part, place, width))
+        assert [i for first, size, _, _ in found for i in range(first, first + size)] == list(range(n))
+        for first, size, core, piece in found:
+            for i in range(first, first + size):
+                assert core in part[i : i + run_length_index.LEAST] and len(piece) == size + run_length_index.LEAST - 1
 
 
 def test_repeats_of_no_rows_and_repeated_rows(no_docs, repeated):
@@ -80,7 +98,7 @@ def test_slices_cover_every_start_once():
     allowed = np.zeros(len(data), bool)
     allowed[: len(data) - run_length_index.LEAST + 1] = True
     seen = np.zeros(len(data), int)
-    for _, _, at, size in run_length_index.anchored_slices(data, allowed):
+    for _, _, at, size, _ in run_length_index.anchored_slices(data, allowed):
         for a, n in zip(at, size):
             seen[a : a + n] += 1
     assert (seen == allowed).all()
