@@ -1,8 +1,8 @@
 """Encoders of whole texts that merge every distinct chunk once.
 
 A text is cut only where no pre-token of the vocabulary can span the cut, so the ids of the chunks, joined, are the ids of the
-text. Chunks repeat as words do; a cache of bounded size, kept by the Python worker, spares most merges. A cache that is full
-is emptied, which changes no result.
+text. Chunks repeat as words do; a cache of bounded size, kept by the Python worker, spares most merges. What a full cache
+forgets is merged again, which changes no result.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ import os
 import re
 from array import array
 
-#: Chunks a worker remembers; about 200 bytes each.
-CACHE_CHUNKS = 400_000
+#: Chunks a worker remembers in each of two generations; about 200 bytes each.
+CACHE_CHUNKS = 250_000
 
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_LATIN_WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+LATIN_WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 def byte_letters() -> list[str]:
@@ -36,22 +36,33 @@ def spaced_chunks(text: str) -> list[str]:
 
 
 class Chunks(dict):
-    """Cache from a chunk to its ids as little-endian unsigned 32-bit integers."""
+    """Cache from a chunk to its ids as little-endian unsigned 32-bit integers.
+
+    It has two generations: what was used since the younger one began stays when the older one is dropped.
+    """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self[chunk] = array("I", self.encode(chunk)).tobytes()
+        ids = self.older.pop(chunk, None)
+        if ids is None:
+            ids = self.encode(chunk)
+        self[chunk] = ids
         return ids
 
     def joined(self, chunks: list[str]) -> bytes:
         if len(self) > CACHE_CHUNKS:
+            self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, chunks))
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class WordEncoder:
     """Vocabulary with word ends, lower case, white space dropped (a ``tokenizers`` JSON file).
 
@@ -63,42 +74,59 @@ class WordEncoder:
         self.letters = byte_letters()
         self.cache = Chunks(self._ids)
 
-    def _ids(self, chunk: str) -> list[int]:
-        m = _LATIN_WORD.fullmatch(chunk)
+    def _ids(self, chunk: str) -> bytes:
+        m = LATIN_WORD.fullmatch(chunk)
         if m is None:
-            return self.whole.encode(chunk, add_special_tokens=False).ids
-        ids = []
-        for piece in m.groups()[1:]:
-            if piece:
-                piece = piece.lower()
-                spelled = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
-                ids += [t.id for t in self.model.tokenize(spelled)]
-        return ids
+            return packed(self.whole.encode(chunk, add_special_tokens=False).ids)
+        _, word, marks = m.groups()
+        if marks:
+            return self.cache[word] + self._merged(marks)
+        return self._merged(word.lower())
+
+    def _merged(self, piece: str) -> bytes:
+        return packed([t.id for t in self.model.tokenize(_spelled(piece, self.letters))])
 
     def encode(self, text: str) -> bytes:
         return self.cache.joined(text.replace("\n", " ").split(" "))
 
 
+def _spelled(piece: str, letters: list[str]) -> str:
+    """Piece without white space, one character a byte."""
+    return piece if piece.isascii() else "".join([letters[b] for b in piece.encode()])
+
+
 class ByteEncoder:
     """Byte-level vocabulary (a ``tokenizers`` JSON file)."""
 
     def __init__(self, path: str):
         self.whole, self.model = _load(path)
         self.letters = byte_letters()
-        self.cache = Chunks(self._ids)
+        self.space = self.letters[32]
+        #: Chunks as they are, and chunks without the space they begin with.
+        self.cache, self.spaced = Chunks(self._ids), Chunks(lambda rest: self._ids(" " + rest))
 
-    def _ids(self, chunk: str) -> list[int]:
-        m = _LATIN_WORD.fullmatch(chunk)
+    def _ids(self, chunk: str) -> bytes:
+        m = LATIN_WORD.fullmatch(chunk)
         if m is None:
-            return self.whole.encode(chunk, add_special_tokens=False).ids
-        ids = []
-        for piece in (m[1] + m[2], m[3]):
-            if piece:
-                ids += [t.id for t in self.model.tokenize("".join(self.letters[b] for b in piece.encode()))]
-        return ids
+            return packed(self.whole.encode(chunk, add_special_tokens=False).ids)
+        space, word, marks = m.groups()
+        if marks:
+            return (self.spaced if space else self.cache)[word] + self._merged(marks)
+        return self._merged(self.space + _spelled(word, self.letters) if space else _spelled(word, self.letters))
+
+    def _merged(self, spelled: str) -> bytes:
+        return packed([t.id for t in self.model.tokenize(spelled)])
 
     def encode(self, text: str) -> bytes:
-        return self.cache.joined(spaced_chunks(text))
+        return encode_spaced(text, self.cache, self.spaced)
+
+
+def encode_spaced(text: str, cache: Chunks, spaced: Chunks) -> bytes:
+    """Ids of a text from its ``spaced_chunks``; ``spaced`` knows them without the space they begin with."""
+    if _SPACE_AFTER_SPACE.search(text) is None:
+        first, *rest = text.split(" ")
+        return (cache[first] if first else b"") + spaced.joined(rest)
+    return cache.joined(spaced_chunks(text))
 
 
 def _load(path: str):

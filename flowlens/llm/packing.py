@@ -149,13 +149,14 @@ class Packer:
         return out
 
 
-def sentence_enders(path: str) -> np.ndarray:
+class SentenceEnds:
     """For every id of the vocabulary, whether its text ends a sentence or a line."""
-    whole = encoder(ByteEncoder, path).whole
-    ends = np.zeros(whole.get_vocab_size(), bool)
-    for token, i in whole.get_vocab().items():
-        ends[i] = token.endswith((".", "!", "?", "Ċ"))
-    return ends
+
+    def __init__(self, path: str):
+        vocabulary = encoder(ByteEncoder, path).whole.get_vocab()
+        self.ends = np.zeros(len(vocabulary), bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith((".", "!", "?", "Ċ"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = 2048) -> DataFrame:
@@ -171,7 +172,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
         from pyspark import TaskContext
 
         coder = encoder(ByteEncoder, tokenizer)
-        packer = Packer(length, TaskContext.get().partitionId() << 36, sentence_enders(tokenizer))
+        packer = Packer(length, TaskContext.get().partitionId() << 36, encoder(SentenceEnds, tokenizer).ends)
 
         def rows(pieces):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pieces)], names)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from flowlens.llm.common import slices, small_batches, text_of
-from flowlens.llm.encoding import Chunks, byte_letters, encoder, spaced_chunks
+from flowlens.llm.encoding import Chunks, byte_letters, encode_spaced, encoder, packed
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -75,9 +75,9 @@ class PieceEncoder:
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=piece_model(self.entries))
         self.find = regex.compile(pattern).findall
         self.letters = byte_letters()
-        self.cache = Chunks(self._ids)
+        self.cache, self.spaced = Chunks(self._ids), Chunks(lambda rest: self._ids(" " + rest))
 
-    def _ids(self, chunk: str) -> list[int]:
+    def _ids(self, chunk: str) -> bytes:
         ids: list[int] = []
         for token in self.find(chunk):
             data = token.encode()
@@ -86,10 +86,10 @@ class PieceEncoder:
                 ids.append(whole)
             else:
                 ids += self.pieces.encode("".join(self.letters[b] for b in data))
-        return ids
+        return packed(ids)
 
     def encode(self, text: str) -> bytes:
-        return self.cache.joined(spaced_chunks(text))
+        return encode_spaced(text, self.cache, self.spaced)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.entries.__getitem__, np.frombuffer(ids, "<u4").tolist()))

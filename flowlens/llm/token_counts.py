@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from flowlens.llm.common import slices, small_batches, text_of
-from flowlens.llm.encoding import ByteEncoder, Chunks, encoder, spaced_chunks
+from flowlens.llm.encoding import LATIN_WORD, ByteEncoder, Chunks, encoder, packed, spaced_chunks
 
 SECTION_LINES = 8
 _LINE = re.compile(r"[^\n]*\n?")
@@ -50,18 +50,25 @@ class SpanEncoder(ByteEncoder):
         super().__init__(path)
         self.cache = Chunks(self._spans)
 
-    def _spans(self, chunk: str) -> list[int]:
-        return [x for span in self.whole.encode(chunk, add_special_tokens=False).offsets for x in span]
+    def _spans(self, chunk: str) -> bytes:
+        m = LATIN_WORD.fullmatch(chunk)
+        if m is None or not chunk.isascii():
+            return packed([x for span in self.whole.encode(chunk, add_special_tokens=False).offsets for x in span])
+        # plain words by the merge model, whose offsets count bytes: two for the letter that spells a space
+        space, word, marks = m.groups()
+        out = [x for t in self.model.tokenize(self.space + word if space else word) for x in t.offsets]
+        if space:
+            out = [max(x - 1, 0) for x in out]
+        if marks:
+            out += [x + len(space) + len(word) for t in self.model.tokenize(marks) for x in t.offsets]
+        return packed(out)
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and character after the last, of every token of the text."""
         chunks = spaced_chunks(text)
-        data = [self.cache[c] for c in chunks]
-        flat = np.frombuffer(b"".join(data), "<u4").astype("i8").reshape(-1, 2)
+        flat = np.frombuffer(self.cache.joined(chunks), "<u4").astype("i8").reshape(-1, 2)
         begin = np.cumsum([0, *map(len, chunks)])[:-1]
-        flat = flat + np.repeat(begin, [len(d) // 8 for d in data])[:, None]
-        if len(self.cache) > 200_000:
-            self.cache.clear()
+        flat = flat + np.repeat(begin, [len(self.cache[c]) // 8 for c in chunks])[:, None]
         return flat[:, 0], flat[:, 1]
 
 

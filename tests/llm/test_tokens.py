@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from flowlens.llm import packing, piece_bpe, queries, token_counts, token_files
-from flowlens.llm.encoding import ByteEncoder, WordEncoder, spaced_chunks
+from flowlens.llm.encoding import ByteEncoder, WordEncoder, encoder, spaced_chunks
 
 from .conftest import by_id
 
@@ -51,6 +51,14 @@ def test_chunked_encoders_equal_the_libraries(text):
     assert "".join(spaced_chunks(text)) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(TEXT, st.lists(st.text("abcXYZ", min_size=1, max_size=9)).map(" ".join).map(lambda t: t + ".")))
+def test_spans_equal_the_library(text):
+    coder = encoder(token_counts.SpanEncoder, BYTES)
+    begin, end = coder.spans(text)
+    assert list(zip(begin.tolist(), end.tolist())) == coder.whole.encode(text, add_special_tokens=False).offsets
+
+
 def _encoders(made=[]):  # noqa: B006
     if not made:
         made += [WordEncoder(WORDS), ByteEncoder(BYTES)]
