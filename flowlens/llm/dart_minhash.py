@@ -7,9 +7,10 @@ agree in a coordinate with the probability of their weighted Jaccard similarity.
 as wide, until every coordinate has a dart, so a text costs about K ln K darts however long it is.
 
 BANDS bands of ROWS coordinates give buckets; a pair of similarity 0.8 shares none with probability (1 - 0.8^5)^26 < 0.00004.
-Candidates are verified on their whole shingle sets (32-bit hashes). A bucket never gives all its pairs: every member is
-compared with the first and the preceding member, classes merge, and the buckets are gone through again with one member per
-class and bucket until no untested pair is left.
+Candidates are verified on their whole shingle sets (32-bit hashes). Rounds come first: every member of a bucket is compared
+with the first and the preceding member, classes merge, and the buckets are gone through again with one member per class and
+bucket until nothing new is found. Buckets that still hold several classes then have every member compared with every member
+of the other classes: few members pair by pair, many in blocks of bounded size, without a row per pair.
 
 Equal word sequences are one node from the start, so copies cost one row. Classes are connected components of verified links.
 
@@ -37,6 +38,12 @@ K = BANDS * ROWS
 FIRST_RANK = 1 / 16
 #: Bucket members whose order is found in one task; a larger bucket is dealt to several.
 TOGETHER = 4000
+#: Links that one task can join; more are joined by distributed rounds.
+HERE = 50_000
+#: Members of a bucket whose pairs are listed; those of a larger bucket are compared in blocks of about BLOCK by BLOCK members.
+FEW, BLOCK = 16, 500
+#: Shingles of a block that are counted at once.
+WIDE = 4096
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -158,13 +165,33 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node binary, cells array<int>")
 
 
+def _joined(batches):
+    """node and label from all the links, which one task reads."""
+    parent: dict = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays([pa.array(list(parent), pa.binary()), pa.array([root(x) for x in parent], pa.binary())], ["node", "label"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): every node that occurs in ``edges`` (a, b) with the smallest node it is connected to.
 
-    Stars by turns: neighbours above a node, then those below it, are tied to the smallest neighbour; the tables are stored,
-    so lineage stays short.
+    Up to HERE links are joined by one task. More go by stars by turns: neighbours above a node, then those below it, are tied
+    to the smallest neighbour; the tables are stored, so lineage stays short.
     """
-    tied = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    tied, numbers = stored_with(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if numbers["rows"] <= HERE:
+        return stored(tied.coalesce(1).mapInArrow(_joined, "node binary, label binary"), "labels")
     before = None
     while True:
         both = tied.union(tied.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -202,6 +229,78 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(common >= LEAST * (F.size("ca") + F.size("cb") - common)).select("a", "b")
 
 
+def _across(block: pa.Table) -> pa.Table:
+    """Links of similarity LEAST or more between members of two sides and different classes, enough of them to join the classes."""
+    flat = block.column("cells").combine_chunks()
+    sizes, every = flat.value_lengths().to_numpy(zero_copy_only=False).astype("i8"), flat.flatten().to_numpy()
+    right = block.column("minor").to_numpy()
+    of_class = block.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    x, y = np.flatnonzero(~right), np.flatnonzero(right)
+    row = np.where(right, np.cumsum(right), np.cumsum(~right)) - 1
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values, at = np.unique(every, return_inverse=True)
+    on_left, on_right = np.zeros(len(values), bool), np.zeros(len(values), bool)
+    on_left[at[~right[owner]]] = on_right[at[right[owner]]] = True
+    both = on_left & on_right
+    some = both[at]
+    column, owner = (np.cumsum(both) - 1)[at[some]], owner[some]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(x), len(y)), "f4")
+    for start in range(0, int(both.sum()), WIDE):
+        cut = slice(*np.searchsorted(column, [start, start + WIDE]))
+        has = [np.zeros((n, WIDE), "f4") for n in common.shape]
+        for side, here in enumerate((~right[owner[cut]], right[owner[cut]])):
+            has[side][row[owner[cut][here]], column[cut][here] - start] = 1
+        common += has[0] @ has[1].T
+    alike = (common >= LEAST * (sizes[x][:, None] + sizes[y] - common.astype("f8"))) & (of_class[x][:, None] != of_class[y])
+    parent, links = list(range(len(sizes))), []
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    for i, j in zip(*(k.tolist() for k in np.nonzero(alike))):
+        if (a := root(of_class[x[i]])) != (b := root(of_class[y[j]])):
+            parent[a] = b
+            links.append((x[i], y[j]))
+    nodes = block.column("node").combine_chunks()
+    return pa.table({c: nodes.take(pa.array([link[k] for link in links], pa.int64())) for k, c in enumerate("ab")})
+
+
+def _rest(buckets: DataFrame, label: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between classes that the rounds have left untested: of every bucket, all its members against the other classes.
+
+    Nothing is left in a bucket of one class or of two members, nor of three in three classes: the rounds test all their pairs.
+    Of two members in different classes one is outside the bucket's largest class, so only such members are copied to blocks.
+    """
+    rows = buckets.join(label, "node", "left").select("key", "node", "n_cells", F.coalesce("label", "node").alias("label"))
+    by_class = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+    still = by_class.groupBy("key").agg(
+        F.sum("k").alias("n"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("k", "label")).alias("most")).where(
+        "classes > 1 AND n > 2 AND (n > 3 OR classes < 3)")
+    still = stored(still.select("key", "n", (F.col("n") - F.col("most.k")).alias("n_minor"), F.col("most.label").alias("largest")), "open")
+    rows = stored(rows.join(still, "key"), "open-members")
+
+    few = rows.where(F.col("n") <= FEW)
+    a, b = (few.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n_cells", "label")]) for x in "ab")
+    pairs = a.join(b, "key").where("node_a < node_b AND label_a <> label_b").where(
+        F.least("n_cells_a", "n_cells_b") >= LEAST * F.greatest("n_cells_a", "n_cells_b"))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+
+    many = rows.where(F.col("n") > FEW)
+    parts, minor_parts = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("n_minor") / BLOCK)
+    part = lambda n: F.pmod(F.xxhash64("node"), n)
+    blocks = many.select("key", part(parts).alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), minor_parts - 1)).alias("against"),
+                         "node", "label", F.lit(False).alias("minor"))
+    blocks = blocks.union(many.where("label <> largest").select(
+        "key", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), part(minor_parts).alias("against"),
+        "node", "label", F.lit(True).alias("minor")))
+    found = blocks.join(sets, "node").groupBy("key", "part", "against").applyInArrow(_across, "a binary, b binary")
+    return _verified(pairs, sets).union(found)
+
+
 def _classes(docs: DataFrame) -> DataFrame:
     """``near_classes`` with the node of every document."""
     small_batches(docs.sparkSession)
@@ -231,6 +330,9 @@ def _classes(docs: DataFrame) -> DataFrame:
         if not numbers["rows"]:
             break
         links = links.unionByName(found)
+    found, numbers = stored_with(_rest(buckets, label, tested, sets), "links")
+    if numbers["rows"]:
+        label = components(links.unionByName(found))
 
     members = nodes.join(label, "node", "left").select("node", "doc_id", "copies", F.coalesce("label", "node").alias("label"))
     classes = members.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))

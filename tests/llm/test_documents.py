@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -223,6 +224,24 @@ def test_near_classes_of_no_rows_and_repeated_rows(no_docs, repeated):
     assert len(rows) == 7 and sorted(r.class_size for r in rows) == [1, 1, 1, 4, 4, 4, 4]
 
 
+def edited(words: list, seed: int, places: int, new: str) -> list:
+    """A copy with so many words replaced, none within reach of a shingle of another."""
+    at = random.Random(seed).sample(range(5, len(words) - 5, 5), places)
+    return [f"{new}{k}" if k in at else w for k, w in enumerate(words)]
+
+
+def test_near_pairs_between_texts_of_a_template(spark):
+    """Texts below 0.8 to each other, and pairs among them above: a bucket of the template holds them all."""
+    base = passage(30, 504).split(" ")
+    texts = {i: edited(base, i, 8, f"own{i}x") for i in range(300)}
+    texts |= {1000 + i: edited(texts[i], 1000 + i, 8, f"more{i}x") for i in range(0, 300, 2)}
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    expected = brute.near(texts)
+    assert len(set(expected.values())) > 250
+    rows = by_id(dart_minhash.near_classes(spark.createDataFrame([(t, i) for i, t in texts.items()], "text string, doc_id long")))
+    assert {i: r.class_id for i, r in rows.items()} == expected
+
+
 def test_signatures_agree_as_often_as_sets():
     base = passage(20, 900).split(" ")
     for changed, width in ((0, 0.0), (40, 0.1), (150, 0.1)):
@@ -239,6 +258,14 @@ def test_components(spark):
     assert all(rows[bytes([i])] == b"\x00" for i in range(31)) and {rows[bytes([i])] for i in (0x50, 0x51, 0x52)} == {b"\x50"}
 
 
+def test_components_by_rounds_and_in_one_task_are_the_same(spark, monkeypatch):
+    r = random.Random(3)
+    edges = spark.createDataFrame([(bytes([r.randrange(250)]), bytes([r.randrange(250)])) for _ in range(120)], "a binary, b binary")
+    here = sorted(map(tuple, dart_minhash.components(edges).collect()))
+    monkeypatch.setattr(dart_minhash, "HERE", 0)
+    assert here == sorted(map(tuple, dart_minhash.components(edges).distinct().collect()))
+
+
 def score_rows(rows, expected):
     for i, e in expected.items():
         r = rows[i]
