@@ -242,6 +242,14 @@ def test_near_pairs_between_texts_of_a_template(spark):
     assert {i: r.class_id for i, r in rows.items()} == expected
 
 
+def test_near_copies_around_one_original(spark):
+    """Copies below 0.8 to each other and above it to the original, which the rounds hide behind its class."""
+    base = passage(30, 504).split(" ")
+    words = {0: base} | {i: edited(base, i, 9, f"own{i}x") for i in range(1, 301)}
+    rows = by_id(dart_minhash.near_classes(spark.createDataFrame([(" ".join(w), i) for i, w in words.items()], "text string, doc_id long")))
+    assert {r.class_id for r in rows.values()} == {0}
+
+
 def test_signatures_agree_as_often_as_sets():
     base = passage(20, 900).split(" ")
     for changed, width in ((0, 0.0), (40, 0.1), (150, 0.1)):
