@@ -8,14 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm import (
+    alignment,
     dart_minhash,
     exact_dedup,
     hidden_markov,
     licenses,
+    mixing,
     packing,
     piece_bpe,
     quality_rules,
     run_length_index,
+    spelling,
     token_counts,
     token_files,
 )
@@ -84,3 +87,19 @@ def op3(spark, sf_dir):
 @query("op8_near_classes")
 def op8(spark, sf_dir):
     return dart_minhash.near_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op11_align_tokenizers")
+def op11(spark, sf_dir):
+    return alignment.align_tokenizers(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_source_mix", mixing.ORACLE)
+def op12(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_groups")
+def op13(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))

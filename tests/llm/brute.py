@@ -1,7 +1,9 @@
 """Plain Python versions of the operators, over {key: text}."""
 
+import bisect
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -101,3 +103,76 @@ def base_scores(texts: dict) -> dict:
         c = [counts[w] for w in words[i]] + [ends]
         out[i] = (held[i], len(c), sum(x > 0 for x in c), total, sum(math.log10((x + 0.5) / (total + 0.5 * (distinct + 1))) for x in c))
     return out
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether exactly one letter was inserted, deleted or replaced."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_words(texts: list[tuple]) -> dict:
+    """Words with their occurrences, of (doc_id, text) rows."""
+    found = collections.Counter()
+    for i, t in texts:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{low}".encode())
+            if h % 31 == 0:
+                low = low[: h % len(low)] + low[h % len(low) + 1 :]
+            found[low] += 1
+    return {w: n for w, n in found.items() if len(w) >= 7 and n >= 2}
+
+
+def spelling_groups(words: dict, times: int = 10) -> dict:
+    """form, root, n, n_near, form_n by word."""
+    near = collections.defaultdict(list)
+    for w in words:
+        for other in words:
+            if one_edit(w, other):
+                near[w].append(other)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= times * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()}
+
+
+def alignments(texts: dict, encode_a, bytes_a, encode_b, bytes_b) -> dict:
+    """n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 by key; whole texts, every pair of tokens compared."""
+    parts, held = {}, collections.Counter()
+    for i, t in texts.items():
+        a, b = (encode_a(" " + t), encode_b(t)) if t else ([], [])
+        raw = f" {t}".encode()
+        if b"".join(map(bytes_a, a)) != raw or b"".join(map(bytes_b, b)) != raw:
+            a, b = [], []
+        ends = [list(itertools.accumulate(len(spell(x)) for x in ids)) for ids, spell in ((a, bytes_a), (b, bytes_b))]
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        group_of = [[bisect.bisect_left(cuts, e) for e in own] for own in ends]
+        inside = [[[] for _ in cuts] for _ in ends]
+        for own, of in zip(inside, group_of):
+            for k, g in enumerate(of):
+                own[g].append(k)
+        groups, links = [], []
+        for of_a, of_b in zip(*inside):
+            groups.append("|".join(",".join(str(ids[k]) for k in own) for ids, own in ((a, of_a), (b, of_b))))
+            for x in of_a:
+                for y in of_b:
+                    if max(ends[0][x] - len(bytes_a(a[x])), ends[1][y] - len(bytes_b(b[y]))) < min(ends[0][x], ends[1][y]):
+                        links.append((a[x], b[y]))
+        parts[i] = a, b, groups, links
+        held.update(set(links))
+    best = collections.Counter()
+    for (x, _), n in held.items():
+        best[x] = max(best[x], n)
+    return {i: (len(a), len(b), len(groups), len(links), sum(held[p] == best[p[0]] for p in links), sum(held[p] for p in links),
+                hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "") for i, (a, b, groups, links) in parts.items()}
