@@ -68,12 +68,12 @@ def candidate_cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndar
     penalty[n], penalty[0] = 0, -1
     at = np.flatnonzero(penalty >= 0)
     gaps = np.diff(at, prepend=0)
-    wide = np.flatnonzero(gaps > most_uncut)
-    hard = [np.arange(at[w] - gaps[w] + most_uncut, at[w], most_uncut) for w in wide]
-    if hard:
-        hard = np.concatenate(hard)
-        penalty[hard] = HARD_CUT
-        at = np.union1d(at, hard)
+    more = (gaps - 1) // most_uncut  # cuts inside each gap, most_uncut apart from its begin
+    if more.any():
+        begin = np.repeat(at - gaps, more)
+        number = np.arange(len(begin)) - np.repeat(np.cumsum(more) - more, more) + 1
+        penalty[begin + number * most_uncut] = HARD_CUT
+        at = np.flatnonzero(penalty >= 0)
     return at.tolist(), penalty[at].tolist()
 
 
@@ -179,8 +179,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
 
         pieces: list[tuple] = []
         for part, texts in slices(batches):
-            for doc_id, text in zip(part.column(0).to_pylist(), texts):
-                pieces += packer.add(doc_id, np.concatenate([np.frombuffer(coder.encode(text), "<u4"), end]))
+            for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode_all(texts)):
+                pieces += packer.add(doc_id, np.concatenate([ids, end]))
             if pieces:
                 yield rows(pieces)
                 pieces = []

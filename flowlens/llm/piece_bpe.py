@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from flowlens.llm.common import slices, small_batches, text_of
-from flowlens.llm.encoding import Chunks, byte_letters, encode_spaced, encoder, packed
+from flowlens.llm.encoding import Chunks, byte_letters, encode_spaced, encoder, ids_of_spaced, packed, unmarked
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -76,6 +76,7 @@ class PieceEncoder:
         self.find = regex.compile(pattern).findall
         self.letters = byte_letters()
         self.cache, self.spaced = Chunks(self._ids), Chunks(lambda rest: self._ids(" " + rest))
+        self.marked = Chunks(lambda chunk: self._ids("".join(unmarked(chunk))))
 
     def _ids(self, chunk: str) -> bytes:
         ids: list[int] = []
@@ -91,7 +92,11 @@ class PieceEncoder:
     def encode(self, text: str) -> bytes:
         return encode_spaced(text, self.cache, self.spaced)
 
-    def decode(self, ids: bytes) -> bytes:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text."""
+        return ids_of_spaced(texts, self.marked, self.encode)
+
+    def decode(self, ids) -> bytes:
         return b"".join(map(self.entries.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
@@ -104,9 +109,8 @@ def encode_and_decode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         coder = encoder(PieceEncoder, key)
         for rows, texts in slices(batches):
             n, a, b = [], [], []
-            for text in texts:
-                ids = coder.encode(text)
-                n.append(len(ids) // 4)
+            for ids in coder.encode_all(texts):
+                n.append(len(ids))
                 a.append(hashlib.sha256(ids).hexdigest())
                 b.append(hashlib.sha256(coder.decode(ids)).hexdigest())
             columns = [rows.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]

@@ -172,8 +172,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
             writer = TokenFileWriter(out, bits)
             for rows, texts in slices(itertools.chain([first], batches)):
-                for doc_id, text in zip(rows.column(0).to_pylist(), texts):
-                    writer.add(doc_id, np.concatenate([np.frombuffer(words.encode(text), "<u4"), end]))
+                for doc_id, ids in zip(rows.column(0).to_pylist(), words.encode_all(texts)):
+                    writer.add(doc_id, np.concatenate([ids, end]))
             writer.close()
             done.update(docs=len(writer.doc_ids), ids=writer.starts[-1])
 

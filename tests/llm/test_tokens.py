@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from flowlens.llm import packing, piece_bpe, queries, token_counts, token_files
+from flowlens.llm import encoding, packing, piece_bpe, queries, token_counts, token_files
 from flowlens.llm.encoding import ByteEncoder, WordEncoder, encoder, spaced_chunks
 
 from .conftest import by_id
@@ -228,6 +228,28 @@ def test_piece_model_equals_the_library(text):
     assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text) and own.decode(ids) == text.encode()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(TEXT, max_size=5))
+def test_many_texts_encode_as_each_alone(texts):
+    for own in (encoder(WordEncoder, vocab.path("word_bpe_49k.json")), encoder(ByteEncoder, vocab.path("byte_bpe_50k.json")), _rank_encoders()[0]):
+        assert [x.tobytes() for x in own.encode_all(texts)] == [own.encode(t) for t in texts]
+
+
+def test_caches_are_bounded():
+    """Long chunks are not remembered, and what is remembered is bounded by its characters."""
+    own = ByteEncoder(vocab.path("byte_bpe_50k.json"))
+    for k in range(300):
+        own.encode_all([f"{k}" * 100 + " x", f"{k}  " + "日" * 90])
+        own.encode(f"{k}" * 100)
+    for cache in (own.cache, own.spaced, own.marked):
+        assert max(map(len, cache), default=0) <= encoding.LONGEST
+    many = encoding.Chunks(lambda c: b"1234")
+    for k in range(0, 40_000, 100):
+        many.each([f"{i:064}" for i in range(k, k + 100)])
+        many.joined([f"{i:063}" for i in range(k, k + 100)])
+    assert sum(map(len, many)) + sum(map(len, many.older)) <= 2 * (encoding.CACHE_CHARS + 100 * 64)
+
+
 def _rank_encoders(made=[]):  # noqa: B006
     if not made:
         entries = piece_bpe.read_ranks(RANKS)
