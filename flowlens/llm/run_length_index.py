@@ -3,7 +3,7 @@
 Which strings can be equal. Every string of LEAST bytes has an anchor, its smallest-hashed GRAM bytes (the first of equals),
 which depends on nothing but the string. Consecutive strings of a document share their anchor; they make a slice of the text.
 Equal strings have equal anchor hashes, so only slices of one anchor hash need be compared, wherever their documents lie. Most
-anchors of a corpus occur once and go no further; equal slices (128 bits) are one row with a count.
+anchors of a corpus occur once and go no further; equal slices (128-bit digests of their bytes) are one row with a count.
 
 How they are compared. Slices that share an anchor but differ are gathered, whole anchor groups at a time, into texts of about
 INDEX_BYTES, and each gets an index: suffix order by prefix doubling, its Burrows-Wheeler transform as runs, and suffix
@@ -41,8 +41,8 @@ INDEX_BYTES, GROUP_SLICES = 1 << 19, 512
 #: Suffix pairs compared at a time.
 PAIRS = 1 << 14
 
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_BYTES = np.random.default_rng(400).integers(0, 1 << 64, (2, 256), "u8")
+_BASE = 0x9E3779B97F4A7C15
+_BYTES = np.random.default_rng(400).integers(0, 1 << 64, 256, "u8")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -51,28 +51,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Rolling:
-    """Hashes of substrings by prefix sums of powers, modulo 2^64; substrings must be shorter than 1,024 bytes."""
+class GramHash:
+    """Hashes of all substrings of GRAM bytes by prefix sums of powers, modulo 2^64.
 
-    def __init__(self, which: int, most: int):
-        base = _ODD[which]
-        self.table = _BYTES[which]
-        self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(most, b, "u8")]) for b in (base, pow(base, -1, 1 << 64)))
+    Equal grams have equal hashes. Different ones may collide on some periodic texts, so a hash only says which slices may
+    hold equal strings; that they do is decided by their bytes.
+    """
 
-    def prefixes(self, data: np.ndarray) -> np.ndarray:
-        return np.r_[np.uint64(0), np.cumsum(self.table[data] * self.up[: len(data)])]
+    def __init__(self, most: int):
+        self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(most, b, "u8")]) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
-    def of(self, prefixes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((prefixes[end] - prefixes[begin]) * self.down[begin])
+    def of(self, data: np.ndarray) -> np.ndarray:
+        sums = np.r_[np.uint64(0), np.cumsum(_BYTES[data] * self.up[: len(data)])]
+        return _mix((sums[GRAM:] - sums[:-GRAM]) * self.down[: len(data) - GRAM + 1])
 
 
-_ROLLING: list[Rolling] = []
+_GRAMS: list[GramHash] = []
 
 
-def _rolling() -> list[Rolling]:
-    if not _ROLLING:
-        _ROLLING.extend(Rolling(i, BLOCK + LEAST) for i in range(2))
-    return _ROLLING
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -83,30 +81,29 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def anchored_slices(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Slices of a run of bytes: anchor hash, slice hash, first start, number of starts, place of the anchor in the slice.
+def anchored_slices(data: bytes, starts: np.ndarray, least: int = LEAST) -> Iterator[tuple]:
+    """Slices of a run of bytes: anchor hash, first start, number of starts, place of the anchor in the slice; as arrays.
 
     ``starts`` tells the positions at which a string may start (those whose string lies in one document).
     """
-    grams, contents = _rolling()
+    if not _GRAMS or len(_GRAMS[0].up) < BLOCK + least:
+        _GRAMS[:] = [GramHash(BLOCK + least)]
     low = np.uint64((1 << 17) - 1)
+    whole = np.frombuffer(data, "u1")
     with np.errstate(over="ignore"):
-        for at in range(0, len(data) - LEAST + 1, BLOCK):
-            part = data[at : at + BLOCK + LEAST - 1]
-            n = len(part) - LEAST + 1
+        for at in range(0, len(data) - least + 1, BLOCK):
+            part = whole[at : at + BLOCK + least - 1]
+            n = len(part) - least + 1
             allowed = starts[at : at + n]
             if not allowed.any():
                 continue
-            sums = grams.prefixes(part)
-            g = np.arange(len(part) - GRAM + 1)
-            gram = _mix((sums[GRAM:] - sums[:-GRAM]) * grams.down[: len(g)])
-            anchor = (_sliding_min(gram & ~low | g.astype("u8"), LEAST - GRAM + 1) & low).astype("i8")
+            gram = _GRAMS[0].of(part)
+            g = np.arange(len(gram))
+            anchor = (_sliding_min(gram & ~low | g.astype("u8"), least - GRAM + 1) & low).astype("i8")
             edge = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (allowed[1:] != allowed[:-1])])
             size = np.diff(np.r_[edge, n])
             edge, size = edge[allowed[edge]], size[allowed[edge]]
-            place = anchor[edge] - edge
-            content = contents.of(contents.prefixes(part), edge, edge + size + LEAST - 1)
-            yield gram[anchor[edge]].view("i8"), _mix(content + size.astype("u8")).view("i8"), edge + at, size, place
+            yield gram[anchor[edge]].view("i8"), edge + at, size, anchor[edge] - edge
 
 
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -219,32 +216,33 @@ def _same_text(rows: DataFrame, other: DataFrame):
     return (rows["tkey"] == other["__key"]) & rows["doc_id"].eqNullSafe(other["__id"])
 
 
-def _slices_of(rows: DataFrame) -> DataFrame:
+def _slices_of(rows: DataFrame, least: int) -> DataFrame:
     names = ["h", "d", "doc_id", "tkey", "start", "n", "place"]
 
     def run(batches):
         for part, texts in slices(batches):
             raw = [t.encode() for t in texts]
-            data = np.frombuffer(b"".join(raw), "u1")
+            data = b"".join(raw)
             ends = np.cumsum([len(r) for r in raw])
             begins = ends - [len(r) for r in raw]
             starts = np.zeros(len(data) + 1, "i4")
             for b, e in zip(begins, ends):
-                if e - b >= LEAST:
+                if e - b >= least:
                     starts[b] += 1
-                    starts[e - LEAST + 1] -= 1
+                    starts[e - least + 1] -= 1
             ids, keys = part.column(0), part.column(2)
-            for h, d, at, size, place in anchored_slices(data, np.cumsum(starts[:-1]) > 0):
+            for h, at, size, place in anchored_slices(data, np.cumsum(starts[:-1]) > 0, least):
                 # strings of two documents are never in one slice: between them lie starts that are not allowed
                 doc = np.searchsorted(ends, at, "right")
+                d = [digest(data[b:e]) for b, e in zip(at.tolist(), (at + size + least - 1).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(d), ids.take(pa.array(doc)), keys.take(pa.array(doc)),
+                    [pa.array(h), pa.array(d, pa.binary()), ids.take(pa.array(doc)), keys.take(pa.array(doc)),
                      pa.array((at - begins[doc]).astype("i8")), pa.array(size.astype("i2")), pa.array(place.astype("i2"))], names)
 
-    return rows.mapInArrow(run, "h long, d long, doc_id long, tkey long, start long, n short, place short")
+    return rows.mapInArrow(run, "h long, d binary, doc_id long, tkey long, start long, n short, place short")
 
 
-def _contents(texts: DataFrame) -> DataFrame:
+def _contents(texts: DataFrame, least: int) -> DataFrame:
     """The bytes of the wanted slices of every text."""
 
     def run(batches):
@@ -252,16 +250,16 @@ def _contents(texts: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for text, wanted in zip(each, part.column(1).to_pylist()):
                 raw = text.encode()
-                out += [(w["h"], w["d"], w["copies"], w["hot"], w["place"], raw[w["start"] : w["start"] + w["n"] + LEAST - 1]) for w in wanted]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
+                out += [(w["h"], w["d"], w["copies"], w["hot"], w["place"], raw[w["start"] : w["start"] + w["n"] + least - 1]) for w in wanted]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()]
             for k in range(0, len(out), 2000):
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*out[k : k + 2000]), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, ["h", "d", "copies", "hot", "place", "data"])
 
-    return texts.select("text", "wanted").mapInArrow(run, "h long, d long, copies long, hot boolean, place int, data binary")
+    return texts.select("text", "wanted").mapInArrow(run, "h long, d binary, copies long, hot boolean, place int, data binary")
 
 
-def _indexed(slices_: DataFrame) -> DataFrame:
+def _indexed(slices_: DataFrame, least: int) -> DataFrame:
     """(h, d, runs) of slices (g, h, d, at, data) that differ inside their group g; ``at`` is added to the runs."""
 
     def run(batches):
@@ -269,11 +267,11 @@ def _indexed(slices_: DataFrame) -> DataFrame:
         size = 0
 
         def judged():
-            found = repeated_starts([r[4] for r in rows])
+            found = repeated_starts([r[4] for r in rows], least)
             hit = [(r[1], r[2], [r[3] + i for i in runs]) for r, runs in zip(rows, found) if runs]
             if hit:
                 h, d, runs = zip(*hit)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(runs, pa.list_(pa.int32()))],
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(d, pa.binary()), pa.array(runs, pa.list_(pa.int32()))],
                                                  ["h", "d", "runs"])
 
         for batch in batches:
@@ -287,46 +285,45 @@ def _indexed(slices_: DataFrame) -> DataFrame:
             yield from judged()
 
     ordered = slices_.select("g", "h", "d", "at", "data").repartition("g").sortWithinPartitions("g")
-    return ordered.mapInArrow(run, "h long, d long, runs array<int>")
+    return ordered.mapInArrow(run, "h long, d binary, runs array<int>")
 
 
-def ranges_of(data: bytes, place: int, width: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+def ranges_of(data: bytes, place: int, width: int, least: int = LEAST) -> Iterator[tuple[int, int, bytes, bytes]]:
     """Cuts the starts of a slice into ranges by their distance before the anchor: (first start, starts, core, bytes)."""
-    n, first = len(data) - LEAST + 1, 0
+    n, first = len(data) - least + 1, 0
     while first < n:
         nearest = (place - first) // width * width
         last = min(n - 1, place - nearest)
-        farthest = min(nearest + width - 1, LEAST - GRAM)
-        yield first, last - first + 1, data[max(0, place - nearest) : place - farthest + LEAST], data[first : last + LEAST]
+        farthest = min(nearest + width - 1, least - GRAM)
+        yield first, last - first + 1, data[max(0, place - nearest) : place - farthest + least], data[first : last + least]
         first = last + 1
 
 
-def _refined(slices_: DataFrame, width: int) -> DataFrame:
+def _refined(slices_: DataFrame, width: int, least: int) -> DataFrame:
     """The ranges of slices (h, d, at, place, copies, data) with 128-bit hashes of their core (c) and of their bytes (s)."""
     names = ["h", "d", "at", "place", "copies", "n", "c", "s", "data"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches):
-        digest = lambda x: hashlib.blake2b(x, digest_size=16).digest()
         for batch in batches:
             out = []
             for h, d, at, place, copies, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                for first, n, core, part in ranges_of(data, place, width):
+                for first, n, core, part in ranges_of(data, place, width, least):
                     out.append((h, d, at + first, place - first, copies, n, digest(b"%d " % ((place - first) // width) + core), digest(part), part))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     ordered = slices_.select("h", "d", "at", "place", "copies", "data")
-    return ordered.mapInArrow(run, "h long, d long, at int, place int, copies long, n int, c binary, s binary, data binary")
+    return ordered.mapInArrow(run, "h long, d binary, at int, place int, copies long, n int, c binary, s binary, data binary")
 
 
-def _marks(contents: DataFrame) -> DataFrame:
+def _marks(contents: DataFrame, least: int) -> DataFrame:
     """(h, d, runs): starts in different slices of an anchor group whose strings are equal; several rows for a slice."""
     start = F.lit(0).alias("at")
-    parts = [_indexed(contents.where("NOT hot").select(F.col("h").alias("g"), "h", "d", start, "data"))]
+    parts = [_indexed(contents.where("NOT hot").select(F.col("h").alias("g"), "h", "d", start, "data"), least)]
     large, width = contents.where("hot").select("h", "d", start, "place", "copies", "data"), 256
     while width and not large.isEmpty():
-        ranges = stored(_refined(large, width), "ranges")
+        ranges = stored(_refined(large, width, least), "ranges")
         equal = stored(ranges.groupBy("c", "s").agg(F.sum("copies").alias("copies"), F.min(F.struct("h", "d", "at")).alias("x")), "equal-ranges")
         more = ranges.join(equal.where("copies > 1").select("c", "s"), ["c", "s"], "left_semi")
         parts.append(more.select("h", "d", F.array("at", F.col("at") + F.col("n") - 1).alias("runs")))
@@ -334,7 +331,7 @@ def _marks(contents: DataFrame) -> DataFrame:
         left = equal.join(cores, "c").select("c", "differ", "copies", "x.*")
         left = stored(left.join(ranges.drop("copies", "c", "s", "n"), ["h", "d", "at"]), "open-ranges")
         small = left.where(F.col("differ") <= GROUP_SLICES)
-        parts.append(_indexed(small.select(F.xxhash64("c").alias("g"), "h", "d", "at", "data")))
+        parts.append(_indexed(small.select(F.xxhash64("c").alias("g"), "h", "d", "at", "data"), least))
         large, width = left.where(F.col("differ") > GROUP_SLICES).select("h", "d", "at", "place", "copies", "data"), width // 2
     out = parts[0]
     for part in parts[1:]:
@@ -342,11 +339,25 @@ def _marks(contents: DataFrame) -> DataFrame:
     return out
 
 
-def _spans(docs: DataFrame) -> DataFrame:
+def _merged_runs(marks: DataFrame) -> DataFrame:
+    """One row per slice: its runs of repeated starts, disjoint. A slice has fewer starts than its least string has bytes."""
+    pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(
+        F.get("runs", i).alias("a"), F.get("runs", i + 1).alias("b")))
+
+    def add(done, r):
+        last = F.element_at(done, -1)
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))))
+        return F.when((F.size(done) > 0) & (r["a"] <= last["b"] + 1), joined).otherwise(F.concat(done, F.array(r)))
+
+    every = marks.groupBy("h", "d").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pairs)))).alias("runs"))
+    return every.select("h", "d", F.aggregate("runs", F.slice("runs", F.lit(1), F.lit(1)), add).alias("runs"))
+
+
+def _spans(docs: DataFrame, least: int) -> DataFrame:
     """(__id, __key, spans) of the texts with repeated strings: runs of their starts, unsorted and overlapping."""
     small_batches(docs.sparkSession)
     rows = _keyed(docs)
-    every = stored(_slices_of(rows), "slices")
+    every = stored(_slices_of(rows, least), "slices")
     # stored, so that both sides of the joins are plain shuffles, which Spark splits where an anchor is hot
     often = stored(every.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "shared-anchors")
     shared = stored(every.join(often, "h"), "shared-slices")
@@ -357,23 +368,21 @@ def _spans(docs: DataFrame) -> DataFrame:
         F.col("x.doc_id").alias("__id"), F.col("x.tkey").alias("__key"),
         F.struct("h", "d", "copies", (F.col("differ") > GROUP_SLICES).alias("hot"), "x.place", "x.start", "x.n").alias("w"))
     by_text = wanted.groupBy("__id", "__key").agg(F.collect_list("w").alias("wanted"))  # bounded by the text's own slices
-    contents = stored(_contents(rows.join(by_text, _same_text(rows, by_text))), "slice-texts")
-    marks = _marks(contents)
-    alone = distinct.where("copies > 1").select("h", "d")
-
-    whole = shared.join(alone, ["h", "d"], "left_semi").select("doc_id", "tkey", "start", (F.col("start") + F.col("n") - 1).alias("last"))
-    ends = shared.join(marks, ["h", "d"]).select(
-        "doc_id", "tkey", "start", F.explode(F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(
-            F.get("runs", i).alias("a"), F.get("runs", i + 1).alias("b")))).alias("r"))
-    partly = ends.select("doc_id", "tkey", (F.col("start") + F.col("r.a")).alias("start"), (F.col("start") + F.col("r.b")).alias("last"))
-    return whole.unionByName(partly).groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(
-        F.collect_set(F.struct("start", "last")).alias("spans"))
-
-
-def covered_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
+    contents = stored(_contents(rows.join(by_text, _same_text(rows, by_text)), least), "slice-texts")
+    # a slice with copies is repeated from end to end, so what the index found of it adds nothing
+    copied = distinct.where("copies > 1").select("h", "d", F.array(F.struct(F.lit(0).alias("a"), (F.col("x.n") - 1).cast("int").alias("b"))).alias("runs"))
+    partly = _merged_runs(_marks(contents, least)).join(copied.select("h", "d"), ["h", "d"], "left_anti")
+    repeated = stored(copied.unionByName(partly), "repeated-slices")
+    found = shared.join(repeated, ["h", "d"]).select("doc_id", "tkey", F.transform("runs", lambda r: F.struct(
+        (F.col("start") + r["a"]).alias("start"), (F.col("start") + r["b"]).alias("last"))).alias("runs"))
+    return found.groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).agg(
+        F.array_distinct(F.flatten(F.collect_list("runs"))).alias("spans"))
+
+
+def covered_spans(spans: list[dict] | None, least: int = LEAST) -> list[tuple[int, int]]:
     """Maximal byte ranges [begin, end) covered by the strings that start at the given runs."""
     out: list[tuple[int, int]] = []
-    for a, b in sorted((s["start"], s["last"] + LEAST) for s in spans or ()):
+    for a, b in sorted((s["start"], s["last"] + least) for s in spans or ()):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
@@ -386,7 +395,7 @@ def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(ends, [*(a for a, _ in spans), len(raw)]))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
@@ -394,19 +403,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for part, texts in slices(batches):
             columns: list[list] = [[] for _ in names[1:]]
             for text, found in zip(texts, part.column(2).to_pylist()):
-                raw, spans = text.encode(), covered_spans(found)
+                raw, spans = text.encode(), covered_spans(found, least)
                 kept = kept_bytes(raw, spans)
                 for column, value in zip(columns, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())):
                     column.append(value)
             kinds = [pa.int64()] * 3 + [pa.string()]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
 
-    rows, spans = _keyed(docs), _spans(docs)
+    rows, spans = _keyed(docs), _spans(docs, least)
     return rows.join(spans, _same_text(rows, spans), "left").select("doc_id", "text", "spans").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def strip_repeats(docs: DataFrame) -> DataFrame:
+def strip_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with what stays of every text, all columns kept; ``n_chars``, if there is one, is counted again.
 
     The bytes of a character that a span cut in two are left out.
@@ -414,11 +423,11 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [kept_bytes(t.encode(), covered_spans(s)).decode(errors="ignore") if s else t
+            texts = [kept_bytes(t.encode(), covered_spans(s, least)).decode(errors="ignore") if s else t
                      for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["__row", "__kept"])
 
-    rows, spans = docs.withColumns({"__row": F.struct(*docs.columns), "tkey": F.xxhash64(text_of())}), _spans(docs)
+    rows, spans = docs.withColumns({"__row": F.struct(*docs.columns), "tkey": F.xxhash64(text_of())}), _spans(docs, least)
     row = rows.schema["__row"].dataType.simpleString()
     stripped = rows.join(spans, _same_text(rows, spans), "left").select("__row", text_of().alias("text"), "spans").mapInArrow(
         run, f"__row {row}, __kept string")

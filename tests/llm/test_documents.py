@@ -54,6 +54,24 @@ def test_repeats_in_large_groups_are_refined(spark, monkeypatch, most):
     check(by_id(run_length_index.remove_repeats(df)), brute.repeats(texts), REMOVED)
 
 
+def test_strings_whose_polynomial_hashes_agree_are_told_apart(spark):
+    """Thue-Morse strings and their complements have equal polynomials modulo 2^64; texts that share 300 bytes keep them."""
+    signs = [bin(i).count("1") % 2 for i in range(256)]
+    shared = passage(51, 60).encode()[:300].decode(errors="ignore")
+    texts = {}
+    for k, (x, y) in enumerate(itertools.combinations("abcdeXYZ", 2)):
+        both = shared[: -8] + f" {x}{y}{k:04} "
+        texts[2 * k] = both + "".join((x, y)[b] for b in signs)
+        texts[2 * k + 1] = both + "".join((y, x)[b] for b in signs)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(by_id(run_length_index.remove_repeats(df)), brute.repeats(texts), REMOVED)
+
+
+@pytest.mark.parametrize("least", [150, 250])
+def test_shorter_repeats(spark, docs, plain, least):
+    check(by_id(run_length_index.remove_repeats(docs, least)), brute.repeats(plain, least), REMOVED)
+
+
 def test_ranges_cover_a_slice():
     data = bytes(range(256)) * 3
     for n, place, width in ((273, 272, 64), (100, 150, 16), (1, 0, 256), (5, 4, 1)):
@@ -95,11 +113,11 @@ def test_matching_statistics():
 
 
 def test_slices_cover_every_start_once():
-    data = np.frombuffer(passage(11, 30_000).encode(), "u1")
+    data = passage(11, 30_000).encode()
     allowed = np.zeros(len(data), bool)
     allowed[: len(data) - run_length_index.LEAST + 1] = True
     seen = np.zeros(len(data), int)
-    for _, _, at, size, _ in run_length_index.anchored_slices(data, allowed):
+    for _, at, size, _ in run_length_index.anchored_slices(data, allowed):
         for a, n in zip(at, size):
             seen[a : a + n] += 1
     assert (seen == allowed).all()
