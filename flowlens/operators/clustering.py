@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from multiprocessing.pool import ThreadPool
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -18,7 +18,6 @@ from flowlens.operators.skew import hot_keys, label_lookup, row_salt, salted_loo
 from flowlens.session import cut_lineage, for_many_passes, stored
 
 SEED = 42
-AT_ONCE = 4  # models fitted side by side while k is searched
 
 
 def guarded_k(n: int, k: int) -> int:
@@ -63,37 +62,136 @@ def vector_centers(points: DataFrame, vector: str = "v", label: str = "label") -
     return points.groupBy(label).agg(mean.alias("__m")).select(label, vector_to_array("__m").alias("center"))
 
 
+def _first_centers(vectors: DataFrame, most: int, vector: str, seed: int) -> np.ndarray:
+    """Up to ``most`` centers in an order in which every prefix is spread out: the first is the largest cluster's, the next
+    one always the farthest from those before. Found by the library's parallel seeding over all rows."""
+    model = KMeans(k=most, featuresCol=vector, predictionCol="label", seed=seed, maxIter=1).fit(vectors)
+    centers, sizes = np.array(model.clusterCenters()), model.summary.clusterSizes
+    order = [int(np.argmax(sizes[: len(centers)]))]
+    far = ((centers - centers[order[0]]) ** 2).sum(1)
+    while len(order) < len(centers):
+        order.append(int(np.argmax(far)))
+        far = np.minimum(far, ((centers - centers[order[-1]]) ** 2).sum(1))
+        far[order] = -1.0
+    return centers[order]
+
+
+def _batches_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _nearest(points: np.ndarray, centers: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Label and squared distance of every point for every set of centers, from one product with all centers."""
+    every = np.concatenate(centers)
+    square = (every * every).sum(1) - 2 * points @ every.T
+    own, at = (points * points).sum(1), 0
+    for c in centers:
+        part = square[:, at : at + len(c)]
+        label = part.argmin(1)
+        yield label, np.maximum(own + part[np.arange(len(points)), label], 0.0)
+        at += len(c)
+
+
+def _moments(points: DataFrame, centers: list[np.ndarray]) -> list[np.ndarray]:
+    """For every set of centers a row per label: members, squared distances to the center, squared lengths, sums.
+
+    One scan for all sets; a task sends on a row per label, and so many reach the driver.
+    """
+    width = centers[0].shape[1]
+    columns = ["n", "cost", "square", *(f"s{i}" for i in range(width))]
+
+    def run(batches):
+        total = [np.zeros((len(c), 3 + width)) for c in centers]
+        for x in _batches_of(batches, width):
+            own = (x * x).sum(1)
+            for table, (label, square) in zip(total, _nearest(x, centers)):
+                for k, values in enumerate((None, square, own, *x.T)):
+                    table[:, k] += np.bincount(label, values, len(table))
+        rows = np.concatenate(total)
+        which = np.repeat(np.arange(len(centers)), [len(c) for c in centers])
+        label = np.concatenate([np.arange(len(c)) for c in centers])
+        yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(label), *(pa.array(rows[:, i]) for i in range(3 + width))],
+                                         ["which", "label", *columns])
+
+    schema = "which long, label long, " + ", ".join(f"{c} double" for c in columns)
+    out = [np.zeros((len(c), 3 + width)) for c in centers]
+    for row in points.mapInArrow(run, schema).groupBy("which", "label").agg(*[F.sum(c) for c in columns]).collect():
+        out[row[0]][row[1]] = row[2:]
+    return out
+
+
+def kmeans_sweep(vectors: DataFrame, ks: list[int], vector: str = "vector", seed: int = SEED, max_iter: int = 10,
+                 tol: float = 1e-4) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(centers, moments) of k-means for every k, all of them in one scan of the rows a round.
+
+    Every k starts from as many of the same spread-out centers. The moments belong to the centers given with them.
+    """
+    first = _first_centers(vectors, max(ks), vector, seed)
+    points = vectors.select(vector_to_array(vector).alias("x"))
+    centers = [first[:k].copy() for k in ks]
+    found = _moments(points, centers)
+    for _ in range(max_iter):
+        moved = 0.0
+        for c, m in zip(centers, found):
+            some = m[:, 0] > 0
+            new = m[some, 3:] / m[some, :1]
+            moved = max(moved, float(((new - c[some]) ** 2).sum(1).max()))
+            c[some] = new
+        if moved == 0.0:
+            break
+        found = _moments(points, centers)
+        if moved <= tol * tol:
+            break
+    return list(zip(centers, found))
+
+
 def elbow_k(vectors: DataFrame, vector: str = "vector", largest: int = 20, seed: int = SEED) -> int:
     """First k from 2 upward whose successor raises the cost; 2 when the cost falls all the way.
 
-    A few values of k are fitted side by side, because one fit on cached rows leaves most of a cluster idle. No k above the
-    number of rows less one is tried.
+    All k are fitted together. No k above the number of rows less one is tried.
     """
-    largest = max(2, min(largest, vectors.limit(largest + 1).count() - 1))
-
-    def cost(k: int) -> float:
-        model = KMeans(k=k, featuresCol=vector, predictionCol="label", seed=seed, maxIter=10).fit(vectors)
-        return model.summary.trainingCost
-
-    before = None
-    with ThreadPool(AT_ONCE) as pool:
-        for start in range(2, largest + 1, AT_ONCE):
-            ks = range(start, min(start + AT_ONCE, largest + 1))
-            for k, now in zip(ks, pool.map(cost, ks)):
-                if before is not None and now > before:
-                    return k - 1
-                before = now
+    n = vectors.limit(largest + 1).count()
+    if n < 2:
+        return 2
+    ks = list(range(2, max(2, min(largest, n - 1)) + 1))
+    costs = [float(m[:, 1].sum()) for _, m in kmeans_sweep(vectors, ks, vector, seed)]
+    for k, before, now in zip(ks, costs, costs[1:]):
+        if now > before:
+            return k
     return 2
 
 
 def silhouette_by_k(vectors: DataFrame, ks: list[int], vector: str = "vector", seed: int = SEED) -> DataFrame:
-    """Silhouette of every k; the best one is the largest."""
-    judge = ClusteringEvaluator(featuresCol=vector, predictionCol="label", metricName="silhouette")
-    rows = []
-    for k in ks:
-        model = KMeans(k=k, featuresCol=vector, predictionCol="label", seed=seed).fit(vectors)
-        rows.append((k, float(judge.evaluate(model.transform(vectors)))))
-    return vectors.sparkSession.createDataFrame(rows, "k int, silhouette double")
+    """Silhouette of every k (squared Euclidean distance); the best one is the largest.
+
+    The mean squared distance of a row to a cluster follows from the cluster's size, sum and squared lengths, so one scan
+    after the fits gives the silhouettes of all k.
+    """
+    fits = kmeans_sweep(vectors, ks, vector, seed, max_iter=20)
+    centers, moments = [c for c, _ in fits], [m for _, m in fits]
+    width = centers[0].shape[1]
+
+    def run(batches):
+        total, n = np.zeros(len(centers)), 0
+        for x in _batches_of(batches, width):
+            own, row = (x * x).sum(1), np.arange(len(x))
+            n += len(x)
+            for k, ((label, _), m) in enumerate(zip(_nearest(x, centers), moments)):
+                size = np.maximum(m[:, 0], 1)
+                away = own[:, None] + m[:, 2] / size - 2 * x @ (m[:, 3:] / size[:, None]).T
+                away[:, m[:, 0] == 0] = np.inf
+                inside = away[row, label] * m[label, 0] / np.maximum(m[label, 0] - 1, 1)
+                away[row, label] = np.inf
+                other = away.min(1)
+                best = np.maximum(inside, other)
+                value = np.where((m[label, 0] > 1) & (best > 0) & np.isfinite(other), (other - inside) / np.where(best > 0, best, 1), 0.0)
+                total[k] += value.sum()
+        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(total), pa.array([n] * len(ks), pa.int64())], ["k", "total", "n"])
+
+    points = vectors.select(vector_to_array(vector).alias("x"))
+    return points.mapInArrow(run, "k int, total double, n long").groupBy("k").agg((F.sum("total") / F.sum("n")).alias("silhouette"))
 
 
 def mark_small_clusters(

@@ -15,7 +15,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.session import for_many_passes, shared_folder, stored
+from flowlens.operators.top_products import top_inner_products
+from flowlens.session import for_many_passes, scratch_path, shared_folder, stored
 
 SEED = 42
 FLOW_FEATURES = ["spandtime", "tcp", "udp", "packernum", "bytesize"]
@@ -137,10 +138,16 @@ def url_pipeline(params: TextParams = TextParams()) -> Pipeline:
     )
 
 
-def url_fit(labelled: DataFrame, params: TextParams = TextParams()) -> PipelineModel:
-    """``labelled``: label (0 attack, 1 normal), urltext."""
+def url_fit(labelled: DataFrame, params: TextParams = TextParams(), path: str | None = None) -> PipelineModel:
+    """``labelled``: label (0 attack, 1 normal), urltext.
+
+    The model is stored (below the shared folder, if no path is given) and comes back as it is read from there: what scores
+    carries nothing of its training along to the executors.
+    """
     rows = labelled.select(F.col("label").cast("double").alias("label"), "urltext")
-    return fitted(url_pipeline(params), rows)
+    path = path or scratch_path(labelled.sparkSession, "url-model")
+    fitted(url_pipeline(params), rows).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def url_score(model: PipelineModel, texts: DataFrame) -> DataFrame:
@@ -175,9 +182,10 @@ def als_fit(indexed: DataFrame, implicit: bool = True, params: AlsParams = AlsPa
 
 
 def top_items(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
-    """Top-k items per user as rows (ip_index, host_index, score)."""
-    lists = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
-    return lists.select("ip_index", F.inline("recommendations")).withColumnRenamed("rating", "score")
+    """Top-k items per user as rows (ip_index, host_index, score), from the factors of the model."""
+    own = model.userFactors if users is None else model.userFactors.join(users.select(F.col("ip_index").alias("id")).distinct(), "id", "left_semi")
+    top = top_inner_products(own.withColumnRenamed("features", "v"), model.itemFactors.withColumnRenamed("features", "v"), k)
+    return top.select(F.col("user").cast("int").alias("ip_index"), F.col("item").cast("int").alias("host_index"), F.col("score").cast("float").alias("score"))
 
 
 def recommend_by_day_part(indexed: DataFrame, params: AlsParams = AlsParams()) -> DataFrame:

@@ -87,9 +87,18 @@ def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -
 
     ``by`` is a column that differs between the rows of a group.
 
-    The aggregates are pre-aggregated before the shuffle. Hot groups (at most ``1 / HOT_SHARE`` of them) are looked up
-    in a broadcast table and their rows are spread by salt; the others meet their aggregates in a shuffled join.
+    The aggregates are pre-aggregated before the shuffle. With adaptive execution the rows meet them in one shuffled join,
+    whose hot partitions Spark splits (the salt that is always 0 makes the aggregate's side a plain shuffle). Without it hot
+    groups (at most ``1 / HOT_SHARE`` of them) are looked up in a broadcast table and their rows are spread by salt; the
+    others meet their aggregates in a shuffled join.
     """
+    if splits_skewed_joins(df.sparkSession):
+        met = [F.col(f"__g_{k}") for k in keys]
+        groups = df.groupBy(*keys).agg(*[c.alias(f"__g_{n}") for n, c in stats.items()]).withColumnsRenamed({k: f"__g_{k}" for k in keys})
+        groups = groups.withColumn("__g_salt", row_salt_of(F.xxhash64(*met), F.lit(1)))
+        rows = df.withColumn("__salt", row_salt(by, F.lit(1)))
+        joined = rows.join(groups, _same([F.col(k) for k in keys], met) & (F.col("__salt") == F.col("__g_salt")))
+        return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"__g_{s}").alias(s) for s in stats])
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in stats.items()])
     hot_from = F.greatest(F.lit(HOT_ROWS), grouped.agg(F.sum("__n") * HOT_SHARE).scalar())
 

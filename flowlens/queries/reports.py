@@ -227,7 +227,7 @@ def url_attacks(spark, d):
     texts = tokenize_uris(audited.select("id", "uri"))
     labelled = texts.select(F.when(F.col("uri").contains("page="), 0.0).otherwise(1.0).alias("label"), "urltext")
     path = scratch_path(spark, "url-model")
-    writers.save_model(models.url_fit(labelled), path)
+    models.url_fit(labelled, path=path)
     out = jobs.url_attacks(audited, readers.load_model(path))
     return out.withColumn("date", ff.time_text(F.col("date")))
 

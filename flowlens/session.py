@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and benches on one machine; a cluster brings its own, with ``spark.checkpoint.dir`` set."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", scratch: str | None = None) -> SparkSession:
+    """Session for tests and benches on one machine; a cluster brings its own, with ``spark.checkpoint.dir`` set.
+
+    ``scratch`` is the folder for intermediate tables where the session names none.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("flowlens")
@@ -27,8 +29,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowlens-"))  # all tasks of a local master run here
+    if scratch and spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch)
     return spark
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -77,7 +78,7 @@ def main(argv):
     sf = argv[0] if argv else "0.01"
     names = argv[1:]
     sf_dir = f"{DATA}/sf{sf}"
-    spark = local_session()
+    spark = local_session(scratch=tempfile.mkdtemp(prefix="flowlens-"))
     con = duck(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = 0

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ SF = os.environ.get("TEST_SF", "0.001")
 def spark():
     from flowlens.session import local_session
 
-    return local_session("8", shuffle_partitions=4, memory="6g")
+    return local_session("8", shuffle_partitions=4, memory="6g", scratch=tempfile.mkdtemp(prefix="flowlens-"))
 
 
 @pytest.fixture(scope="session")

@@ -4,12 +4,15 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.fpm import FPGrowth
 from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
 from pyspark.sql import functions as F
 
-from flowlens.operators import clustering, indexing, itemsets, models
+from flowlens.operators import clustering, indexing, itemsets, models, top_products
 from flowlens.operators import similarity as sim
 from flowlens.plans import jobs
 from flowlens.queries import verdicts
@@ -271,3 +274,139 @@ def test_closed_sets_hold_every_frequent_set(spark, sf_dir):
         for host in r.rule.split("#"):
             mask &= own[host]
         assert rules[(mask, r.recommend)] == pytest.approx(r.confidence)
+
+
+def plain_closed(masks: list[int], need: int) -> set[int]:
+    found: set[int] = set()
+    for m in masks:
+        found |= {m & other for other in found} | {m}
+    return {m for m in found if m.bit_count() >= need}
+
+
+@pytest.mark.parametrize("hours, n, need", [(24, 9, 3), (24, 14, 8), (10, 300, 2), (12, 4000, 5), (6, 40, 1), (24, 1, 0), (24, 0, 4)])
+def test_closed_masks(hours, n, need):
+    rnd = random.Random(n)
+    masks = [rnd.getrandbits(hours) | rnd.getrandbits(hours) for _ in range(n)]
+    got = itemsets.closed_masks(np.array(masks, "i4"), need).tolist()
+    assert len(got) == len(set(got)) and set(got) == plain_closed([m for m in masks if m.bit_count() >= need], need)
+
+
+def test_closed_masks_of_an_address_with_very_many_hosts():
+    """10^5 masks of 24 hours: one pass over the lattice, whose result is closed under intersection and holds every mask."""
+    rnd = np.random.default_rng(4)
+    masks = np.unique(rnd.integers(0, 1 << 24, 260_000) | rnd.integers(0, 1 << 24, 260_000)).astype("i4")
+    masks = masks[np.bitwise_count(masks) >= 17]
+    assert len(masks) > 100_000
+    got = itemsets.closed_masks(masks, 17)
+    assert np.isin(masks, got).all() and np.bitwise_count(got).min() == 17
+    pairs = masks[rnd.integers(0, len(masks), 50_000)] & masks[rnd.integers(0, len(masks), 50_000)]
+    assert np.isin(pairs[np.bitwise_count(pairs) >= 17], got).all()
+    some = got[:: len(got) // 200]
+    for m in some.tolist():
+        assert int(np.bitwise_and.reduce(masks[(masks & m) == m])) == m
+
+
+def test_pairs_of_masks_in_many_blocks(spark, monkeypatch):
+    rnd = random.Random(8)
+    visits = [(f"10.0.0.{i}", f"h{h}", hour) for i in range(3) for h in range(60) for hour in range(24) if rnd.random() < 0.7] + [(None, "x", 1)]
+    masks = itemsets.basket_masks(spark.createDataFrame(visits, "ip string, host string, hour int"), 0.7).cache()
+    closed = itemsets.closed_sets(masks)
+    want = {(r.ip, r.rule, r.recommend, r.support, r.confidence) for r in itemsets.closed_rules(closed, masks, 0.8).collect()}
+    members = {(r.ip, r.mask, r.host) for r in itemsets.set_members(closed, masks).collect()}
+    own = {}
+    for r in masks.collect():
+        own.setdefault(r.ip, {})[r.host] = r.mask
+    assert {(r.ip, r.mask) for r in closed.collect()} == {(ip, m) for ip, of in own.items() for m in plain_closed(list(of.values()), 17)}
+    assert members == {(ip, m, h) for ip, m in {x[:2] for x in members} for h, o in own[ip].items() if o & m == m}
+    monkeypatch.setattr(itemsets, "BLOCK_MASKS", 16)
+    monkeypatch.setattr(itemsets, "BATCH", 100)
+    again = itemsets.closed_sets(masks)
+    assert {(r.ip, r.rule, r.recommend, r.support, r.confidence) for r in itemsets.closed_rules(again, masks, 0.8).collect()} == want and want
+    for ip, rule, host, support, confidence in want:
+        if own[ip][host] & rule != rule:
+            assert confidence == pytest.approx((own[ip][host] & rule).bit_count() / rule.bit_count()) and support == rule.bit_count()
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.7, 0.9])
+def test_similarity_where_most_members_share_a_key(spark, monkeypatch, threshold):
+    """A host that 60 % of the addresses visit, weights of all sizes, blocks of a few rows: the plain product decides."""
+    rnd = random.Random(12)
+    entries = [(f"ip{i:03}", f"h{h:02}", rnd.choice([1.0, 2.0, 9.0, 40.0])) for i in range(150) for h in range(30)
+               if rnd.random() < (0.6 if h == 0 else 0.4 if h < 3 else 0.06)]
+    df = spark.createDataFrame(entries, "ip string, host string, count double")
+    want = {p: s for p, s in brute_cosine([(a, b, c) for a, b, c in entries]).items() if s >= threshold}
+    got = {(r.left, r.right): r.sim for r in sim.cosine_pairs_above(df, "ip", "host", "count", threshold).collect()}
+    assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in want)
+
+
+def blobs(spark, n=900, seed=3):
+    rnd = np.random.default_rng(seed)
+    at = np.array([[0, 0, 0], [10, 0, 0], [0, 10, 0], [0, 0, 10], [10, 10, 10]], float)
+    x = at[rnd.integers(0, 5, n)] + rnd.normal(0, 0.6, (n, 3))
+    return clustering.assemble(spark.createDataFrame(x.tolist(), "a double, b double, c double"), ["a", "b", "c"]).cache(), x
+
+
+def test_sweep_is_kmeans_for_every_k(spark):
+    """Moments belong to the centers, centers are the means of their rows, and k = 5 finds the five groups."""
+    vectors, x = blobs(spark)
+    ks = list(range(2, 9))
+    for k, (centers, moments) in zip(ks, clustering.kmeans_sweep(vectors, ks, max_iter=40)):
+        square = ((x[:, None] - centers) ** 2).sum(2)
+        label = square.argmin(1)
+        assert moments[:, 0].tolist() == np.bincount(label, minlength=k).tolist()
+        assert moments[:, 1].sum() == pytest.approx(square.min(1).sum()) and moments[:, 2].sum() == pytest.approx((x * x).sum())
+        for i in range(k):
+            assert centers[i] == pytest.approx(x[label == i].mean(0), abs=1e-3)
+        theirs = KMeans(k=k, featuresCol="vector", predictionCol="label", seed=1).fit(vectors).summary.trainingCost
+        assert moments[:, 1].sum() <= 2.5 * theirs
+        if k == 5:
+            assert moments[:, 1].sum() == pytest.approx(theirs, rel=0.01)
+
+
+def test_silhouette_of_all_k_equals_the_evaluator(spark):
+    vectors, x = blobs(spark, 400)
+    got = {r.k: r.silhouette for r in clustering.silhouette_by_k(vectors, [2, 3, 5, 7]).collect()}
+    for k, (centers, _) in zip([2, 3, 5, 7], clustering.kmeans_sweep(vectors, [2, 3, 5, 7], max_iter=20)):
+        label = ((x[:, None] - centers) ** 2).sum(2).argmin(1)
+        labelled = clustering.assemble(spark.createDataFrame([(*p, float(i)) for p, i in zip(x.tolist(), label.tolist())], "a double, b double, c double, label double"), ["a", "b", "c"])
+        assert got[k] == pytest.approx(ClusteringEvaluator(featuresCol="vector", predictionCol="label").evaluate(labelled), abs=1e-9)
+    assert max(got, key=got.get) == 5
+
+
+def test_elbow_of_few_rows(spark):
+    for rows in ([[1.0, 2.0, 3.0]], [[1.0, 2.0, 3.0]] * 5, [[float(i), 0.0, 0.0] for i in range(4)]):
+        df = clustering.assemble(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"])
+        assert 2 <= clustering.elbow_k(df) <= 20
+
+
+@pytest.mark.parametrize("k, blocks", [(1, (7, 5)), (10, (64, 16)), (400, (50, 30))])
+def test_top_products_stop_early_and_are_exact(spark, monkeypatch, k, blocks):
+    """Lengths of all sizes, rows that repeat and rows of zeros; many blocks, so that users stop in different rounds."""
+    monkeypatch.setattr(top_products, "USER_BLOCK", blocks[0])
+    monkeypatch.setattr(top_products, "ITEM_BLOCK", blocks[1])
+    rnd = np.random.default_rng(k)
+    users = rnd.normal(0, 1, (90, 6)) * rnd.lognormal(0, 2, (90, 1))
+    items = rnd.normal(0, 1, (300, 6)) * rnd.lognormal(0, 2, (300, 1))
+    users[3], items[7], items[8] = 0, 0, items[9]
+    frame = lambda x: spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id int, v array<double>")
+    got = {}
+    for r in top_products.top_inner_products(frame(users), frame(items), k).collect():
+        got.setdefault(r.user, []).append((-r.score, r.item))
+    score = users @ items.T
+    for u in range(90):
+        want = sorted((-s, i) for i, s in enumerate(score[u].tolist()))[:k]
+        assert [i for _, i in sorted(got[u])] == [i for _, i in want] and [s for s, _ in sorted(got[u])] == pytest.approx([s for s, _ in want])
+    assert top_products.top_inner_products(frame(users).limit(0), frame(items), k).count() == 0
+
+
+def test_top_items_equal_the_library(spark, ratings):
+    indexed = indexing.index_users_items(ratings).cache()
+    model = models.als_fit(indexed, True, models.AlsParams(rank=5, iterations=2))
+    ours, theirs = {}, {}
+    for r in models.top_items(model, 4).collect():
+        ours.setdefault(r.ip_index, []).append(r.score)
+    for r in model.recommendForAllUsers(4).collect():
+        theirs[r.ip_index] = sorted((x.rating for x in r.recommendations), reverse=True)
+    assert ours.keys() == theirs.keys()
+    for u in ours:
+        assert sorted(ours[u], reverse=True) == pytest.approx(theirs[u], rel=1e-4, abs=1e-6)
