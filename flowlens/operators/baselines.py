@@ -27,6 +27,10 @@ def day_baseline(flows: DataFrame) -> DataFrame:
     fine = flows.groupBy(F.col("srcip").alias("name"), "proto", "hour").agg(
         F.max(F.col("packernum").cast("double")).alias("pk"), F.max(F.col("bytesize").cast("double")).alias("by")
     )
+    return _day_maxima(fine)
+
+
+def _day_maxima(fine: DataFrame) -> DataFrame:
     levels = fine.groupingSets([["name", "proto", "hour"], ["name", "hour"]], "name", "proto", "hour").agg(
         F.max("pk").alias("connectavg"), (F.max("by") / KB).alias("netflowavg"), F.grouping_id().alias("__g")
     )
@@ -60,9 +64,15 @@ def week_baseline(flows: DataFrame) -> DataFrame:
 
     The flows are read once, for the fine level; the coarse level and the global means are merged from its rows.
     """
-    fine = flows.groupBy(F.col("srcip").alias("name"), "proto", "hour").agg(
-        *fine_moments(pk=F.col("packernum").cast("double"), by=F.col("bytesize").cast("double") / KB))
-    fine = cut_lineage(fine)
+    return _week_bounds(cut_lineage(flows.groupBy(F.col("srcip").alias("name"), "proto", "hour").agg(*_moments())))
+
+
+def _moments() -> list[Column]:
+    return fine_moments(pk=F.col("packernum").cast("double"), by=F.col("bytesize").cast("double") / KB)
+
+
+def _week_bounds(fine: DataFrame) -> DataFrame:
+    """Bounds of both levels from moments of the fine level; a key may have several rows, one a day."""
     overall = fine.agg(F.struct(merged_mean("pk").alias("pk"), merged_mean("by").alias("by"))).scalar()
     levels = fine.groupingSets([["name", "proto", "hour"], ["name", "hour"]], "name", "proto", "hour").agg(
         (merged_mean("pk") + 3 * merged_deviation("pk")).alias("up_pk"), (merged_mean("by") + 3 * merged_deviation("by")).alias("up_by"),
@@ -76,6 +86,29 @@ def week_baseline(flows: DataFrame) -> DataFrame:
     )
 
 
+def store_days(flows: DataFrame, path: str) -> None:
+    """Partials of every (day, ip, proto, hour) in a table partitioned by day: counts, means, squared deviations, maxima.
+
+    Days that the flows hold replace their own partitions, so a run for one day reads and writes that day only, and a run that
+    is repeated leaves the same store.
+    """
+    day = flows.groupBy(F.to_date("recordtime").alias("date"), F.col("srcip").alias("name"), "proto", "hour").agg(
+        *_moments(), F.max(F.col("packernum").cast("double")).alias("pk_max"), F.max(F.col("bytesize").cast("double")).alias("by_max"))
+    # a day's partials are few beside its flows: few files a day
+    day.repartition("date", F.pmod(F.xxhash64("name"), F.lit(8))).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
+def week_from_store(days: DataFrame) -> DataFrame:
+    """``week_baseline`` from the stored days it is given (a filter on ``date`` reads only their partitions)."""
+    return _week_bounds(cut_lineage(days.drop("date", "pk_max", "by_max")))
+
+
+def day_from_store(day: DataFrame) -> DataFrame:
+    """``day_baseline`` from one stored day, or the maxima over several."""
+    return _day_maxima(day.select("name", "proto", "hour", F.col("pk_max").alias("pk"), F.col("by_max").alias("by")))
+
+
 def baseline_report(baseline: DataFrame, kind: str) -> DataFrame:
     """Stored layout: fields a baseline kind does not define carry its sentinel (-3 for days, -2 for weeks)."""
     sentinel = F.lit(-3.0 if kind == "daybaseline" else -2.0)

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from flowlens.functions import flows as ff
-from flowlens.operators import models
 from flowlens.operators import aggregates as agg
+from flowlens.operators import baselines, models
 from flowlens.plans import jobs
 from flowlens.queries.parts import SEVEN, open_lists, part
 from flowlens.queries.registry import query
@@ -174,14 +174,29 @@ def flow_baseline_day(spark, d):
     return _report(spark, d, "day", "netflowavg")
 
 
-@query("flow_baseline_week", """
+FLOW_BASELINE_WEEK = """
 SELECT name, 'weekbaseline' AS "index", proto, hour AS date, CAST(-2 AS DOUBLE) AS connectdown, round(connectup, 6) AS connectup,
        CAST(-2 AS DOUBLE) AS netflowdown, round(netflowup, 6) AS netflowup, CAST(-2 AS DOUBLE) AS connectavg, CAST(-2 AS DOUBLE) AS netflowavg,
-       baseline FROM history_week""", "history_week")
+       baseline FROM history_week"""
+
+
+@query("flow_baseline_week", FLOW_BASELINE_WEEK, "history_week")
 def flow_baseline_week(spark, d):
     return _report(spark, d, "week", "connectup", "netflowup")
 
 
+@query("flow_baseline_stored_week", FLOW_BASELINE_WEEK, "history_week")
+def flow_baseline_stored_week(spark, d):
+    """The same bounds from a store of daily partials, each day written by a run of its own."""
+    path, history = scratch_path(spark, "days"), split_flows(spark, d)[1]
+    baselines.store_days(history, path)
+    last = history.agg(F.to_date(F.max("recordtime"))).scalar()
+    baselines.store_days(history.where(F.to_date("recordtime") == last), path)  # the last day comes again and replaces itself
+    week = baselines.week_from_store(spark.read.parquet(path))
+    out = baselines.baseline_report(week, "weekbaseline")
+    return out.withColumns({c: F.round(c, 6) for c in ("connectup", "netflowup")})
+
+
 part("repeat_sized", 'SELECT *, count(*) OVER (PARTITION BY srcip, dstip, proto, recordtime) AS flownums FROM repeats WHERE prediction > 0', "repeats")
 
 

@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -7,8 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens import schemas
+from flowlens.operators import baselines
+from flowlens.operators.assets import known_assets
+from flowlens.plans import jobs
+from flowlens.sources import fixtures as fx
 from flowlens.sources import readers, writers
 from flowlens.sources.readers import Source
+from flowlens.streaming.new_assets import stream_new_assets
 
 
 def test_catalog_schemas():
@@ -104,3 +110,41 @@ def test_shared_folder_is_the_sessions(spark):
 
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_stream_of_new_assets_keeps_state_over_restarts(spark, sf_dir, tmp_path):
+    """Files arrive in four runs, each a query that starts from the checkpoint: every address and side comes out once."""
+    flows = fx.flows(spark, sf_dir)
+    known = known_assets(fx.asset_register(spark, sf_dir), fx.assets_found(spark, sf_dir))
+    schema = flows.schema
+    counts = []
+    for part in range(4):
+        rows = flows.where(F.pmod(F.xxhash64("row"), F.lit(4)) <= part) if part % 2 else flows.where(F.pmod(F.xxhash64("row"), F.lit(4)) == part)
+        rows.coalesce(2).write.mode("append").parquet(str(tmp_path / "in"))
+        arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = stream_new_assets(arriving, known, fx.ASSET_RANGES, str(tmp_path / "out"), str(tmp_path / "state"))
+        query.awaitTermination()
+        counts.append(spark.read.parquet(str(tmp_path / "out")).count())
+        # the state holds the reported addresses, nothing of the flows
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == counts[-1]
+    out = spark.read.parquet(str(tmp_path / "out")).select("ip", "side").collect()
+    want = jobs.new_asset_report(flows, fx.asset_register(spark, sf_dir), fx.assets_found(spark, sf_dir), fx.ASSET_RANGES).select("ip", "side").distinct().collect()
+    assert sorted(map(tuple, out)) == sorted(map(tuple, want)) and out and counts == sorted(counts)
+
+
+def test_daily_store_replaces_only_the_days_it_gets(spark, sf_dir, tmp_path):
+    flows, path = fx.flows(spark, sf_dir).where("srcip IS NOT NULL"), str(tmp_path / "days")
+    baselines.store_days(flows, path)
+    days = [r.date for r in spark.read.parquet(path).select("date").distinct().orderBy("date").collect()]
+    files = lambda: {f"{p.parent.name}/{p.name}" for p in (tmp_path / "days").rglob("*.parquet")}
+    before = files()
+    baselines.store_days(flows.where(F.to_date("recordtime") == days[-1]), path)
+    assert {f.split("/")[0] for f in before ^ files()} == {f"date={days[-1]}"}
+    some = spark.read.parquet(path).where(F.col("date").isin(days[:3]))
+    assert re.search(r"PartitionFilters: \[[^\]]*date", some._jdf.queryExecution().executedPlan().toString())
+    raw = flows.where(F.to_date("recordtime").isin(days[:3]))
+    keys = ["name", "proto", "hour", "baseline"]
+    for stored_, plain, columns in ((baselines.week_from_store(some), baselines.week_baseline(raw), ["connectup", "netflowup"]),
+                                    (baselines.day_from_store(some), baselines.day_baseline(raw), ["connectavg", "netflowavg"])):
+        a, b = ({tuple(r[k] for k in keys): [r[c] for c in columns] for r in df.collect()} for df in (stored_, plain))
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
