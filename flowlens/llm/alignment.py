@@ -22,35 +22,51 @@ rows are documents of their own; null ids stay null; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import re
+import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import slices, small_batches, stored_with, text_of
-from flowlens.llm.encoding import LATIN_WORD, Chunks, byte_letters, encoder, spaced_chunks
+from flowlens.llm.common import small_batches, stored_with, text_of
+from flowlens.llm.encoding import LATIN_WORD, TWO_SPACES, Chunks, byte_letters, encoder, spaced_chunks
 from flowlens.llm.perfect_hash import MinimalHash
 from flowlens.session import stored
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Chunks of a block whose links are spread out at a time.
+STEP = 1 << 17
 #: Pairs of one shard, about; its vector of counts has as many places.
 SHARD_PAIRS = 1 << 15
+#: Characters of the chunks a worker remembers; an alignment takes twice the memory of a chunk's ids.
+CACHE_CHARS = 3_000_000
 #: Rows that a leaf adds into one vector, about, and vectors added at a time above.
 LEAF_ROWS, FAN = 1 << 18, 8
-#: Distinct pairs a task gathers before it sends them on.
-MOST_GATHERED = 400_000
-
 _KEY = "\0"
-
-
-class Aligned:
-    """Alignment of a chunk: tokens of either, groups as text, and links as pairs of ids, first id in the upper half."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
+#: A mark behind a letter and before white space: both tokenizers end a token before it.
+_MARK_AFTER_WORD = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])(?=[ \n]|$)")
+_LETTER_AND_MARK = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]")
+#: Stands before a chunk that continues the one before it.
+_GOES_ON = "\1"
+_APART = _GOES_ON + "\n"
+
+
+_HEAD = struct.Struct("<4I")
+_EMPTY = _HEAD.pack(0, 0, 0, 0)
+
+
+def aligned(a: list[int], b: list[int], size_a: list[int], size_b: list[int], names: list[str]) -> bytes:
+    """Alignment of a chunk in one small object, for the cache: numbers of tokens of either, of groups and of links; the links
+    as pairs of ids (first id in the upper half); the groups as text. ``names``: the ids as text.
+    """
+    if len(a) == 1 or len(b) == 1:
+        links = [x << 32 | y for x in a for y in b]
+        groups = [",".join([names[x] for x in a]) + "|" + ",".join([names[x] for x in b])]
+    else:
         groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
         end_a, end_b, n = size_a[0], size_b[0], len(a)
         while True:
@@ -63,13 +79,64 @@ class Aligned:
                 end_b += size_b[j]
             else:
                 i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
+                groups.append(",".join([names[x] for x in a[from_a:i]]) + "|" + ",".join([names[x] for x in b[from_b:j]]))
                 from_a, from_b = i, j
                 if i == n:
                     break
                 end_a += size_a[i]
                 end_b += size_b[j]
-        self.n_a, self.n_b, self.n_groups, self.groups, self.links = len(a), len(b), len(groups), ";".join(groups), links
+    return _HEAD.pack(len(a), len(b), len(groups), len(links)) + array("Q", links).tobytes() + ";".join(groups).encode()
+
+
+def groups_of(chunk: bytes) -> bytes:
+    return chunk[_HEAD.size + 8 * _HEAD.unpack_from(chunk)[3] :]
+
+
+class Lines:
+    """Aligned texts: different chunks, and the chunks of every text by number; a text without tokens has none."""
+
+    def __init__(self, chunks: list[bytes], number: np.ndarray, bounds: list[tuple[int, int]]):
+        self.chunks, self.number, self.bounds = chunks, number, bounds
+        head = np.frombuffer(b"".join([c[: _HEAD.size] for c in chunks]), "<u4").reshape(-1, 4).astype("i8")
+        self.n_a, self.n_b, self.n_groups, self.n_links = head.T
+        ends = (_HEAD.size + 8 * self.n_links).tolist()
+        self.links = np.frombuffer(b"".join([c[_HEAD.size : e] for c, e in zip(chunks, ends)]), "<i8")
+
+    def sums(self, *of_chunk: np.ndarray) -> list[np.ndarray]:
+        """For every text the sums of what its chunks have."""
+        at = np.array(self.bounds, "i8").reshape(-1, 2)
+        return [(total := np.r_[0, np.cumsum(x[self.number])])[at[:, 1]] - total[at[:, 0]] for x in of_chunk]
+
+    def per_link(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the links of every chunk."""
+        total, ends = np.r_[0, np.cumsum(values)], np.cumsum(self.n_links)
+        return total[ends] - total[ends - self.n_links]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Different links, and the number of texts that have each."""
+        at = np.array(self.bounds, "i8").reshape(-1, 2)
+        text = np.repeat(np.arange(len(at)), at[:, 1] - at[:, 0])
+        inside = np.concatenate([self.number[b:e] for b, e in self.bounds]) if len(at) else self.number[:0]
+        held = np.unique(text * max(1, len(self.chunks)) + inside)  # a chunk counts once a text
+        text, chunk = np.divmod(held, max(1, len(self.chunks)))
+        pair, kind = np.unique(self.links, return_inverse=True)
+        size, ends = self.n_links[chunk], np.cumsum(self.n_links)
+        shift = (ends - self.n_links)[chunk] - (np.cumsum(size) - size)
+        found = np.zeros(len(pair), "i8")
+        for b in range(0, len(size), STEP):  # some chunks at a time, but a text's links together below
+            e = min(b + STEP, len(size))
+            while 0 < e < len(size) and text[e] == text[e - 1]:
+                e += 1
+            if b and text[b] == text[b - 1]:  # taken with the part before
+                b = int(np.searchsorted(text, text[b], "right"))
+            if b >= e:
+                continue
+            n = size[b:e]
+            first = int(size[:b].sum())
+            link = kind[np.repeat(shift[b:e], n) + first + np.arange(int(n.sum()))]
+            own = np.unique(np.repeat(text[b:e], n) * len(pair) + link)
+            found += np.bincount(own % len(pair), minlength=len(pair))
+        return pair, found
 
 
 class Aligner:
@@ -98,12 +165,20 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(spelled)]
         if any(" " in p.strip("▁").replace("▁", " ") or "\n" in p or p.strip("▁") and p.endswith("▁") for p in spelled):
             raise ValueError("a piece spans the place where texts are cut")
+        #: Whether words and the marks behind them are chunks of their own.
+        self.cuts_marks = not any(map(_LETTER_AND_MARK.search, spelled))
         self.lone_space = self.pieces.encode("a ")[len(self.pieces.encode("a")):]
-        self.cache = Chunks(self._aligned)
+        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.names = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+        #: Chunks as they are, and chunks as ``lines`` cuts them: without their space, or with the newline before them.
+        self.cache = Chunks(self._aligned, CACHE_CHARS)
+        self.plain = Chunks(self._aligned_word, CACHE_CHARS, self._aligned_words)
 
     def ids_a(self, chunk: str) -> list[int]:
         m = LATIN_WORD.fullmatch(chunk)
         if m is None:
+            if chunk[:1] == "\n" and len(chunk) > 1 and not chunk[1].isspace():
+                return self.ids_a("\n") + self.ids_a(chunk[1:])
             return self.whole.encode(chunk, add_special_tokens=False).ids
         space, word, marks = m.groups()
         if not word.isascii():
@@ -118,21 +193,69 @@ class Aligner:
         before = self.pieces.encode("\n")
         return self.pieces.encode("\n" + chunk)[len(before):]
 
-    def _aligned(self, chunk: str) -> Aligned | None:
-        """Alignment of one chunk; None if a tokenizer does not spell it out."""
-        a, b, raw = self.ids_a(chunk), self.ids_b(chunk), chunk.encode()
-        in_a, in_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(in_a) != raw or b"".join(in_b) != raw:
+    def _joined(self, a: list[int], b: list[int], chunk: str) -> bytes | None:
+        raw = chunk.encode()
+        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
             return None
-        return Aligned(a, b, list(map(len, in_a)), list(map(len, in_b)))
+        return aligned(a, b, [self.size_a[i] for i in a], [self.size_b[i] for i in b], self.names)
 
-    def align(self, text: str) -> list[Aligned]:
+    def _aligned(self, chunk: str) -> bytes | None:
+        """Alignment of one chunk; None if a tokenizer does not spell it out."""
+        return self._joined(self.ids_a(chunk), self.ids_b(chunk), chunk)
+
+    def _aligned_word(self, word: str) -> bytes | None:
+        """Alignment of a chunk as ``lines`` cuts them."""
+        return self._aligned(word if word[:1] == "\n" else word[1:] if word[:1] == _GOES_ON else " " + word)
+
+    def _aligned_words(self, words: list[str]) -> list[bytes | None]:
+        """The same for many; the second model takes those that begin with a space all at once."""
+        spaced = [w for w in words if w and w[0] not in _APART]
+        found = iter(self.pieces.encode(spaced, num_threads=1) if spaced else [])
+        tokenize, out = self.model.tokenize, []
+        for w in words:
+            if not w or w[0] in _APART:
+                out.append(self._aligned_word(w))
+                continue
+            plain = w.isascii() and w.isalpha()
+            a = [t.id for t in tokenize(self.space + w)] if plain else self.ids_a(" " + w)
+            out.append(self._joined(a, next(found), " " + w))
+        return out
+
+    def align(self, text: str) -> list[bytes]:
         """Alignments of the chunks of space and text; none if a tokenizer does not spell out the text."""
         if not text:
             return []
         found = list(map(self.cache.__getitem__, spaced_chunks(" " + text)))
         return [] if None in found else found
 
+    def lines(self, texts: list[str]) -> Lines:
+        """Alignments of texts; every chunk that occurs in those without doubled white space is looked up once."""
+        easy = [bool(t) and not t[0].isspace() and _GOES_ON not in t and TWO_SPACES.search(t) is None for t in texts]
+        plain = [t for t, e in zip(texts, easy) if e]
+        if self.cuts_marks:
+            plain = [_MARK_AFTER_WORD.sub(f" {_GOES_ON}\\1", t) for t in plain]
+        cut = pc.split_pattern(pa.array([t.replace("\n", " \n") for t in plain], pa.large_string()), " ")
+        numbered = cut.flatten().dictionary_encode()
+        chunks = self.plain.each(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
+        number = numbered.indices.to_numpy(zero_copy_only=False).astype("i8")
+        starts = cut.offsets.to_numpy(zero_copy_only=False)
+        unspelled = np.array([c is None for c in chunks], bool)
+        bad = np.add.reduceat(unspelled[number], starts[:-1]) > 0 if len(starts) > 1 else np.empty(0, bool)
+        ranges = iter(zip(starts[:-1].tolist(), starts[1:].tolist(), bad.tolist()))
+        bounds, parts, size = [], [number], len(number)
+        chunks = [c or _EMPTY for c in chunks]
+        for text, e in zip(texts, easy):
+            if e:
+                begin, end, is_bad = next(ranges)
+                bounds.append((begin, begin if is_bad else end))
+            else:
+                own = self.align(text)
+                parts.append(np.arange(len(chunks), len(chunks) + len(own)))
+                chunks += own
+                bounds.append((size, size + len(own)))
+                size += len(own)
+        return Lines(chunks, np.concatenate(parts), bounds)
+
 
 def _documents(docs: DataFrame, blocks: int) -> DataFrame:
     text = text_of()
@@ -141,27 +264,14 @@ def _documents(docs: DataFrame, blocks: int) -> DataFrame:
 
 
 def _block_pairs(docs: DataFrame, key: str) -> DataFrame:
-    """(block, pair, n): documents of the block that link the pair; a task may send several rows for one."""
+    """(block, pair, n): documents of the block that link the pair."""
 
-    def run(batches):
-        aligner, seen = encoder(Aligner, key), {}
+    def run(part: pa.Table) -> pa.Table:
+        pair, n = encoder(Aligner, key).lines(part.column("text").to_pylist()).pairs()
+        block = pa.array(np.full(len(pair), part.column("block")[0].as_py(), "i4"))
+        return pa.table([block, pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["block", "pair", "n"])
 
-        def rows():
-            for block, found in seen.items():
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int32()), pa.array(list(found), pa.int64()),
-                                                  pa.array(list(found.values()), pa.int64())], ["block", "pair", "n"])
-            seen.clear()
-
-        for part, texts in slices(batches):
-            for block, text in zip(part.column(2).to_pylist(), texts):
-                # the chunks of a text repeat, and so do the links of a chunk
-                chunks = {id(x): x for x in aligner.align(text)}.values()
-                seen.setdefault(block, Counter()).update(set().union(*(x.links for x in chunks)))
-            if sum(map(len, seen.values())) > MOST_GATHERED:
-                yield from rows()
-        yield from rows()
-
-    return docs.mapInArrow(run, "block int, pair long, n long")
+    return docs.groupBy("block").applyInArrow(run, "block int, pair long, n long")
 
 
 def _hashed(pairs: DataFrame) -> DataFrame:
@@ -299,19 +409,13 @@ def align_tokenizers(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         order = np.argsort(pair, kind="stable")
         pair, count = pair[order], count[order]
         best = count == best_of[pair >> 32]
-        rows: list[tuple] = []
-        for text in part.column("text").to_pylist():
-            found = aligner.align(text)
-            if not found:
-                rows.append((0, 0, 0, 0, 0, 0, ""))
-                continue
-            links = np.fromiter((x for chunk in found for x in chunk.links), "i8")
-            at = np.searchsorted(pair, links)
-            digest = hashlib.sha256(";".join([x.groups for x in found]).encode()).hexdigest()
-            rows.append((sum([x.n_a for x in found]), sum([x.n_b for x in found]), sum([x.n_groups for x in found]), len(links),
-                         int(best[at].sum()), int(count[at].sum()), digest))
-        columns = list(zip(*rows)) or [()] * 7
-        return pa.table([part.column("doc_id").cast(pa.int64()), *(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.string())],
+        lines = aligner.lines(part.column("text").to_pylist())
+        at = np.searchsorted(pair, lines.links)
+        columns = lines.sums(lines.n_a, lines.n_b, lines.n_groups, lines.n_links, lines.per_link(best[at].astype("i8")), lines.per_link(count[at]))
+        groups = [groups_of(c) for c in lines.chunks]
+        digests = [hashlib.sha256(b";".join([groups[k] for k in lines.number[b:e].tolist()])).hexdigest() if b < e else ""
+                   for b, e in lines.bounds]
+        return pa.table([part.column("doc_id").cast(pa.int64()), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())],
                         ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"

@@ -16,13 +16,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of the chunks a worker remembers in each of two generations; a chunk of 8 takes about 170 bytes with its ids.
-CACHE_CHARS = 4_000_000
+CACHE_CHARS = 2_000_000
 #: Longer chunks are rare or never come again (base64, scripts without spaces) and are not remembered.
 LONGEST = 64
 
 #: Stands before the first chunk of a text in ``ids_of_spaced``.
 _MARK = "\0"
-_TWO_SPACES = re.compile(r"\s\s")
+TWO_SPACES = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 #: Space, letters, and the signs after them, which every pattern here takes as one pre-token.
 LATIN_WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -38,7 +38,7 @@ def byte_letters() -> list[str]:
 
 def spaced_chunks(text: str) -> list[str]:
     """The text cut before each space that follows a non-space character, and around single newlines."""
-    if _TWO_SPACES.search(text) is not None:
+    if TWO_SPACES.search(text) is not None:
         return [x for x in _CUT.split(text) if x]
     out: list[str] = []
     for k, line in enumerate(text.split("\n")):
@@ -57,9 +57,10 @@ class Chunks(dict):
     It has two generations: what was used since the younger one began stays when the older one is dropped.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int | None = None, encode_all=None):
         super().__init__()
-        self.encode, self.older, self.chars = encode, {}, 0
+        self.encode, self.older, self.chars, self.most = encode, {}, 0, most or CACHE_CHARS
+        self.encode_all = encode_all or (lambda chunks: list(map(encode, chunks)))
 
     def _turn(self):
         self.older, self.chars = dict(self), 0
@@ -70,7 +71,7 @@ class Chunks(dict):
         if found is None:
             found = self.encode(chunk)
         if len(chunk) <= LONGEST:
-            if self.chars > CACHE_CHARS:
+            if self.chars > self.most:
                 self._turn()
             self[chunk] = found
             self.chars += len(chunk) or 1
@@ -78,15 +79,17 @@ class Chunks(dict):
 
     def each(self, chunks: list[str]) -> list:
         """What belongs to every one of some different chunks."""
-        if self.chars > CACHE_CHARS:
+        if self.chars > self.most:
             self._turn()
-        out, older, encode = list(map(self.get, chunks)), self.older.get, self.encode
-        for i in [i for i, x in enumerate(out) if x is None]:
+        out = list(map(self.get, chunks))
+        at = [i for i, x in enumerate(out) if x is None]
+        found = list(map(self.older.get, [chunks[i] for i in at]))
+        new = iter(self.encode_all([chunks[i] for i, x in zip(at, found) if x is None]))
+        for i, x in zip(at, found):
             chunk = chunks[i]
-            found = older(chunk)
-            out[i] = found = encode(chunk) if found is None else found
+            out[i] = x = next(new) if x is None else x
             if len(chunk) <= LONGEST:
-                self[chunk] = found
+                self[chunk] = x
                 self.chars += len(chunk) or 1
         return out
 
@@ -123,7 +126,7 @@ def ids_of_spaced(texts: list[str], marked: Chunks, encode) -> list[np.ndarray]:
 
     Texts with doubled white space, or with the mark itself, are encoded one by one.
     """
-    easy = [_TWO_SPACES.search(t) is None and _MARK not in t for t in texts]
+    easy = [TWO_SPACES.search(t) is None and _MARK not in t for t in texts]
     found = iter(ids_of_chunks([_MARK + t.replace("\n", " \n") for t, e in zip(texts, easy) if e], marked))
     return [next(found) if e else np.frombuffer(encode(t), "<u4") for t, e in zip(texts, easy)]
 
@@ -214,7 +217,7 @@ class ByteEncoder:
 
 def encode_spaced(text: str, cache: Chunks, spaced: Chunks) -> bytes:
     """Ids of a text from its ``spaced_chunks``; ``spaced`` knows them without the space they begin with."""
-    if _TWO_SPACES.search(text) is not None:
+    if TWO_SPACES.search(text) is not None:
         return cache.joined(spaced_chunks(text))
     lines = []
     for line in text.split("\n"):

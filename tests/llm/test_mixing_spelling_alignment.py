@@ -200,7 +200,7 @@ def test_alignment_of_odd_texts(spark, docs, texts, libraries):
 
 
 def test_alignment_in_many_blocks_shards_and_leaves(spark, monkeypatch, libraries):
-    for name, value in (("BLOCK_BYTES", 2000), ("SHARD_PAIRS", 64), ("LEAF_ROWS", 16), ("FAN", 2), ("MOST_GATHERED", 50)):
+    for name, value in (("BLOCK_BYTES", 2000), ("SHARD_PAIRS", 64), ("LEAF_ROWS", 16), ("FAN", 2), ("STEP", 9)):
         monkeypatch.setattr(alignment, name, value)
     all_texts = {i: passage(i % 25, 30) + f" the {i % 7} end" for i in range(120)}
     df = spark.createDataFrame([(i, t) for i, t in all_texts.items()], "doc_id long, text string")
@@ -229,10 +229,20 @@ def test_chunks_align_as_whole_texts(text):
     if not text or b"".join(own.bytes_a[i] for i in a) != raw or b"".join(own.bytes_b[i] for i in b) != raw:
         assert not found
     else:
-        groups = [g.split("|") for x in found for g in x.groups.split(";")]
+        groups = [g.split("|") for x in found for g in alignment.groups_of(x).decode().split(";")]
         assert [int(x) for g in groups for x in g[0].split(",")] == a and [int(x) for g in groups for x in g[1].split(",")] == b
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aB é,.'s1 \n\t\r  日▁😀"), max_size=20), max_size=6))
+def test_many_texts_align_as_each_alone(texts):
+    own = _aligner()
+    lines = own.lines(texts)
+    for text, (b, e) in zip(texts, lines.bounds):
+        together = [b";".join(map(alignment.groups_of, x)) for x in ([lines.chunks[k] for k in lines.number[b:e]], own.align(text))]
+        assert together[0] == together[1]
+
+
 def _aligner(made=[]):  # noqa: B006
     if not made:
         made.append(alignment.Aligner(BYTES + "\0" + PIECES))
