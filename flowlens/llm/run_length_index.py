@@ -339,18 +339,12 @@ def _marks(contents: DataFrame, least: int) -> DataFrame:
     return out
 
 
-def _merged_runs(marks: DataFrame) -> DataFrame:
-    """One row per slice: its runs of repeated starts, disjoint. A slice has fewer starts than its least string has bytes."""
+def _runs_by_slice(marks: DataFrame) -> DataFrame:
+    """One row per slice with all its runs of repeated starts. A slice has fewer starts than its least string has bytes, and a
+    run or two for each of them and level at most; they may overlap."""
     pairs = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda i: F.struct(
         F.get("runs", i).alias("a"), F.get("runs", i + 1).alias("b")))
-
-    def add(done, r):
-        last = F.element_at(done, -1)
-        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))))
-        return F.when((F.size(done) > 0) & (r["a"] <= last["b"] + 1), joined).otherwise(F.concat(done, F.array(r)))
-
-    every = marks.groupBy("h", "d").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(pairs)))).alias("runs"))
-    return every.select("h", "d", F.aggregate("runs", F.slice("runs", F.lit(1), F.lit(1)), add).alias("runs"))
+    return marks.groupBy("h", "d").agg(F.array_distinct(F.flatten(F.collect_list(pairs))).alias("runs"))
 
 
 def _spans(docs: DataFrame, least: int) -> DataFrame:
@@ -371,7 +365,7 @@ def _spans(docs: DataFrame, least: int) -> DataFrame:
     contents = stored(_contents(rows.join(by_text, _same_text(rows, by_text)), least), "slice-texts")
     # a slice with copies is repeated from end to end, so what the index found of it adds nothing
     copied = distinct.where("copies > 1").select("h", "d", F.array(F.struct(F.lit(0).alias("a"), (F.col("x.n") - 1).cast("int").alias("b"))).alias("runs"))
-    partly = _merged_runs(_marks(contents, least)).join(copied.select("h", "d"), ["h", "d"], "left_anti")
+    partly = _runs_by_slice(_marks(contents, least)).join(copied.select("h", "d"), ["h", "d"], "left_anti")
     repeated = stored(copied.unionByName(partly), "repeated-slices")
     found = shared.join(repeated, ["h", "d"]).select("doc_id", "tkey", F.transform("runs", lambda r: F.struct(
         (F.col("start") + r["a"]).alias("start"), (F.col("start") + r["b"]).alias("last"))).alias("runs"))
