@@ -29,9 +29,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dart_minhash.keep_one(docs)
 
 
+#: Least length of a passage that goes: 51 words of short ones take about 280 bytes.
+PASSAGE_BYTES = 250
+
+
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages of 400 bytes or more that start more than once in the corpus."""
-    return run_length_index.strip_repeats(docs)
+    """All documents, without the passages of PASSAGE_BYTES or more that start more than once in the corpus."""
+    return run_length_index.strip_repeats(docs, PASSAGE_BYTES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
