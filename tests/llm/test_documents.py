@@ -362,7 +362,7 @@ def test_pipeline(spark, sf_dir, table_texts):
     first = {i for i, v in brute.exact(kept["quality rules"]).items() if v[2]}
     assert set(kept["exact dedup"]) == first
     assert set(kept["near dedup"]) == set(brute.near(kept["exact dedup"]).values())
-    left = brute.repeats(kept["near dedup"])
+    left = brute.repeats(kept["near dedup"], corpus_pipeline.PASSAGE_BYTES)
     assert {i: len(t.encode()) for i, t in kept["repeated passages"].items()} == {i: v[0] - v[1] for i, v in left.items()}
     pieces = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(kept["repeated passages"])
