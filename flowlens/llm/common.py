@@ -33,6 +33,12 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def in_id_order(docs: DataFrame) -> DataFrame:
+    """doc_id and text (null: empty), dealt in ranges and sorted by id; rows of one id, or of none, are dealt by their texts."""
+    order = ["doc_id", F.xxhash64("text")]
+    return docs.select("doc_id", text_of().alias("text")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Consecutive rows with their texts, about SLICE_CHARS characters at a time."""
     for batch in batches:

@@ -8,7 +8,7 @@ has a fixed number of word buckets, so the model has a fixed size; which word of
 
 Scoring runs the scaled forward recursion over the whole token sequence of every document: an exact likelihood, no cut.
 
-Counts of words are a distributed table of any size. Documents lie in blocks by hash of their id; every block gets the counts
+Counts of words are a distributed table of any size. Documents lie in blocks by hash of their id and text; every block gets the counts
 of just the words it holds by a join, so neither the table nor the vocabulary passes through one machine.
 
 Defined results: null and empty texts are the end token alone; a null ``doc_id`` counts as the empty string for the split;
@@ -221,7 +221,7 @@ def score(docs: DataFrame, states: int = STATES, buckets: int = BUCKETS, rounds:
     # log10 P(word | bucket) = log10(c + 0.5) - share[bucket]; the end token is the only word of its bucket
     share = np.log10(in_bucket[:, 0] + 0.5 * (in_bucket[:, 1] + 1))
     of_base = np.log10(n_all + 0.5 * (n_distinct + 1))
-    in_blocks = every.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+    in_blocks = every.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def words_of(batches):
         seen: dict[int, set[bytes]] = {}

@@ -1,8 +1,9 @@
 """Licence scan: notice phrases and identifier tags by Aho-Corasick, licence expressions by a shunting-yard parser.
 
 A text is lower-cased (A-Z), every run of ASCII characters other than letters and digits becomes one space, and one pass of
-the automaton finds all phrases at word boundaries. Where the tag ``SPDX-License-Identifier`` occurs, the expression after it
-is parsed (``with`` binds before ``and``, ``and`` before ``or``) and evaluated.
+the automaton finds all phrases and tags at word boundaries. Where it finds the tag ``SPDX-License-Identifier``, the
+expression after its last word is parsed (``with`` binds before ``and``, ``and`` before ``or``) and evaluated. Whole licence
+texts are recognised by sentences of their own, others by title or usual notice.
 
 Score: how restrictive the terms are, 0 (none found, or free) to 1 (all rights reserved); of an expression, ``or`` takes the
 smaller side, ``and`` the larger, ``with`` (an exception) four fifths of its licence; of a text, the largest.
@@ -30,6 +31,27 @@ NOTICES = (
     ("lesser general public license", "lgpl", 0.5), ("affero general public license", "agpl", 0.8),
     ("cc by sa", "cc-by-sa", 0.5), ("cc by nc", "cc-by-nc", 0.8), ("cc by nd", "cc-by-nd", 0.8), ("cc0", "cc0", 0.0),
     ("public domain", "public-domain", 0.0), ("eclipse public license", "epl", 0.4), ("isc license", "isc", 0.1),
+    # sentences of whole licence texts
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee", "isc", 0.1),
+    ("neither the name of the copyright holder nor the names of its contributors", "bsd-3-clause", 0.1),
+    ("licensed under the apache license", "apache", 0.2),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl-2.0", 0.4),
+    ("this is free and unencumbered software released into the public domain", "unlicense", 0.0),
+    ("altered source versions must be plainly marked as such", "zlib", 0.1),
+    ("you should have received a copy of the gnu general public license", "gpl", 0.6),
+    ("you should have received a copy of the gnu lesser general public license", "lgpl", 0.5),
+    ("you should have received a copy of the gnu affero general public license", "agpl", 0.8),
+    # titles and names
+    ("boost software license", "bsl", 0.1), ("zlib license", "zlib", 0.1), ("artistic license", "artistic", 0.3),
+    ("bsd license", "bsd", 0.1), ("python software foundation license", "psf", 0.1), ("academic free license", "afl", 0.2),
+    ("gnu free documentation license", "gfdl", 0.6), ("sil open font license", "ofl", 0.2),
+    ("european union public licence", "eupl", 0.6), ("common development and distribution license", "cddl", 0.4),
+    ("microsoft public license", "ms-pl", 0.3), ("server side public license", "sspl", 0.9),
+    ("business source license", "busl", 0.9), ("elastic license", "elastic", 0.9), ("open database license", "odbl", 0.5),
+    ("creative commons attribution", "cc-by", 0.2), ("creative commons attribution sharealike", "cc-by-sa", 0.5),
+    ("creative commons attribution share alike", "cc-by-sa", 0.5), ("creative commons attribution noncommercial", "cc-by-nc", 0.8),
+    ("creative commons attribution non commercial", "cc-by-nc", 0.8), ("no rights reserved", "cc0", 0.0),
+    ("proprietary and confidential", "proprietary", 1.0),
 )
 BASE_SCORES = {"cc-by": 0.2, "gpl": 0.6, "reserved": 1.0}
 #: Restrictiveness of expression identifiers by their beginning; others score UNKNOWN.
@@ -41,7 +63,8 @@ SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word lon
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACED = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in _LOWER)
-_TAG = re.compile(r"spdx[\x00-/:-`{-\x7f]+license[\x00-/:-`{-\x7f]+identifier\s*:?\s*")
+_WORD = re.compile(rb"[^ ]+")
+_COLON = re.compile(r"\s*:?\s*", re.ASCII)
 _TOKEN = re.compile(r"[ \t]*([()]|[a-z0-9][a-z0-9.+-]*)")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -110,21 +133,27 @@ class Scanner:
         self.automaton.make_automaton()
 
     def scan(self, text: str) -> tuple:
-        words = text.encode().translate(_SPACED).split()
+        raw = text.encode()
+        spaced = raw.translate(_SPACED)
+        words = spaced.split()
         line = f" {b' '.join(words).decode()} "
-        places, base, labels, score = [], set(), set(), 0.0
+        places, tags, base, labels, score = [], [], set(), set(), 0.0
         for end, (size, label, value, is_base) in self.automaton.iter(line):
             if label is None:
+                tags.append(end - size + 1)
                 continue
             labels.add(label)
             score = max(score, value)
             if is_base:
                 base.add(label)
                 places.append(end - size + 1)
-        if f" {TAG} " in line:
-            lower = text.encode().translate(_LOWER).decode()
-            for m in _TAG.finditer(lower):
-                found = evaluate(lower, m.end())
+        if tags:
+            # one character a byte, so that the ends of words are places of the text
+            lower, ends = raw.translate(_LOWER).decode("latin-1"), [m.end() for m in _WORD.finditer(spaced)]
+            number = before = 0
+            for place in tags:
+                number, before = number + line.count(" ", before, place), place
+                found = evaluate(lower, _COLON.match(lower, ends[number + TAG.count(" ")]).end())
                 labels |= found[0] if found else {"invalid-expression"}
                 score = max(score, found[1] if found else UNKNOWN)
         word = lambda place: line.count(" ", 0, place)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowlens.llm.common import slices, small_batches, text_of
+from flowlens.llm.common import in_id_order, slices, small_batches
 from flowlens.llm.encoding import ByteEncoder, encoder
 
 #: Cost of a cut, in padding tokens: at the end of a sentence, and inside one.
@@ -188,5 +188,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
         if pieces:
             yield rows(pieces)
 
-    ordered = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, SCHEMA)
+    return in_id_order(docs).mapInArrow(run, SCHEMA)

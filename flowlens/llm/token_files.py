@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import filesystem, slices, small_batches, text_of, write_whole
+from flowlens.llm.common import filesystem, in_id_order, slices, small_batches, write_whole
 from flowlens.llm.encoding import WordEncoder, encoder
 from flowlens.session import scratch_path
 
@@ -180,8 +180,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         write_whole(path, fill)
         yield pa.RecordBatch.from_pylist([{"path": path, "docs": done["docs"], "ids": done["ids"]}])
 
-    ordered = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    made = ordered.mapInArrow(write, "path string, docs long, ids long").collect()
+    made = in_id_order(docs).mapInArrow(write, "path string, docs long, ids long").collect()
     return sorted((r.path, r.docs, r.ids) for r in made if r.docs)
 
 

@@ -184,6 +184,24 @@ def test_licenses_of_the_whole_table(spark, sf_dir, table_texts):
     check(by_id(queries.QUERIES["op6_license_scan"](spark, sf_dir)), {i: brute.licenses(t) for i, t in table_texts.items()}, LICENCE)
 
 
+@pytest.mark.parametrize("text, labels, score", [
+    ("SPDX-License-Identifier: MIT", "mit", 0.1), ("spdx license  identifier\n:\tMIT)", "mit", 0.1),
+    ("myspdx-license-identifier: foo\nSPDX-License-Identifier: mit", "mit", 0.1), ("myspdx-license-identifier: foo", "", 0.0),
+    ("é日 SPDX-License-Identifier: isc é SPDX-License-Identifier: (mit or", "invalid-expression,isc", 0.5),
+    ("SPDX-License-Identifier: bsd-3-clause SPDX-License-Identifier: agpl-3.0", "agpl-3.0,bsd-3-clause", 0.8),
+    ("SPDX-License-Identifier", "invalid-expression", 0.5), ("SPDX-License-Identifier: \u00a0mit", "invalid-expression", 0.5),
+    ("Altered source versions must be plainly marked as such, and", "zlib", 0.1),
+    ("Neither the name of the copyright holder\n * nor the names of its contributors", "bsd-3-clause", 0.1)])
+def test_tags_and_notices(text, labels, score):
+    found = licenses.Scanner().scan(text)
+    assert found[5] == labels and math.isclose(found[6], score)
+
+
+def test_many_tags_in_one_text():
+    found = licenses.Scanner().scan("é SPDX-License-Identifier: x1 " * 20_000 + "SPDX-License-Identifier: mit")
+    assert found[5] == "mit,x1" and found[0] == 5 * 20_000 + 4
+
+
 @pytest.mark.parametrize("text, names, score", [
     ("mit", {"mit"}, 0.1), ("mit or gpl-2.0-only", {"mit", "gpl-2.0-only"}, 0.1), ("mit and gpl-2.0-only or isc", {"mit", "gpl-2.0-only", "isc"}, 0.1),
     ("mit and (gpl-2.0-only or agpl-3.0)", {"mit", "gpl-2.0-only", "agpl-3.0"}, 0.6),
