@@ -15,7 +15,7 @@ from flowlens.plans import jobs
 from flowlens.queries.parts import DAY_PART, INNER, SEVEN, direction
 from flowlens.queries.registry import query
 from flowlens.sources import fixtures as fx
-from flowlens.sources import readers, writers
+from flowlens.sources import file_store, readers, writers
 from flowlens.session import scratch_path
 
 FLOW_COLUMNS = ["row", "srcip", "dstip", "srcport", "dstport", "proto", "packernum", "bytesize", "costtime", "flowd"]
@@ -80,12 +80,12 @@ def scan_daily_dirs(spark, d):
 
 @query("scan_jdbc_subquery", "SELECT DISTINCT ip FROM known", "known")
 def scan_jdbc_subquery(spark, d):
-    """Register and earlier findings from two pluggable sources (files here, a database elsewhere)."""
+    """Register and earlier findings from two stores, which take the filters on status and flag."""
     path = scratch_path(spark, "register")
-    fx.asset_register(spark, d).write.parquet(path + "/devices")
-    fx.assets_found(spark, d).write.parquet(path + "/found")
-    devices = readers.Source("parquet", {}, path + "/devices").read(spark)
-    found = readers.Source("parquet", {}, path + "/found").read(spark)
+    writers.append_rows(fx.asset_register(spark, d), file_store.at(spark, path + "/devices"))
+    writers.append_rows(fx.assets_found(spark, d), file_store.at(spark, path + "/found"))
+    devices = file_store.at(spark, path + "/devices", ["ip", "status"]).read(spark)
+    found = file_store.at(spark, path + "/found", ["ip", "flg"]).read(spark)
     return assets.known_assets(devices, found).distinct()
 
 

@@ -11,7 +11,7 @@ from flowlens.queries.registry import query
 from flowlens.queries.relational import _KIND, NEW_ASSETS
 from flowlens.session import scratch_path
 from flowlens.sources import fixtures as fx
-from flowlens.sources import readers, writers
+from flowlens.sources import file_store, readers, writers
 
 _TOTALS_TEXT = "SELECT ip, " + ", ".join(f"CAST({f} AS VARCHAR) AS {f}" for f in SEVEN) + " FROM totals"
 
@@ -43,8 +43,8 @@ def sink_json(spark, d):
 
 @query("sink_index", "SELECT ip, " + ", ".join(SEVEN) + " FROM totals", "totals")
 def sink_index(spark, d):
-    """Append through a pluggable target (files here, a search index with its connector elsewhere)."""
-    target = writers.Source("parquet", {}, scratch_path(spark, "index"))
+    """Append to a store whose writes appear whole or not at all; any other format with a connector goes the same way."""
+    target = file_store.at(spark, scratch_path(spark, "index"))
     writers.append_rows(_totals(spark, d), target)
     return target.read(spark)
 
@@ -59,10 +59,28 @@ def sink_catalog_table(spark, d):
     return target.read(spark).withColumn("STARTTIME", ff.time_text(F.col("STARTTIME")))
 
 
+@query("sink_keyed_table", """
+WITH first AS (
+  SELECT "ROW", "SRCIP", TRY_CAST(nullif("SRCPORT", '-1') AS INT) AS "SRCPORT", TRY_CAST("BYTESIZE" AS INT) AS "BYTESIZE" FROM stored),
+written AS (
+  SELECT 1 AS write, * FROM first UNION ALL SELECT 2, "ROW", "SRCIP", 0, "BYTESIZE" FROM first WHERE "BYTESIZE" % 2 = 0)
+SELECT "ROW", "SRCIP", "SRCPORT", "BYTESIZE" FROM written QUALIFY row_number() OVER (
+  PARTITION BY "ROW" ORDER BY write DESC, "SRCIP" DESC NULLS LAST, "SRCPORT" DESC NULLS LAST, "BYTESIZE" DESC NULLS LAST) = 1""", "stored")
+def sink_keyed_table(spark, d):
+    """A catalog table written twice: the second write holds the rows of even size again, with another port, and replaces them."""
+    rows = fx.stored_netflow(spark, d).select("ROW", "SRCIP", "SRCPORT", "BYTESIZE")
+    path = scratch_path(spark, "keyed")
+    target = file_store.at(spark, path)
+    writers.write_catalog_table(rows, "T_SIEM_NETFLOW", target)
+    again = rows.where(F.col("BYTESIZE").try_cast("int") % 2 == 0).withColumn("SRCPORT", F.lit("0"))
+    writers.write_catalog_table(again, "T_SIEM_NETFLOW", target)
+    return file_store.latest(spark, path, "ROW")
+
+
 @query("sink_jdbc", f"SELECT ip, side, 36 AS id_length FROM ({NEW_ASSETS})", ("flows", "known"))
 def sink_jdbc(spark, d):
-    """New assets with generated ids, appended through a pluggable target."""
-    target = writers.Source("parquet", {}, scratch_path(spark, "found"))
+    """New assets with generated ids, appended to a store in one commit."""
+    target = file_store.at(spark, scratch_path(spark, "found"))
     report = jobs.new_asset_report(fx.flows(spark, d), fx.asset_register(spark, d), fx.assets_found(spark, d), fx.ASSET_RANGES)
     writers.append_with_ids(report, target)
     return target.read(spark).select("ip", "side", F.length("recordid").alias("id_length"))

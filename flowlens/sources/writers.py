@@ -65,7 +65,7 @@ def to_catalog_types(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_catalog_table(df: DataFrame, table: str, target: Source) -> None:
-    """Appends to a catalog table. A store with row keys (key-value, index) replaces rows of equal key; files do not."""
+    """Appends to a catalog table. A store with row keys replaces rows of equal key (``file_store.latest``); plain files do not."""
     append_rows(to_catalog_types(df, table), target)
 
 
