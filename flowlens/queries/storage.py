@@ -59,12 +59,14 @@ def sink_catalog_table(spark, d):
     return target.read(spark).withColumn("STARTTIME", ff.time_text(F.col("STARTTIME")))
 
 
-@query("sink_keyed_table", """
-WITH first AS (
-  SELECT "ROW", "SRCIP", TRY_CAST(nullif("SRCPORT", '-1') AS INT) AS "SRCPORT", TRY_CAST("BYTESIZE" AS INT) AS "BYTESIZE" FROM stored),
-written AS (
-  SELECT 1 AS write, * FROM first UNION ALL SELECT 2, "ROW", "SRCIP", 0, "BYTESIZE" FROM first WHERE "BYTESIZE" % 2 = 0)
-SELECT "ROW", "SRCIP", "SRCPORT", "BYTESIZE" FROM written QUALIFY row_number() OVER (
+_PORTS = """
+SELECT "ROW", "SRCIP", TRY_CAST(nullif("SRCPORT", '-1') AS INT) AS "SRCPORT", TRY_CAST("BYTESIZE" AS INT) AS "BYTESIZE" FROM stored"""
+
+
+@query("sink_keyed_table", f"""
+SELECT "ROW", "SRCIP", "SRCPORT", "BYTESIZE" FROM (
+  SELECT 1 AS write, * FROM ({_PORTS}) UNION ALL SELECT 2, "ROW", "SRCIP", 0, "BYTESIZE" FROM ({_PORTS}) WHERE "BYTESIZE" % 2 = 0)
+QUALIFY row_number() OVER (
   PARTITION BY "ROW" ORDER BY write DESC, "SRCIP" DESC NULLS LAST, "SRCPORT" DESC NULLS LAST, "BYTESIZE" DESC NULLS LAST) = 1""", "stored")
 def sink_keyed_table(spark, d):
     """A catalog table written twice: the second write holds the rows of even size again, with another port, and replaces them."""
