@@ -11,11 +11,16 @@ from flowlens.operators.skew import hot_keys, row_salt, with_salts
 
 
 def ip_to_long(ip: Column) -> Column:
-    """Dotted quad as integer; null for anything else."""
-    parts = F.split(F.trim(ip), r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
-    number = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
-    return F.when(F.size(parts) == 4, number)
+    """Dotted quad as integer; null for anything else.
+
+    The parts are bound as the argument of a function, so the address is derived and split once and not once an octet.
+    """
+
+    def number(parts: Column) -> Column:
+        octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
+        return F.when(F.size(parts) == 4, octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3])
+
+    return F.get(F.transform(F.array(F.split(F.trim(ip), r"\.")), number), F.lit(0))
 
 
 def text_to_long(ip: str) -> int:
@@ -24,14 +29,19 @@ def text_to_long(ip: str) -> int:
 
 
 def in_ranges(ip: Column, ranges: list[tuple[str, str]]) -> Column:
-    """Inclusive membership in a short configured list of ranges: one expression, no join."""
-    number = ip_to_long(ip)
-    hit = reduce(
-        lambda a, b: a | b,
-        [number.between(text_to_long(lo), text_to_long(hi)) for lo, hi in ranges],
-        F.lit(False),
-    )
-    return F.coalesce(hit, F.lit(False))
+    """Inclusive membership in a short configured list of ranges: one expression, no join.
+
+    The number is bound once, whatever the number of ranges.
+    """
+
+    def hit(number: Column) -> Column:
+        return reduce(
+            lambda a, b: a | b,
+            [number.between(text_to_long(lo), text_to_long(hi)) for lo, hi in ranges],
+            F.lit(False),
+        )
+
+    return F.coalesce(F.exists(F.array(ip_to_long(ip)), hit), F.lit(False))
 
 
 def semi_join_ranges(

@@ -125,3 +125,10 @@ def test_run_windows():
     assert run_window(now, "month") == (datetime(2024, 1, 30), datetime(2024, 3, 1))
     assert run_window(now, "day", start="2024-01-01")[0] == datetime(2024, 1, 1)
     assert day_folder(datetime(2024, 2, 29)) == "2024-02-29--2024-03-01"
+
+
+def test_range_test_splits_an_address_once(spark):
+    df = spark.createDataFrame([("10.0.0.7",), ("10.0.9.1",), ("x",), (None,)], "ip string")
+    hits = df.where(in_ranges(F.concat("ip", F.lit("")), [("10.0.0.0", "10.0.0.255"), ("10.0.9.0", "10.0.9.9"), ("1.1.1.1", "1.1.1.2")]))
+    assert values(hits, "ip") == ["10.0.0.7", "10.0.9.1"]
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
