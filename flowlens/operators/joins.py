@@ -30,25 +30,41 @@ def similarity_reasons(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
     )
 
 
+ENDS = ("recordtime", "srcip", "dstip", "srcport", "dstport")
+
+
+def _is_forward() -> tuple[Column, Column]:
+    """Whether a flow goes toward the lower port, and whether it comes from there."""
+    src, dst = F.col("srcport").try_cast("int"), F.col("dstport").try_cast("int")
+    return src > dst, src < dst
+
+
+def _turned() -> list[Column]:
+    """The ends of the flow in the opposite direction."""
+    own = ("recordtime", "dstip", "srcip", "dstport", "srcport")
+    return [F.col(c).alias(f"__{name}") for name, c in zip(ENDS, own)]
+
+
+def _met() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__{c}") for c in ENDS])
+
+
 def merge_reverse_flows(flows: DataFrame) -> DataFrame:
     """Flows toward the lower port, with the sums of the opposite direction added where it exists.
 
     Only rows with srcport > dstport are kept, so a partner has srcport < dstport: both sides are cut before the join.
-    Several partners give several rows.
+    Several partners give several rows, so the rows of a busy pair of ends grow with the square of its flows: aggregates over
+    them are taken from ``fold_reverse_flows``.
     """
-    keep = [c for c in flows.columns if c not in ("costtime", "packernum", "bytesize")]
-    src, dst = F.col("srcport").try_cast("int"), F.col("dstport").try_cast("int")
-    forward = flows.where(src > dst)
-    backward = flows.where(src < dst).select(
-        F.col("recordtime").alias("__t"), F.col("srcip").alias("__d"), F.col("dstip").alias("__s"),
-        F.col("srcport").alias("__dp"), F.col("dstport").alias("__sp"),
-        F.col("costtime").alias("__cost"), F.col("packernum").alias("__pk"), F.col("bytesize").alias("__by"),
-    )
-    met = (
-        (F.col("recordtime") == F.col("__t")) & (F.col("srcip") == F.col("__s")) & (F.col("dstip") == F.col("__d"))
-        & (F.col("srcport") == F.col("__sp")) & (F.col("dstport") == F.col("__dp"))
-    )
-    both = forward.join(backward, met, "left")
+    forward, backward = _is_forward()
+    return with_reverse_flows(flows.where(forward), flows.where(backward))
+
+
+def with_reverse_flows(forward: DataFrame, backward: DataFrame) -> DataFrame:
+    """The forward flows, which may carry further columns, once per backward flow between the same ends (at least once)."""
+    keep = [c for c in forward.columns if c not in ("costtime", "packernum", "bytesize")]
+    partners = backward.select(*_turned(), F.col("costtime").alias("__cost"), F.col("packernum").alias("__pk"), F.col("bytesize").alias("__by"))
+    both = forward.join(partners, _met(), "left")
 
     def summed(own: str, other: str) -> Column:
         return F.coalesce(F.col(own) + F.col(other), F.col(own)).alias(own)
@@ -56,6 +72,41 @@ def merge_reverse_flows(flows: DataFrame) -> DataFrame:
     return both.select(*keep, summed("costtime", "__cost"), summed("packernum", "__pk"), summed("bytesize", "__by"))
 
 
+def fold_reverse_flows(flows: DataFrame, top: int) -> DataFrame:
+    """The rows of ``merge_reverse_flows`` folded, without writing a pair of flows out.
+
+    A row stands for a forward flow with those of its partners whose packets are told apart below ``top`` only: their number
+    ``n_flows``, ``packernum`` (the packets together, or at least ``top``, for that many and more) and, as ``pk_*`` and ``by_*``,
+    number, sum, mean, squared deviations and maximum of packets and bytes. The backward flows are folded before they meet:
+    all flows of so many packets that they bring any sum to ``top`` are one row.
+    """
+    forward, backward = _is_forward()
+    pk, by = F.col("packernum").cast("double"), F.col("bytesize").cast("double")
+    least = flows.agg(F.least(F.lit(0.0), F.min(pk))).scalar()
+    # a partner without a number adds nothing
+    rows = flows.where(backward).select(*_turned(), F.coalesce(pk, F.lit(0.0)).alias("__pk"), F.coalesce(by, F.lit(0.0)).alias("__by"))
+    packets = F.least(F.col("__pk"), F.lit(float(top)) - least)
+    partners = rows.groupBy(*[f"__{c}" for c in ENDS], packets.alias("__packets")).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[c for v in ("__pk", "__by") for c in (F.sum(v).alias(f"{v}_sum"), F.var_pop(v).alias(f"{v}_var"), F.max(v).alias(f"{v}_max"))],
+    )
+    own = flows.where(forward).select("row", *ENDS, "proto", pk.alias("pk"), by.alias("by"))
+    both = own.join(partners, _met(), "left")
+    n, zero = F.coalesce("__n", F.lit(1)), F.lit(0.0)
+
+    def merged(name: str) -> list[Column]:
+        v, add = F.col(name), lambda c: F.coalesce(F.col(f"__{name}_{c}"), zero)
+        return [
+            F.when(v.isNotNull(), n).otherwise(0).alias(f"{name}_n"), (v * n + add("sum")).alias(f"{name}_sum"),
+            (v + add("sum") / n).alias(f"{name}_mean"), F.when(v.isNotNull(), add("var") * n).alias(f"{name}_dev"), (v + add("max")).alias(f"{name}_max"),
+        ]
+
+    return both.select(
+        F.xxhash64("row", "__packets").alias("row"), *ENDS, "proto", (F.col("pk") + F.coalesce("__packets", zero)).alias("packernum"),
+        n.alias("n_flows"), *merged("pk"), *merged("by"),
+    )
+
+
 def with_group_size(df: DataFrame, keys: list[str], by: str = "row", name: str = "flownums") -> DataFrame:
     """Rows with the number of rows that share their keys."""
     return with_group_stats(df, keys, by, **{name: F.count(F.lit(1))})
