@@ -47,7 +47,7 @@ def assign(model: KMeansModel, vectors: DataFrame, vector: str = "vector") -> Da
     """Label and distance to the assigned center."""
     centers = centers_frame(vectors.sparkSession, model)
     labelled = model.transform(vectors).withColumn("__v", vector_to_array(vector))
-    joined = label_lookup(labelled, centers, how="inner")
+    joined = label_lookup(labelled, centers, how="inner", few=True)
     return joined.withColumn("distance", array_distance(F.col("__v"), F.col("center"))).drop("__v")
 
 
@@ -195,12 +195,12 @@ def silhouette_by_k(vectors: DataFrame, ks: list[int], vector: str = "vector", s
 
 
 def mark_small_clusters(
-    points: DataFrame, smaller_than: int = 2, outlier: str = "other", drop_distance: bool = False
+    points: DataFrame, smaller_than: int = 2, outlier: str = "other", drop_distance: bool = False, few: bool = False
 ) -> DataFrame:
-    """Members of clusters below a size get the outlier label, and distance -1 if asked."""
+    """Members of clusters below a size get the outlier label, and distance -1 if asked. ``few``: the labels are a model's."""
     sizes = points.groupBy("label").agg(F.count(F.lit(1)).alias("cluster_size"))
     small = sizes.where(F.col("cluster_size") < smaller_than).select("label", F.lit(True).alias("__small"))
-    joined = label_lookup(points, small)
+    joined = label_lookup(points, small, few=few)
     lone = F.col("__small").isNotNull()
     out = joined.withColumn("label", F.when(lone, outlier).otherwise(F.col("label").cast("string")))
     if drop_distance:
@@ -208,17 +208,17 @@ def mark_small_clusters(
     return out.drop("__small")
 
 
-def outlier_score(points: DataFrame, tag: str = "") -> DataFrame:
+def outlier_score(points: DataFrame, tag: str = "", few: bool = False) -> DataFrame:
     """(scaled distance)^2 + (1 - scaled cluster size)^2 from ``label`` and ``distance``.
 
     The distance is scaled inside its own cluster from 0 (from the smallest distance if there is one cluster only), the
-    size over all rows; a constant column scales to 0.5.
+    size over all rows; a constant column scales to 0.5. ``few``: the labels are a model's.
     """
     per = points.groupBy("label").agg(
         F.count(F.lit(1)).alias("__n"), F.min("distance").alias("__d0"), F.max("distance").alias("__d1")
     )
     per = with_table_stats(per, "__e", k=F.count(F.lit(1)), lo=F.min("__n"), hi=F.max("__n"))
-    joined = label_lookup(points, per, how="inner")
+    joined = label_lookup(points, per, how="inner", few=few)
     low = F.when(F.col("__e.k") == 1, F.col("__d0")).otherwise(F.lit(0.0))
     d = F.when(F.col("__d1") == low, F.lit(0.5)).otherwise((F.col("distance") - low) / (F.col("__d1") - low))
     lo, hi = F.col("__e.lo"), F.col("__e.hi")
@@ -243,7 +243,7 @@ def triple_model(sessions: DataFrame, features: list[str], key: list[str], k: in
 
 def triple_scores(sessions: DataFrame, features: list[str], model: KMeansModel, tag: str) -> DataFrame:
     """Rows with the size of their cluster and their outlier score, as ``num<tag>`` and ``unusual<tag>``."""
-    scored = outlier_score(assign(model, _triple_vectors(sessions, features)), tag)
+    scored = outlier_score(assign(model, _triple_vectors(sessions, features)), tag, few=True)
     return scored.select(*sessions.columns, f"num{tag}", f"unusual{tag}")
 
 

@@ -45,7 +45,7 @@ def center_distances(labelled: DataFrame, features: tuple[str, ...], suffix: str
     normal = labelled.where(~F.col("label").isin(*OUTLIER_LABELS))
     means = normal.groupBy("label").agg(*[F.avg(f).alias(f"{f}_mean") for f in features])
     joined = with_table_stats(labelled, "__top", **{f: F.max(f) for f in features})
-    joined = label_lookup(joined, means)
+    joined = label_lookup(joined, means, few=True)
     scaled_center = [
         F.when(F.col(f"__top.{f}") == 0, F.lit(0.0)).otherwise(F.col(f"{f}_mean") / F.col(f"__top.{f}")) for f in features
     ]
@@ -60,11 +60,11 @@ def center_distances(labelled: DataFrame, features: tuple[str, ...], suffix: str
 
 
 def high_low_labels(
-    points: DataFrame, centers: DataFrame, proto: tuple[tuple[str, float], ...], flow: tuple[tuple[str, float], ...]
+    points: DataFrame, centers: DataFrame, proto: tuple[tuple[str, float], ...], flow: tuple[tuple[str, float], ...], few: bool = False
 ) -> DataFrame:
     """Cluster label from the weighted score of its center against the mean score of all rows; 'other' passes through.
 
-    ``points``: label, raw features, proto, flow. ``centers``: label and mean raw features.
+    ``points``: label, raw features, proto, flow. ``centers``: label and mean raw features. ``few``: the labels are a model's.
     """
     names = [f for f, _ in (*proto, *flow)]
     tops = {f"{f}_top": F.max(f) for f in names}
@@ -85,7 +85,7 @@ def high_low_labels(
         word(score(proto), F.col("__m.proto")), F.lit("#"), word(score(flow), F.col("__m.flow"))
     )
     per_label = centers.where(F.col("label") != "other").select("label", added.alias("add_label"))
-    return label_lookup(points, per_label).withColumn("add_label", F.coalesce("add_label", "label"))
+    return label_lookup(points, per_label, few=few).withColumn("add_label", F.coalesce("add_label", "label"))
 
 
 def under_upper_labels(points: DataFrame, bounds: DataFrame) -> DataFrame:

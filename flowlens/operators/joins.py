@@ -160,14 +160,14 @@ def with_baseline(day: DataFrame, baseline: DataFrame, keys: list[str], by: str
     return salted_lookup(day, baseline, keys, by)
 
 
-def with_centers(points: DataFrame, centers: DataFrame, label: str = "label") -> DataFrame:
-    """Points with the center of their label."""
-    return label_lookup(points, centers, label)
+def with_centers(points: DataFrame, centers: DataFrame, label: str = "label", few: bool = False) -> DataFrame:
+    """Points with the center of their label; ``few``: the labels are a model's."""
+    return label_lookup(points, centers, label, few=few)
 
 
 def members_with_top_hosts(members: DataFrame, top: DataFrame) -> DataFrame:
     """Cluster members with the top-host text of their cluster."""
-    return label_lookup(members, top)
+    return label_lookup(members, top, few=True)
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -73,13 +73,14 @@ def salted_lookup(
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
-def label_lookup(points: DataFrame, per_label: DataFrame, label: str = "label", how: str = "left") -> DataFrame:
+def label_lookup(points: DataFrame, per_label: DataFrame, label: str = "label", how: str = "left", few: bool = False) -> DataFrame:
     """Join points with one row per cluster or quadrant label.
 
-    Models have at most 20 clusters and there are six quadrants, but labels may also be given with the data: Spark
-    broadcasts the right side if its size allows, else it shuffles both, splitting a label that covers most points.
+    ``few``: the labels are those of a model (at most 20) or of the quadrants, so their rows are broadcast. A shuffle by label
+    would gather the points in a handful of tasks. Labels may also be given with the data: then Spark broadcasts the right side
+    if its size allows, else it shuffles both.
     """
-    return points.join(per_label, label, how)
+    return points.join(F.broadcast(per_label) if few else per_label, label, how)
 
 
 def with_group_stats(df: DataFrame, keys: list[str], by: str, **stats: Column) -> DataFrame:

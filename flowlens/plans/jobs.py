@@ -152,7 +152,7 @@ def host_clusters(moniflow: DataFrame, k: int = 7) -> DataFrame:
     _, rated = behaviour_ratings(moniflow)
     scaled = stored(scale_zero_max(rated, "count", "scaled"), "scaled")
     found = stored(sparse_kmeans(scaled, "ip", "host", "scaled", k), "host-clusters")
-    members = clustering.mark_small_clusters(found, 2, "-1", drop_distance=True)
+    members = clustering.mark_small_clusters(found, 2, "-1", drop_distance=True, few=True)
     hosts = salted_lookup(scaled.select("ip", "host"), members.select("ip", "label"), ["ip"], "host", "inner")
     counted = hosts.groupBy("label", "host").agg(F.count(F.lit(1)).alias("n"))
     top = agg.joined_text(agg.top_per_group(counted, "label", [F.desc("n"), F.asc("host")], 10), "label", "host")
@@ -174,14 +174,14 @@ def netflow_clusters(flows: DataFrame, k: int = 10) -> DataFrame:
     totals = cut_lineage(agg.ip_totals(flows.withColumnRenamed("srcip", "ip"), features))
     scored = weighted_scores(min_max_scale(totals, features), Weights())
     vectors = for_many_passes(clustering.assemble(scored, [f + "_scl" for f in features]), "ip")
-    members = clustering.mark_small_clusters(clustering.assign(clustering.kmeans_fit(vectors, k), vectors))
+    members = clustering.mark_small_clusters(clustering.assign(clustering.kmeans_fit(vectors, k), vectors), few=True)
     centers = agg.cluster_centers(members, features)
     # the high/low label weighs packets and bytes but not the duration
     w = Weights().limited_to(tuple(f for f in features if f != "costtime"))
-    described = groups.high_low_labels(members, centers, w.proto, w.flow)
+    described = groups.high_low_labels(members, centers, w.proto, w.flow, few=True)
     packed = groups.truncated_center(centers, features).select("label", "center")
     out = described.select("ip", "label", "add_label", "distance", *features, ff.pack_features([F.col(f) for f in features]).alias("features"))
-    return joins.with_centers(out, packed)
+    return joins.with_centers(out, packed, few=True)
 
 
 def netflow_cluster_tables(members: DataFrame) -> dict[str, DataFrame]:

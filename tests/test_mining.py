@@ -155,6 +155,20 @@ def test_flow_outliers(spark, sf_dir):
     assert len(out) == fx.flows(spark, sf_dir).select("recordtime", "srcip", "dstip", "proto").distinct().count()
 
 
+def test_model_labels_gather_no_points(spark):
+    """Rows meet the few rows of their model's labels where they are: nothing sorts or shuffles them by label."""
+    rows = spark.range(0, 400, 1, 8).selectExpr("cast(id AS string) AS id", "cast(id % 4 AS double) * 100 AS x", "cast(id AS double) AS y", "1.0D AS z")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        model = clustering.triple_model(rows, ["x", "y", "z"], ["id"], 4)
+        out = clustering.triple_scores(rows, ["x", "y", "z"], model, "1")
+        assert out.count() == 400
+        assert out.withColumn("p", F.spark_partition_id()).select("p").distinct().count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_elbow(spark):
     rows = [(float(c * 100 + i),) for c in range(3) for i in range(10)]
     vectors = clustering.assemble(spark.createDataFrame(rows, "x double"), ["x"]).cache()
