@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -249,25 +250,54 @@ def triple_scores(sessions: DataFrame, features: list[str], model: KMeansModel,
 
 def grouped_kmeans(
     points: DataFrame, group: list[str], row_key: str, features: list[str], k: int, weight: str | None = None,
-    max_iter: int = 100, tol: float = 1e-4, allowed: Callable[[Column], Column] | None = None,
+    max_iter: int = 100, tol: float = 1e-4, allowed: Callable[[Column], Column] | None = None, scaled: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """K-means inside every group at once, with ``label`` and ``distance`` per point.
+    """K-means inside every group at once, with ``label``, ``cluster_size`` (points) and ``distance`` per point.
 
     A round is one lookup of the group's k centers and one pre-aggregated mean per (group, label), so a group of any
     size is spread over all tasks and the number of Spark jobs depends on the rounds, not on the groups. The first
     centers are found by farthest-first search from the row with the smallest key, so runs repeat. A group of n distinct
     rows uses at most n centers, and no more than ``allowed`` gives for its weight. Rounds go on until no center moves by
-    more than ``tol``, ``max_iter`` of them at most.
+    more than ``tol``, ``max_iter`` of them at most. ``scaled``: the features are min-max scaled inside every group
+    (as ``grouped_min_max`` does); ``only``: the groups to cluster, one row each, others have no rows in the result.
+
+    The points are shuffled once. Ends of the features, centers and sizes belong to a group and come to its points.
     """
-    base = points.withColumns({f"__f{j}": F.col(f).cast("double") for j, f in enumerate(features)})
+    dims, types = range(len(features)), dict(points.dtypes)
+    # a feature that is a double already is carried once
+    carried = {f: F.col(f"__v{j}").alias(f) for j, f in enumerate(features) if types[f] == "double" and f not in (*group, row_key, weight)}
     hot = hot_keys(points, group)
-    base = with_salts(base.withColumn("__w", F.col(weight) if weight else F.lit(1)), hot, group)
-    base = base.withColumn("__salt", row_salt(row_key, F.col("__salts")))
+    rows = points
+    if only is not None:  # rows of the other hot groups stay where they are, those of cold groups find no center
+        hot = cut_lineage(hot)
+        names = [f"__h_{c}" for c in group]
+        other = hot.join(only.select(*group).toDF(*names), names, "left_anti").select(*names)
+        rows = rows.join(F.broadcast(other), reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(group, names)]), "left_anti")
+    base = rows.select(
+        *[c for c in points.columns if c not in carried], *[F.col(f).cast("double").alias(f"__v{j}") for j, f in enumerate(features)],
+        (F.col(weight) if weight else F.lit(1)).alias("__w"),
+    )
+    base = with_salts(base, hot, group).withColumn("__salt", row_salt(row_key, F.col("__salts")))
     # Partitioned once by (group, salt): a round moves the copied centers to the points, never the points.
     base = for_many_passes(base, *group, "__salt", ordered=True)
-    dims = range(len(features))
+    ends = [F.array(*[end(f"__v{j}") for j in dims]).alias(n) for end, n in ((F.min, "__lo"), (F.max, "__hi"))] if scaled else []
+    frame = ["__salts", *(["__lo", "__hi"] if scaled else [])]  # what a group keeps beside its centers
     vector = F.array(*[F.col(f"__f{j}") for j in dims])
 
+    def placed(df: DataFrame) -> DataFrame:
+        """Points beside the frame of their group, with the features that are clustered."""
+
+        def value(j: int) -> Column:
+            v, lo, hi = F.col(f"__v{j}"), F.col("__lo")[j], F.col("__hi")[j]
+            return F.when(hi == lo, F.lit(0.5)).otherwise((v - lo) / (hi - lo))
+
+        return df.withColumns({f"__f{j}": value(j) if scaled else F.col(f"__v{j}") for j in dims})
+
+    def at_points(per_group: DataFrame) -> DataFrame:
+        copies = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+        return placed(base.drop("__salts").join(copies, [*group, "__salt"]))
+
     def square(i: int) -> Column:
         """Squared distance to center i; infinite where the group has fewer centers. Plain arithmetic, so it compiles."""
         center = F.get(F.col("__c"), F.lit(i))
@@ -278,8 +308,7 @@ def grouped_kmeans(
         return F.coalesce(total, F.lit(float("inf")))
 
     def to_points(centers: DataFrame, n: int) -> DataFrame:
-        copies = centers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
-        near = base.join(copies, [*group, "__salt"]).withColumns({f"__d{i}": square(i) for i in range(n)})
+        near = at_points(centers).withColumns({f"__d{i}": square(i) for i in range(n)})
         ds = [F.col(f"__d{i}") for i in range(n)]
         least = F.least(*ds) if n > 1 else ds[0]
         label = F.lit(n - 1)
@@ -288,12 +317,17 @@ def grouped_kmeans(
         return near.withColumns({"__d": least, "__l": label})
 
     most = F.lit(k) if allowed is None else allowed(F.sum("__w"))
-    centers = base.groupBy(*group).agg(F.array(F.min_by(vector, F.col(row_key))).alias("__c"), most.cast("int").alias("__most"), F.max("__salts").alias("__salts"))
+    raw = F.array(*[F.col(f"__v{j}") for j in dims])
+    first = base.groupBy(*group).agg(F.min_by(raw, F.col(row_key)).alias("__v"), most.cast("int").alias("__most"), F.max("__salts").alias("__salts"), *ends)
+    if only is not None:
+        first = first.join(only.select(*group), group, "left_semi")
+    first = placed(first.select("*", *[F.col("__v")[j].alias(f"__v{j}") for j in dims]))
+    centers = first.select(*group, "__most", *frame, F.array(vector).alias("__c"))
     for n in range(1, k):
         far = to_points(centers, n).groupBy(*group).agg(F.max(F.struct(F.col("__d").alias("d"), vector.alias("v"))).alias("__far"))
         more = (F.col("__far.d") > 0) & (F.size("__c") < F.col("__most"))
         grown = F.when(more, F.concat("__c", F.array("__far.v"))).otherwise(F.col("__c"))
-        centers = cut_lineage(centers.join(far, group).select(*group, "__most", "__salts", grown.alias("__c")))
+        centers = cut_lineage(centers.join(far, group).select(*group, "__most", *frame, grown.alias("__c")))
     centers = centers.drop("__most")
 
     means = F.array(*[F.sum(F.col(f"__f{j}") * F.col("__w")) / F.sum("__w") for j in dims])
@@ -305,11 +339,17 @@ def grouped_kmeans(
         # a center that lost all its points stays where it was
         updated = F.transform(F.col("__c"), lambda c, i: F.coalesce(F.try_element_at(F.col("__m"), i), c))
         shift = F.array_max(F.zip_with(updated, F.col("__c"), array_distance))
-        step = cut_lineage(centers.join(moved, group).select(*group, "__salts", updated.alias("__u"), shift.alias("__s")))
-        centers = step.select(*group, "__salts", F.col("__u").alias("__c"))
+        step = cut_lineage(centers.join(moved, group).select(*group, *frame, updated.alias("__u"), shift.alias("__s")))
+        centers = step.select(*group, *frame, F.col("__u").alias("__c"))
         if (step.agg(F.max("__s")).first()[0] or 0.0) <= tol:
             break
-    found = to_points(centers, k).select(*points.columns, F.col("__l").alias("label"), F.sqrt("__d").alias("distance"))
+    sizes = (
+        to_points(centers, k).groupBy(*group, F.col("__l").alias("l")).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("__n"))  # at most k rows
+    )
+    near = to_points(centers.join(sizes, group), k)
+    found = near.select(*[carried.get(c, F.col(c)) for c in points.columns], F.col("__l").alias("label"),
+                        F.element_at("__n", F.col("__l")).alias("cluster_size"), F.sqrt("__d").alias("distance"))
     found = stored(found, "grouped-kmeans")
     base.unpersist()
     return found

@@ -309,28 +309,23 @@ def portrait_level_one(flows: DataFrame, k: int = 3) -> DataFrame:
     monitored = agg.own_side(flows, ()).select("ip").unionByName(
         flows.where(F.col("flowd") == ff.IN_TO_IN).select(F.col("dstip").alias("ip"))
     ).distinct()
-    rows = flows.withColumn("ip", F.explode(ends))
-    rows = salted_lookup(rows, monitored, ["ip"], "row", "left_semi")
-    features = [f for f in ("costtime", "tcp", "udp", "icmp", "gre", "packernum", "bytesize")]
-    scaled = clustering.grouped_min_max(rows, ["ip"], "row", features)
-    labelled = clustering.grouped_kmeans(scaled, ["ip"], "row", [f + "_scl" for f in features], k)
-    # at most k labels an asset: their sizes are one small table beside the labelled rows, which are stored already
-    sizes = labelled.groupBy("ip", "label").agg(F.count(F.lit(1)).alias("cluster_size"))
-    sized = salted_lookup(labelled, sizes, ["ip", "label"], "row", "inner")
+    features = ["costtime", "tcp", "udp", "icmp", "gre", "packernum", "bytesize"]
+    # what the portrait reads of a flow
+    rows = flows.select("row", "srcport", "dstport", "recordtime", *features, F.explode(ends).alias("ip"))
+    labelled = clustering.grouped_kmeans(rows, ["ip"], "row", features, k, scaled=True, only=monitored)
     name = F.when(F.col("cluster_size") > 2, F.col("label").cast("string")).otherwise("other")
-    return sized.withColumn("prediction", name).drop("label")
+    return labelled.withColumn("prediction", name).drop("label")
 
 
 def portrait_level_two(level_one: DataFrame, moniflow: DataFrame, k: int = 3) -> DataFrame:
     """Audit rows of each level-one cluster clustered again, inside (asset, parent cluster)."""
-    audit_rows = moniflow.withColumn("ip", F.explode(F.array_distinct(F.array("srcip", "dstip"))))
+    audit_rows = moniflow.select("id", "srcport", "dstport", "appproto", "method", F.explode(F.array_distinct(F.array("srcip", "dstip"))).alias("ip"))
     matched = joins.flows_to_audit(level_one.where(F.col("prediction") != "other"), audit_rows)
     hot = ff.one_hot(F.col("appproto"), ff.APP_PROTOCOLS, False)
     rows = matched.withColumns(hot).withColumnRenamed("prediction", "parent")
     group = ["ip", "parent"]
-    scaled = clustering.grouped_min_max(rows, group, "id", list(APP_FEATURES))
     guarded = lambda n: F.when(n <= 2, 1).when(n <= k, n - 1).otherwise(k)
-    return clustering.grouped_kmeans(scaled, group, "id", [f + "_scl" for f in APP_FEATURES], k, weight="n_flows", allowed=guarded)
+    return clustering.grouped_kmeans(rows, group, "id", list(APP_FEATURES), k, weight="n_flows", allowed=guarded, scaled=True)
 
 
 def portrait_centers(level_one: DataFrame, level_two: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def _portrait_flows(spark, d):
 
 @query("two_level_clustering")
 def two_level_clustering(spark, d):
-    one = jobs.portrait_level_one(_portrait_flows(spark, d)).cache()
+    one = jobs.portrait_level_one(_portrait_flows(spark, d))
     two = jobs.portrait_level_two(one, fx.moniflow(spark, d))
     return two.select("id", "ip", "parent", "label", "n_flows", F.round("distance", 6).alias("distance"))
 

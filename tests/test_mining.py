@@ -140,6 +140,27 @@ def test_weighted_grouped_kmeans_equals_repeated_rows(spark):
     assert a == b and a[1][1] == 0.25
 
 
+def test_scaled_grouped_kmeans_equals_scaling_first(spark, monkeypatch):
+    """Scaling, choice of groups and cluster sizes inside the clustering give what separate steps give, hot groups included."""
+    from flowlens.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    rnd, rows = random.Random(5), []
+    for g, n in (("hot", 90), ("warm", 12), ("one", 1), ("other", 70), ("cold", 5), (None, 3)):
+        rows += [(g, f"{g}{i:03d}", rnd.choice([1, 2, 50, 900]), rnd.random() if i else None, 7) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, id string, x int, y double, same int")
+    kept = spark.createDataFrame([("hot",), ("warm",), ("one",)], "g string")
+    names = ["x", "y", "same"]
+    first = clustering.grouped_min_max(df.join(kept, "g", "left_semi"), ["g"], "id", names)
+    want = clustering.grouped_kmeans(first, ["g"], "id", [f"{n}_scl" for n in names], 3)
+    got = clustering.grouped_kmeans(df, ["g"], "id", names, 3, scaled=True, only=kept)
+    shown = ["g", "id", *names, "label", "cluster_size"]
+    text = lambda d: sorted(str((*(r[c] for c in shown), r.distance is None or round(r.distance, 9))) for r in d.collect())
+    assert text(got) == text(want) and got.count() == 103
+    sizes = {(r.g, r.label): r["count"] for r in got.groupBy("g", "label").count().collect()}
+    assert all(sizes[(r.g, r.label)] == r.cluster_size for r in got.collect())
+
+
 def test_clusters_cover_all_rows(spark, sf_dir):
     out = verdicts.kmeans_fit(spark, sf_dir).collect()
     assert len({r.ip for r in out}) == len(out) and all(r.distance >= 0 for r in out)
