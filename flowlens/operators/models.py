@@ -117,9 +117,16 @@ def forest_fit(sample: DataFrame, params: ForestParams = ForestParams()) -> Pipe
 
 
 def forest_predict(model: PipelineModel, flows: DataFrame) -> DataFrame:
-    """Rows the model takes for an attack (class above 0)."""
+    """Rows the model takes for an attack (class above 0).
+
+    The trees are walked once a row: a filter on the prediction would be pushed below it and walk them again, one inside a
+    generator is not. Votes and probabilities, which nobody reads, are not made.
+    """
     typed = flows.withColumns({f: F.col(f).try_cast("double") for f in FLOW_FEATURES}).dropna(subset=FLOW_FEATURES)
-    return model.transform(typed).where("prediction > 0").drop("features", "indexed", "rawPrediction", "probability")
+    classes = model.copy()
+    classes.stages[-1].setRawPredictionCol("").setProbabilityCol("").setPredictionCol("__class")
+    scored = classes.transform(typed).select("*", F.explode(F.filter(F.array("__class"), lambda c: c > 0)).alias("prediction"))
+    return scored.drop("features", "indexed", "__class")
 
 
 def url_pipeline(params: TextParams = TextParams()) -> Pipeline:

@@ -161,6 +161,20 @@ def test_scaled_grouped_kmeans_equals_scaling_first(spark, monkeypatch):
     assert all(sizes[(r.g, r.label)] == r.cluster_size for r in got.collect())
 
 
+def test_forest_walks_its_trees_once_a_row(spark):
+    """No filter repeats the prediction, and the votes are not made; the rows are those of the plain model."""
+    rows = spark.createDataFrame([(str(i % 3), float(i), i % 2, 1 - i % 2, i, 5 * i) for i in range(60)] + [("1", None, 1, 0, 1, 1)],
+                                 "attacktype string, spandtime double, tcp int, udp int, packernum int, bytesize int")
+    model = models.forest_fit(rows)
+    out = models.forest_predict(model, rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any("Filter" in line and "UDF" in line for line in plan.splitlines())
+    typed = rows.withColumns({f: F.col(f).cast("double") for f in models.FLOW_FEATURES}).dropna()
+    want = model.transform(typed).where("prediction > 0").select(out.columns)
+    assert out.columns == [*rows.columns, "prediction"] and out.dtypes == want.dtypes
+    assert sorted(out.collect()) == sorted(want.collect()) and out.count() > 0
+
+
 def test_clusters_cover_all_rows(spark, sf_dir):
     out = verdicts.kmeans_fit(spark, sf_dir).collect()
     assert len({r.ip for r in out}) == len(out) and all(r.distance >= 0 for r in out)
