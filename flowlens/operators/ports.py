@@ -13,7 +13,7 @@ from flowlens.functions.flows import hour_label, truncated
 from flowlens.operators.baselines import KB, _level, fine_moments, merged_deviation, merged_mean
 from flowlens.operators.joins import with_reverse_flows
 from flowlens.operators.skew import salted_lookup
-from flowlens.session import cut_lineage
+from flowlens.session import cut_lineage, stored
 
 # Port classes and thresholds.
 REGULAR, SUSPECT, OUTGOING, OPEN = "0", "1", "2", "3"
@@ -39,19 +39,32 @@ def rare_threshold(flows: DataFrame) -> Column:
     return flows.agg(F.greatest(F.lit(RARE_FLOOR), F.floor(rows * RARE_SHARE)).cast("bigint")).scalar()
 
 
+def _port_hits(flows: DataFrame) -> DataFrame:
+    n = F.sum(F.when(F.col("dstport").isNotNull(), F.col("n_flows")).otherwise(0)) if _is_folded(flows) else F.count("dstport")
+    return flows.groupBy("dstip", "dstport").agg(n.alias("hits"))
+
+
 def rare_ports(flows: DataFrame, threshold: Column) -> DataFrame:
     """Destination ports of an asset with fewer flows than the threshold."""
-    n = F.sum(F.when(F.col("dstport").isNotNull(), F.col("n_flows")).otherwise(0)) if _is_folded(flows) else F.count("dstport")
-    hits = flows.groupBy("dstip", "dstport").agg(n.alias("hits"))
-    return hits.where(F.col("hits") < threshold)
+    return _port_hits(flows).where(F.col("hits") < threshold)
 
 
-def _asset_rows(flows: DataFrame, rare: DataFrame) -> DataFrame:
-    """Every flow once per asset it belongs to (source and destination), with the rarity of its destination port."""
-    rare = rare.select("dstip", "dstport", F.lit(True).alias("rare"))
-    marked = salted_lookup(flows, rare, ["dstip", "dstport"], "row")
-    ends = F.array_distinct(F.array("srcip", "dstip"))
-    return marked.withColumn("rare", F.coalesce("rare", F.lit(False))).withColumn("name", F.explode(ends))
+def _asset_rows(marked: DataFrame) -> DataFrame:
+    """Every flow once per asset it belongs to (source and destination)."""
+    return marked.withColumn("name", F.explode(F.array_distinct(F.array("srcip", "dstip"))))
+
+
+def _with_rarity(flows: DataFrame, counted: DataFrame) -> DataFrame:
+    """Flows with the rarity of their destination port, by share of ``counted``, which has all their ports.
+
+    Ports that are not rare hold the share of the rows each, so there are less than 300 of them: these are broadcast, and no
+    flow is shuffled.
+    """
+    common = cut_lineage(_port_hits(counted).where(F.col("hits") >= rare_threshold(counted)))
+    found = common.select("dstip", "dstport", F.lit(True).alias("__common"))
+    # a flow without an address or port meets no port, rare or not
+    rare = F.col("dstip").isNotNull() & F.col("dstport").isNotNull() & F.col("__common").isNull()
+    return flows.join(F.broadcast(found), ["dstip", "dstport"], "left").withColumn("rare", rare).drop("__common")
 
 
 def _open_port(cls: Column) -> Column:
@@ -62,7 +75,7 @@ def _open_port(cls: Column) -> Column:
 
 def classify_ports(flows: DataFrame) -> DataFrame:
     """Port, class and index of every flow for each of its assets; rare ports by share of the whole input."""
-    return _classified(_asset_rows(flows, rare_ports(flows, rare_threshold(flows))))
+    return _classified(_asset_rows(_with_rarity(flows, flows)))
 
 
 def _classified(rows: DataFrame) -> DataFrame:
@@ -90,7 +103,9 @@ def _classified(rows: DataFrame) -> DataFrame:
 
 def classify_ports_simple(flows: DataFrame) -> DataFrame:
     """Newer form: every incoming port is regular unless it is rare; fixed rarity threshold."""
-    rows = _asset_rows(flows, rare_ports(flows, F.lit(RARE_FIXED)))
+    rare = rare_ports(flows, F.lit(RARE_FIXED)).select("dstip", "dstport", F.lit(True).alias("rare"))
+    marked = salted_lookup(flows, rare, ["dstip", "dstport"], "row")
+    rows = _asset_rows(marked.withColumn("rare", F.coalesce("rare", F.lit(False))))
     outgoing = F.col("srcip") == F.col("name")
     noticed = F.col("rare") & ~outgoing & (F.col("proto") == "TCP") & (F.col("packernum") >= 2)
     step1 = rows.withColumns(
@@ -209,7 +224,7 @@ def judge_merged_ports(flows: DataFrame, folded: DataFrame, baseline: DataFrame)
     flows meet their partners: no pair of flows is shuffled. A row that is judged has its asset's own port.
     """
     src, dst = F.col("srcport").try_cast("int"), F.col("dstport").try_cast("int")
-    rows = _asset_rows(flows.where(src > dst), rare_ports(folded, rare_threshold(folded)))
+    rows = _asset_rows(_with_rarity(flows.where(src > dst), folded))
     own = F.when(F.col("srcip") == F.col("name"), F.col("srcport")).otherwise(F.col("dstport")).cast("string")
     known = _with_bounds(rows.withColumn("port", own), baseline).drop("port")
     judged = _verdicts(_classified(with_reverse_flows(known, flows.where(src < dst))))
@@ -218,12 +233,14 @@ def judge_merged_ports(flows: DataFrame, folded: DataFrame, baseline: DataFrame)
 
 
 def _with_bounds(rows: DataFrame, baseline: DataFrame) -> DataFrame:
-    baseline = cut_lineage(baseline)  # a few rows per asset, read three times
-    ports = baseline.where(F.col("baseline") == "PORT").select("name", "port", F.lit(True).alias("known_port"))
+    # A few rows per asset, read three times. What is looked up is stored, so its size is known: if it allows, Spark broadcasts
+    # it, and the rows are not shuffled.
+    baseline = stored(baseline, "port-baseline")
+    ports = stored(baseline.where(F.col("baseline") == "PORT").select("name", "port", F.lit(True).alias("known_port")), "known-ports")
     bounds = baseline.where(F.col("baseline") == "ALL").select("name", "connectup", "netflowup")
     # One row per asset: its bounds and its protocols (a few values).
     protos = baseline.where(F.col("baseline") == "PROTO").groupBy("name").agg(F.collect_set("proto").alias("protos"))
-    assets = bounds.join(protos, "name", "left")
+    assets = stored(bounds.join(protos, "name", "left"), "port-bounds")
     known = salted_lookup(rows, ports, ["name", "port"], "row")
     return salted_lookup(known, assets, ["name"], "row", counted=rows)
 

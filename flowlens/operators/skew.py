@@ -44,7 +44,8 @@ def row_salt(by: str, salts: Column) -> Column:
 
 
 def row_salt_of(number: Column, salts: Column) -> Column:
-    return F.pmod(number, salts).cast("int")
+    # never null: Spark would else repeat the whole expression in a filter at the scan
+    return F.coalesce(F.pmod(number, salts).cast("int"), F.lit(0))
 
 
 def splits_skewed_joins(spark: SparkSession) -> bool:

@@ -60,6 +60,29 @@ def test_port_classes(spark):
     assert got[("web_tls", "b")] == ("443", "3", "")
 
 
+def test_port_rarity_without_shuffling_flows(spark):
+    rows = [
+        flow("often", "a", "b", 5000, 22, "TCP", 3), flow("rare", "a", "b", 5000, 21, "TCP", 3), flow("no_port", "a", "b", 5000, None, "TCP", 3),
+        flow("no_source", None, "b", 5000, 21, "TCP", 3), flow("no_target", "a", None, 5000, 21, "TCP", 3), flow("twice", "a", "b", 5000, 21, "TCP", 3),
+        flow("twice", "a", "b", 5000, 21, "TCP", 3), flow("self", "b", "b", 5000, 21, "TCP", 3),
+    ]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were many flows
+    try:
+        got = classified(spark, rows, ports.classify_ports)
+        plan = ports.classify_ports(spark.createDataFrame(rows, PORT_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert got == {
+        ("often", "a"): ("5000", "2", "other"), ("often", "b"): ("22", "3", ""), ("rare", "a"): ("5000", "2", "other"),
+        ("rare", "b"): ("21", "1", "other"), ("no_port", "a"): ("5000", "2", "other"), ("no_port", "b"): ("", "1", ""),
+        ("no_source", None): ("21", "1", ""), ("no_source", "b"): ("21", "1", ""), ("no_target", "a"): ("5000", "2", "other"),
+        ("no_target", None): ("21", "3", ""), ("twice", "a"): ("5000", "2", "other"), ("twice", "b"): ("21", "1", "other"),
+        ("self", "b"): ("5000", "2", "other"),
+    }
+
+
 def test_port_classes_simple(spark):
     rows = [
         flow("own", "b", "y", 777, 80, "TCP", 5), flow("low", "a", "b", 5000, 22, "TCP", 2), flow("rare", "a", "b", 5000, 80, "TCP", 2),
@@ -90,6 +113,16 @@ def test_port_verdicts(spark):
     }
 
 
+def test_port_bounds_of_known_size_are_not_shuffled_to(spark):
+    rows = [flow(f"r{i}", "x", "b", 5000, 22, "UDP", 2 + (i % 2) * 2) for i in range(40)]
+    found = ports.classify_ports(spark.createDataFrame(rows, PORT_SCHEMA))
+    out = ports.judge_ports(found, ports.port_baseline_3mean(found))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    got = sorted((r.row, r.name, r.port, r["index"]) for r in out.collect())
+    assert got == sorted([(f"r{i}", "b", "22", "normal") for i in range(40)] + [(f"r{i}", "x", "5000", "other") for i in range(40)])
+
+
 def test_flow_verdicts_and_single_row_bounds(spark):
     cols = "srcip string, proto string, hour int, packernum int, bytesize int"
     week = spark.createDataFrame([("a", "TCP", 1, 10, 1024), ("b", "TCP", 1, 20, 2048), ("b", "TCP", 1, 20, 2048)], cols)

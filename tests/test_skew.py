@@ -101,6 +101,16 @@ def test_salted_lookup_equals_join(spark, skewed, how):
     assert sorted([r.asDict() for r in got.collect()], key=key) == sorted([r.asDict() for r in want.collect()], key=key)
 
 
+def test_lookup_adds_no_filter_on_the_salt(spark, skewed):
+    """A salt that may be null makes Spark filter by it, with the key's whole expression, below the keyed aggregate."""
+    facts = skewed.withColumn("key", F.concat(F.lit("k"), "k"))
+    dim = facts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    out = skew.salted_lookup(facts, dim, ["key"], "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "xxhash64" in line]
+    assert {(r.key, r.n) for r in out.select("key", "n").collect()} == {(r.key, r.n if r.key else None) for r in dim.collect()}
+
+
 @pytest.mark.parametrize("block", [3, 10, 4096])
 def test_group_pairs_equal_all_pairs(spark, block):
     groups = {"hot": 40, "a": 7, "b": 1, "c": 2}
